@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
@@ -34,13 +35,19 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Read a partitioned dataset keeping folder values as text.
+def read_partitioned(
+    spark: SparkSession, path: str, schema: StructType | None = None
+) -> DataFrame:
+    """Read a partitioned dataset without guessing folder-value types.
 
-    Type inference would turn codes such as ``060`` into the integer 60;
-    it is switched off for the duration of the listing (the partition
-    schema is fixed when the relation is created).
+    With ``schema`` (data and partition columns) every column gets its
+    declared type.  Without it, folder values stay text: inference would
+    turn codes such as ``060`` into the integer 60.  Inference is switched
+    off for the duration of the listing (the partition schema is fixed
+    when the relation is created).
     """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     before = spark.conf.get(_INFER, "true")
     spark.conf.set(_INFER, "false")
     try:
