@@ -89,9 +89,8 @@ def label_table(spark, sf_dir):
     """Port section parsed from a label file rendered from part."""
     path = si.part_port_labels(spark, sf_dir)
     lines = read_label_lines(spark, path)
-    labels = parse_labels(lines)
-    start = lines.where(F.col("value").rlike(r"^\s*value\s+\$i94prtl")).agg(F.min("line_no")).first()[0]
-    return labels.select((F.col("ord") - F.lit(start)).alias("ord"), "code", "label")
+    # Position within the section: two lines (comment, header) precede it.
+    return parse_labels(lines).select((F.col("ord") - F.lit(2)).alias("ord"), "code", "label")
 
 
 def sink_parquet_overwrite(spark, sf_dir):

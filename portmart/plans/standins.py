@@ -149,16 +149,12 @@ def write_label_file(
     ]
     parts = [body]
     if countries is not None:
-        fixed.append((1, 0.0, "  value i94cntyl"))
-        w_last = F.col("sort") == countries.agg(F.max("sort")).first()[0]
+        fixed += [(1, 0.0, "  value i94cntyl"), (1, float("inf"), " ;")]
         parts.append(
             countries.select(
                 F.lit(1).alias("_s"),
                 (F.col("sort").cast("double") + 1).alias("_k"),
-                F.concat(
-                    F.format_string("   %s =  '%s'", F.col("code"), _quote(F.col("label"))),
-                    F.when(w_last, F.lit(" ;")).otherwise(F.lit("")),
-                ).alias("value"),
+                F.format_string("   %s =  '%s'", F.col("code"), _quote(F.col("label"))).alias("value"),
             )
         )
     schema = T.StructType(

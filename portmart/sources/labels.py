@@ -79,19 +79,20 @@ def label_table(lines: DataFrame, section: str = PORT_SECTION) -> DataFrame:
     ``value`` line to the first line with a ';' outside quotes, and an
     entry on that closing line counts.
     """
-    start = (
-        lines.where(F.col("value").rlike(_header_pattern(section)))
-        .agg(F.min("line_no"))
-        .first()[0]
+    # One small action: the line numbers of this section's header and of
+    # every line closing a section (a handful per file).
+    is_header = F.col("value").rlike(_header_pattern(section))
+    closes = F.contains(F.regexp_replace("value", QUOTED_PATTERN, ""), F.lit(";"))
+    marks = (
+        lines.where(is_header | closes)
+        .select("line_no", is_header.alias("h"), closes.alias("c"))
+        .collect()
     )
-    if start is None:
+    starts = [m.line_no for m in marks if m.h]
+    if not starts:
         return lines.sparkSession.createDataFrame([], LABEL_SCHEMA)
-    unquoted = F.regexp_replace("value", QUOTED_PATTERN, "")
-    end = (
-        lines.where((F.col("line_no") > start) & F.contains(unquoted, F.lit(";")))
-        .agg(F.min("line_no"))
-        .first()[0]
-    )
+    start = min(starts)
+    end = min((m.line_no for m in marks if m.c and m.line_no > start), default=None)
     body = lines.where(F.col("line_no") > start)
     if end is not None:
         body = body.where(F.col("line_no") <= end)
