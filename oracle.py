@@ -369,9 +369,13 @@ ORDER BY "count" DESC, city_name, state_code LIMIT 10""",
 SELECT gender, COUNT(*) AS "count", COUNT(*) / SUM(COUNT(*)) OVER () * 100 AS share_pct
 FROM person GROUP BY gender""",
     "average_age": "WITH" + ARRIVALS + """
-SELECT f.city_code, AVG(p.age) AS avg_age, COUNT(p.age) AS n_with_age
-FROM person p JOIN (SELECT DISTINCT id, city_code FROM fact) f ON p.id = f.id
-GROUP BY f.city_code""",
+SELECT city_code, AVG(age) AS avg_age, COUNT(age) AS n_with_age
+FROM stage_arrivals GROUP BY city_code""",
+    "decode_codes": "WITH" + ARRIVALS + """
+SELECT f.*, COALESCE(r.r_name, 'All Other Codes') AS region_label
+FROM fact f LEFT JOIN region r ON f.city_code = CAST(r.r_regionkey AS VARCHAR)""",
+    "monthly_refresh": "WITH" + ARRIVALS + """
+SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM fact""",
     "size_correlation": "WITH q AS (" + _SIZE_VS_VOLUME + """)
 SELECT round(corr(CAST(total_pop AS DOUBLE), CAST("count" AS DOUBLE)), 6) AS corr FROM q""",
 }

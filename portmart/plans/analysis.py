@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from portmart.functions.numeric import percentage
 from portmart.operators.aggregates import group_count
-from portmart.operators.joins import join_on_keys
+from portmart.operators.joins import join_on_keys, sized_broadcast
 from portmart.operators.ordering import order_by_desc, top_k
 
 
 def arrivals_by_city(fact: DataFrame, city: DataFrame) -> DataFrame:
     """Fact rows joined to the city dimension on port code and state.
 
-    The dimension is small (one row per city); AQE turns the join into a
-    broadcast from its measured size, so the fact is never shuffled for
-    it.  Several cities sharing both codes each receive the arrival.
+    The dimension has one row per city: its measured size decides a
+    broadcast, so the fact is not shuffled for this join (a city holding a
+    third of all arrivals costs nothing extra).  Past the budget the join
+    is a sort-merge join on both keys.  Several cities sharing both codes
+    each receive the arrival.
     """
+    city, _ = sized_broadcast(city)
     return join_on_keys(fact, city, ["city_code", "state_code"], "f", "d")
 
 
@@ -69,15 +72,15 @@ def gender_distribution(person: DataFrame) -> DataFrame:
     return g.withColumn("share_pct", percentage(F.col("count"), total))
 
 
-def average_age(person: DataFrame, fact: DataFrame | None = None) -> DataFrame:
-    """Mean age overall, or per port code when ``fact`` is given (joined on
-    the arrival id)."""
-    if fact is None:
-        return person.agg(F.avg("age").alias("avg_age"), F.count("age").alias("n_with_age"))
-    j = person.join(fact.select("id", "city_code").distinct(), "id")
-    return j.groupBy("city_code").agg(
-        F.avg("age").alias("avg_age"), F.count("age").alias("n_with_age")
-    )
+def average_age(staging_arrivals: DataFrame, by: str | None = "city_code") -> DataFrame:
+    """Mean age of the arrivals, per ``by`` (port code by default) or
+    overall.  Read from the arrivals staging table, which carries age and
+    port on the same row, so no join of person and fact on the id is
+    needed; one shuffle with map-side partial sums."""
+    aggs = [F.avg("age").alias("avg_age"), F.count("age").alias("n_with_age")]
+    if by is None:
+        return staging_arrivals.agg(*aggs)
+    return staging_arrivals.groupBy(by).agg(*aggs)
 
 
 def correlation(df: DataFrame, metric: str, volume: str = "count") -> DataFrame:

@@ -15,12 +15,14 @@ from portmart.functions.numeric import percentage, round2
 from portmart.functions.text import contains_ci
 from portmart.operators import aggregates as agg
 from portmart.operators import cleaning, mart, quality, staging
+from portmart.operators.decode import decode
 from portmart.operators.joins import join_on_keys, join_using_distinct
 from portmart.operators.lookup import first_match_code
 from portmart.operators.ordering import order_by_desc, top_k
 from portmart.plans import analysis
 from portmart.plans import standins as si
 from portmart.session import scratch_path
+from portmart.streaming.refresh import refresh_arrivals
 from portmart.sources.labels import read_label_lines, label_table as parse_labels
 from portmart.sources.readers import read_arrivals, read_delimited, register_view
 from portmart.sources.sinks import read_partitioned, write_partitioned, write_table
@@ -450,7 +452,7 @@ def gender_distribution(spark, sf_dir):
 
 
 def average_age(spark, sf_dir):
-    return analysis.average_age(dim_person(spark, sf_dir), fact_table(spark, sf_dir))
+    return analysis.average_age(stage_arrivals(spark, sf_dir), by="city_code")
 
 
 def size_correlation(spark, sf_dir):
@@ -459,6 +461,27 @@ def size_correlation(spark, sf_dir):
     )
 
 
+def decode_codes(spark, sf_dir):
+    """Arrival port codes decoded with the country list of the label file;
+    codes it does not list read as its catch-all entry 99."""
+    lines = read_label_lines(spark, si.nation_port_labels(spark, sf_dir))
+    countries = parse_labels(lines, "i94cntyl")
+    return decode(fact_table(spark, sf_dir), "city_code", countries, "region_label", default_code="99")
+
+
+def monthly_refresh(spark, sf_dir):
+    """Arrival files landed in date order and drained by the streaming
+    refresh two files per micro-batch; the fact table read back."""
+    root = scratch_path(spark, "refresh")
+    landing = f"{root}/landing"
+    si.arrivals(spark, sf_dir).repartitionByRange(8, "arrdate").write.parquet(landing)
+    refresh_arrivals(spark, landing, f"{root}/mart", checkpoint_dir=f"{root}/checkpoint", max_files_per_batch=2)
+    return read_partitioned(spark, f"{root}/mart/immigration").select(
+        "id", "state_code", "city_code", "date", "count",
+        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "src_parquet": src_parquet,
     "src_csv_comma": src_csv_comma,
@@ -515,4 +538,6 @@ QUERIES: dict[str, Query] = {
     "gender_distribution": gender_distribution,
     "average_age": average_age,
     "size_correlation": size_correlation,
+    "decode_codes": decode_codes,
+    "monthly_refresh": monthly_refresh,
 }

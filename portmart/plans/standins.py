@@ -149,7 +149,10 @@ def write_label_file(
     ]
     parts = [body]
     if countries is not None:
-        fixed += [(1, 0.0, "  value i94cntyl"), (1, float("inf"), " ;")]
+        fixed += [
+            (1, 0.0, "  value i94cntyl"),
+            (1, float("inf"), "   99 =  'All Other Codes' ;"),
+        ]
         parts.append(
             countries.select(
                 F.lit(1).alias("_s"),
@@ -175,7 +178,7 @@ def nation_port_labels(spark: SparkSession, sf_dir: str) -> str:
     """Label file whose ports are the nations, listed from the highest key
     down, so a short name such as NATION_1 is first found inside NATION_19
     (the first-match rule, not the best match).  Regions form a country
-    section before it."""
+    section before it, closed by the catch-all code 99."""
     n = table(spark, sf_dir, "nation")
     entries = n.select(
         (-F.col("n_nationkey")).alias("sort"),
