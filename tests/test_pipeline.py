@@ -137,3 +137,18 @@ def test_analyses_on_written_mart(mart):
     assert share["Oakland"].foreign_born_pct == pytest.approx(113000 / 419000 * 100)
     top = analysis.size_vs_volume(fact, city).first()
     assert (top.city_name, top["count"]) == ("Francisco", 4)  # ties broken by name
+
+
+def test_cli(spark, tmp_path):
+    from portmart.__main__ import main
+
+    cfg = _cfg(spark, str(tmp_path), "flat")
+    code = main(
+        [
+            "--arrivals", cfg.arrivals_path, "--temperature", cfg.temperature_path,
+            "--demographics", cfg.demographics_path, "--labels", cfg.labels_path,
+            "--output", cfg.output_dir, "--strict",
+        ]
+    )
+    assert code == 0
+    assert spark.read.parquet(os.path.join(cfg.output_dir, "immigration")).count() == 8
