@@ -51,7 +51,7 @@ def join_on_keys(
 BROADCAST_BUDGET_BYTES = 128 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> tuple[DataFrame, bool]:
+def sized_broadcast(df: DataFrame, budget_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when ``df`` is measured to fit the budget,
     else ``(df, False)`` and the join stays a shuffle join (with AQE skew
     splitting).
@@ -60,7 +60,8 @@ def sized_broadcast(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -
     comes from file metadata.  Catalyst's static estimate cannot be used
     for this: for an aggregate or a join it is the size of the inputs.
     """
+    budget = BROADCAST_BUDGET_BYTES if budget_bytes is None else budget_bytes
     rows = df.count()
-    if rows * max(len(df.columns), 1) * 32 <= budget_bytes:
+    if rows * max(len(df.columns), 1) * 32 <= budget:
         return F.broadcast(df), True
     return df, False
