@@ -13,7 +13,7 @@ import sys
 
 from portmart.config import PipelineConfig
 from portmart.plans.pipeline import run_pipeline
-from portmart.session import build_session
+from portmart.session import build_session, scale_settings
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,6 +27,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--layout", choices=["flat", "partitioned"], default="flat")
     ap.add_argument("--country", default="United States")
     ap.add_argument("--master", default=None, help="only for local runs")
+    ap.add_argument(
+        "--input-bytes", type=int, default=None,
+        help="total input size; sizes the shuffles (see session.scale_settings)",
+    )
     ap.add_argument("--strict", action="store_true", help="fail when a check fails")
     args = ap.parse_args(argv)
     cfg = PipelineConfig(
@@ -39,7 +43,8 @@ def main(argv: list[str] | None = None) -> int:
         layout=args.layout,
         country=args.country,
     )
-    spark = build_session(master=args.master)
+    extra = scale_settings(args.input_bytes) if args.input_bytes else None
+    spark = build_session(master=args.master, extra=extra)
     result = run_pipeline(spark, cfg, raise_on_failure=args.strict)
     print(result.message)
     return 0 if all(r[2] for r in result.report) else 1

@@ -23,6 +23,29 @@ SESSION_DEFAULTS = {
 }
 
 
+def scale_settings(
+    input_bytes: int,
+    target_partition_bytes: int = 512 * 1024 * 1024,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Shuffle sizing for a run over ``input_bytes`` of input.
+
+    AQE starts every shuffle with ``initialPartitionNum`` partitions and
+    merges neighbours up to the advisory size, so the start must be large
+    enough that the biggest shuffle (the arrivals dedup, about the size of
+    the selected columns) lands in partitions that fit in executor memory:
+    one per ``target_partition_bytes`` of input, at least 200.  The cap
+    bounds the map-output bookkeeping (maps x reducers) on the driver.
+    """
+    initial = min(max_partitions, max(200, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 4),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(
     app_name: str = "portmart",
     master: str | None = None,
@@ -31,7 +54,8 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the portmart defaults.
 
-    ``master`` is only for local runs; on a cluster leave it to spark-submit.
+    ``master`` is only for local runs; on a cluster leave it to spark-submit
+    and size shuffles with ``scale_settings`` (passed as ``extra``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
