@@ -59,6 +59,9 @@ DEMOGRAPHICS_SCHEMA = _all_text(
 )
 
 
+_SCHEMA_FORMATS = {"parquet", "orc", "csv", "json", "avro"}
+
+
 def read_arrivals(
     spark: SparkSession,
     path: str,
@@ -67,11 +70,12 @@ def read_arrivals(
 ) -> DataFrame:
     """Arrival records in any installed format (parquet by default).
 
-    Only the columns the schema names are read, so a wide landing copy is
-    pruned at the scan.
+    For the built-in formats only the columns the schema names are read, so
+    a wide landing copy is pruned at the scan; other readers (such as a
+    SAS reader) bring their own schema.
     """
     reader = spark.read.format(fmt)
-    if schema is not None:
+    if schema is not None and fmt in _SCHEMA_FORMATS:
         reader = reader.schema(schema)
     return reader.load(path)
 
@@ -85,14 +89,15 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text with a header line; empty fields read as null.
 
-    With a header, columns are matched to the schema by position; the
-    header names are not enforced (``enforceSchema``), as the files carry
-    spaces and dashes in their names.
+    Columns are taken by position and the header names are checked against
+    the schema (``enforceSchema=false``), so a file with its columns in
+    another order fails instead of being silently mislabelled.
     """
     return (
         spark.read.schema(schema)
         .option("header", header)
         .option("sep", sep)
+        .option("enforceSchema", not header)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )

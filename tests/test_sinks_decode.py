@@ -48,3 +48,22 @@ def test_decode_with_default(spark, tmp_out):
     )
     plain = decode(df, "c", countries, "name")
     assert plain.where("name IS NULL").count() == 2
+
+
+def test_csv_header_checked_against_schema(spark, tmp_out):
+    import pytest
+
+    from portmart.sources.readers import read_temperature
+
+    good = os.path.join(tmp_out, "good.csv")
+    with open(good, "w") as f:
+        f.write("dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,Latitude,Longitude\n"
+                "2013-08-01,18.5,,San Francisco,United States,37.78N,122.03W\n")
+    row = read_temperature(spark, good).first()
+    assert (row.City, row.AverageTemperatureUncertainty) == ("San Francisco", None)
+    bad = os.path.join(tmp_out, "bad.csv")
+    with open(bad, "w") as f:
+        f.write("City,dt,AverageTemperature,AverageTemperatureUncertainty,Country,Latitude,Longitude\n"
+                "San Francisco,2013-08-01,18.5,0.3,United States,37.78N,122.03W\n")
+    with pytest.raises(Exception):
+        read_temperature(spark, bad).collect()
