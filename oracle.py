@@ -200,6 +200,14 @@ FROM fact_city GROUP BY city_name, state_code, total_pop
 ORDER BY "count" DESC, city_name, state_code, total_pop"""
 )
 
+_SHARE_VS_VOLUME = (
+    "WITH" + ARRIVALS + "," + CITY_DIM + """
+SELECT city_name, state_code, foreign_born_count,
+       foreign_born_count / NULLIF(total_pop, 0) * 100 AS foreign_born_pct, COUNT(*) AS "count"
+FROM fact_city GROUP BY ALL
+ORDER BY "count" DESC, city_name, state_code, foreign_born_count, foreign_born_pct"""
+)
+
 _PIVOT = ", ".join(
     f"CAST(SUM(CAST(round(o_totalprice) AS BIGINT)) FILTER (WHERE o_orderstatus = '{s}') AS BIGINT) AS \"{s}\""
     for s in ("F", "O", "P")
@@ -356,11 +364,7 @@ FROM orders
 UNION ALL
 SELECT 'lineitem', 'l_orderkey', COUNT(*), COUNT(DISTINCT l_orderkey), COUNT(*) = COUNT(DISTINCT l_orderkey)
 FROM lineitem""",
-    "q_share_vs_volume": "WITH" + ARRIVALS + "," + CITY_DIM + """
-SELECT city_name, state_code, foreign_born_count,
-       foreign_born_count / NULLIF(total_pop, 0) * 100 AS foreign_born_pct, COUNT(*) AS "count"
-FROM fact_city GROUP BY ALL
-ORDER BY "count" DESC, city_name, state_code, foreign_born_count, foreign_born_pct""",
+    "q_share_vs_volume": _SHARE_VS_VOLUME,
     "q_size_vs_volume": _SIZE_VS_VOLUME,
     "popular_cities": "WITH" + ARRIVALS + "," + CITY_DIM + """
 SELECT city_name, state_code, COUNT(*) AS "count" FROM fact_city GROUP BY city_name, state_code
@@ -371,6 +375,8 @@ FROM person GROUP BY gender""",
     "average_age": "WITH" + ARRIVALS + """
 SELECT city_code, AVG(age) AS avg_age, COUNT(age) AS n_with_age
 FROM stage_arrivals GROUP BY city_code""",
+    "share_correlation": "WITH q AS (" + _SHARE_VS_VOLUME + """)
+SELECT round(corr(foreign_born_pct, CAST("count" AS DOUBLE)), 6) AS corr FROM q""",
     "decode_codes": "WITH" + ARRIVALS + """
 SELECT f.*, COALESCE(r.r_name, 'All Other Codes') AS region_label
 FROM fact f LEFT JOIN region r ON f.city_code = CAST(r.r_regionkey AS VARCHAR)""",

@@ -461,6 +461,12 @@ def size_correlation(spark, sf_dir):
     )
 
 
+def share_correlation(spark, sf_dir):
+    return analysis.correlation(q_share_vs_volume(spark, sf_dir), "foreign_born_pct").select(
+        F.round("corr", 6).alias("corr")
+    )
+
+
 def decode_codes(spark, sf_dir):
     """Arrival port codes decoded with the country list of the label file;
     codes it does not list read as its catch-all entry 99."""
@@ -538,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "gender_distribution": gender_distribution,
     "average_age": average_age,
     "size_correlation": size_correlation,
+    "share_correlation": share_correlation,
     "decode_codes": decode_codes,
     "monthly_refresh": monthly_refresh,
 }
