@@ -15,7 +15,7 @@ class PipelineConfig:
     output_dir: str
     arrivals_format: str = "parquet"
     # "flat" writes each table unpartitioned; "partitioned" uses the
-    # directory layout of the exploration notebook (fact by state and city,
+    # folder layout keyed for analysis (fact by state and city,
     # person by gender and age, city by state).
     layout: str = "flat"
     # Value the temperature rows must carry in Country to be kept.
