@@ -21,6 +21,7 @@ from portmart.plans.catalog import QUERIES  # noqa: E402
 from portmart.session import build_session  # noqa: E402
 
 HEADLINE = [
+    "pipeline_report",
     "q_size_vs_volume",
     "q_share_vs_volume",
     "fact_table",

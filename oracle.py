@@ -357,6 +357,22 @@ SELECT table_name, check_name,
 FROM counts, (VALUES ('exists'), ('has_records')) c(check_name)
 UNION ALL SELECT 'missing', 'exists', CAST(0 AS INTEGER), CAST(NULL AS BIGINT)
 UNION ALL SELECT 'missing', 'has_records', CAST(0 AS INTEGER), CAST(NULL AS BIGINT)""",
+    "pipeline_report": "WITH" + ARRIVALS + "," + TEMPERATURE + "," + DEMOGRAPHICS + """,
+dim_city AS (
+  SELECT DISTINCT d.*, t.lat, t.long FROM stage_demographics d
+  JOIN (SELECT DISTINCT city_code, lat, long FROM stage_temperature) t ON d.city_code = t.city_code),
+counts AS (
+  SELECT 'dim_immigrant' AS table_name, (SELECT COUNT(*) FROM person) AS records
+  UNION ALL SELECT 'dim_city', (SELECT COUNT(*) FROM dim_city)
+  UNION ALL SELECT 'dim_city_temp', (SELECT COUNT(*) FROM (
+    SELECT DISTINCT date, city_code, year, month, avg_temperature, avg_temperature_uncertainty
+    FROM stage_temperature))
+  UNION ALL SELECT 'dim_time', (SELECT COUNT(*) FROM (SELECT DISTINCT date FROM stage_arrivals))
+  UNION ALL SELECT 'fact_immigration', (SELECT COUNT(*) FROM fact))
+SELECT table_name, check_name,
+       CAST(CASE WHEN check_name = 'exists' THEN 1 WHEN records > 0 THEN 1 ELSE 0 END AS INTEGER) AS passed,
+       records
+FROM counts, (VALUES ('exists'), ('has_records')) c(check_name)""",
     "primary_key_check": """
 SELECT 'orders' AS table_name, 'o_orderkey' AS key_column, COUNT(*) AS "rows",
        COUNT(DISTINCT o_orderkey) AS distinct_keys, COUNT(*) = COUNT(DISTINCT o_orderkey) AS is_unique

@@ -461,6 +461,31 @@ def size_correlation(spark, sf_dir):
     )
 
 
+def pipeline_report(spark, sf_dir):
+    """The whole batch on the stand-in sources written as files (arrivals
+    parquet, temperatures as comma text, demographics as ';' text, the
+    port list as a label file); the checks of the written star schema."""
+    from portmart.config import PipelineConfig
+    from portmart.plans.pipeline import load_star, run_pipeline
+
+    root = scratch_path(spark, "pipeline")
+    si.arrivals(spark, sf_dir).write.parquet(f"{root}/src/arrivals")
+    si.temperature(spark, sf_dir).write.option("header", True).csv(f"{root}/src/temperature")
+    si.demographics(spark, sf_dir).write.option("header", True).option("sep", ";").csv(
+        f"{root}/src/demographics"
+    )
+    cfg = PipelineConfig(
+        arrivals_path=f"{root}/src/arrivals",
+        temperature_path=f"{root}/src/temperature",
+        demographics_path=f"{root}/src/demographics",
+        labels_path=si.nation_port_labels(spark, sf_dir),
+        output_dir=f"{root}/mart",
+        country=si.STANDIN_COUNTRY,
+    )
+    run_pipeline(spark, cfg)
+    return quality.quality_report(spark, load_star(spark, cfg))
+
+
 def share_correlation(spark, sf_dir):
     return analysis.correlation(q_share_vs_volume(spark, sf_dir), "foreign_born_pct").select(
         F.round("corr", 6).alias("corr")
@@ -537,6 +562,7 @@ QUERIES: dict[str, Query] = {
     "dim_city_metric": dim_city_metric,
     "fact_table": fact_table,
     "quality_report": quality_report,
+    "pipeline_report": pipeline_report,
     "primary_key_check": primary_key_check,
     "q_share_vs_volume": q_share_vs_volume,
     "q_size_vs_volume": q_size_vs_volume,

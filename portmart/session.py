@@ -78,12 +78,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     system; it is only invented here (under the local temp folder) when the
     session has none, which is the case for ad-hoc local runs.
     """
+    root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = root or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="portmart-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
