@@ -53,11 +53,10 @@ def stage_temperature(df: DataFrame) -> DataFrame:
 def stage_demographics(
     df: DataFrame, races: Mapping[str, str] = RACE_COLUMNS
 ) -> DataFrame:
-    """Column names resolve case-insensitively ('state' finds 'State')."""
     return df.select(
         F.col("City").alias("city_name"),
         F.col("city_code"),
-        F.col("state").alias("state_name"),
+        F.col("State").alias("state_name"),
         F.col("State Code").alias("state_code"),
         round2("Median Age").alias("median_age"),
         F.col("Male Population").alias("male_pop"),

@@ -106,14 +106,16 @@ def sink_parquet_overwrite(spark, sf_dir):
 
 def sink_partitioned_1(spark, sf_dir):
     path = scratch_path(spark, "orders_by_status")
-    write_partitioned(_t(spark, sf_dir, "orders"), path, ["o_orderstatus"])
-    return read_partitioned(spark, path)
+    orders = _t(spark, sf_dir, "orders")
+    write_partitioned(orders, path, ["o_orderstatus"])
+    return read_partitioned(spark, path, orders.schema)
 
 
 def sink_partitioned_2(spark, sf_dir):
     path = scratch_path(spark, "orders_by_status_priority")
-    write_partitioned(_t(spark, sf_dir, "orders"), path, ["o_orderstatus", "o_orderpriority"])
-    return read_partitioned(spark, path)
+    orders = _t(spark, sf_dir, "orders")
+    write_partitioned(orders, path, ["o_orderstatus", "o_orderpriority"])
+    return read_partitioned(spark, path, orders.schema)
 
 
 def count_distinct_sql(spark, sf_dir):
@@ -507,10 +509,9 @@ def monthly_refresh(spark, sf_dir):
     landing = f"{root}/landing"
     si.arrivals(spark, sf_dir).repartitionByRange(8, "arrdate").write.parquet(landing)
     refresh_arrivals(spark, landing, f"{root}/mart", checkpoint_dir=f"{root}/checkpoint", max_files_per_batch=2)
-    return read_partitioned(spark, f"{root}/mart/immigration").select(
-        "id", "state_code", "city_code", "date", "count",
-        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
-    )
+    schema = mart.fact_table(stage_arrivals(spark, sf_dir)).schema
+    schema = schema.add("year", T.IntegerType()).add("month", T.IntegerType())
+    return read_partitioned(spark, f"{root}/mart/immigration", schema)
 
 
 QUERIES: dict[str, Query] = {
