@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from portmart.functions.dates import calendar_columns
 from portmart.operators.cleaning import RACE_COLUMNS

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portmart.functions.casts import lenient_float, lenient_long
-from portmart.functions.dates import calendar_columns, iso_date_text, sas_day_to_date
+from portmart.functions.dates import iso_date_text, sas_day_to_date
 from portmart.functions.numeric import percentage, round2
 from portmart.functions.text import contains_ci
 from portmart.operators import aggregates as agg

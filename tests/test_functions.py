@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portmart.functions import (

@@ -3,7 +3,6 @@ input where one city holds a third of all rows."""
 
 import pytest
 from fixtures import PORTS
-from pyspark.sql import functions as F
 from test_lookup import brute
 
 from portmart.operators import joins, lookup
