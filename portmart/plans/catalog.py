@@ -503,12 +503,17 @@ def decode_codes(spark, sf_dir):
 
 
 def monthly_refresh(spark, sf_dir):
-    """Arrival files landed in date order and drained by the streaming
-    refresh two files per micro-batch; the fact table read back."""
+    """Arrival files landed in date order (as many as the session's shuffle
+    partitions) and drained by the streaming refresh in about four
+    micro-batches; the fact table read back."""
     root = scratch_path(spark, "refresh")
     landing = f"{root}/landing"
-    si.arrivals(spark, sf_dir).repartitionByRange(8, "arrdate").write.parquet(landing)
-    refresh_arrivals(spark, landing, f"{root}/mart", checkpoint_dir=f"{root}/checkpoint", max_files_per_batch=2)
+    si.arrivals(spark, sf_dir).repartitionByRange("arrdate").write.parquet(landing)
+    n_files = len(spark.read.parquet(landing).inputFiles())
+    refresh_arrivals(
+        spark, landing, f"{root}/mart", checkpoint_dir=f"{root}/checkpoint",
+        max_files_per_batch=max(1, -(-n_files // 4)),
+    )
     schema = mart.fact_table(stage_arrivals(spark, sf_dir)).schema
     schema = schema.add("year", T.IntegerType()).add("month", T.IntegerType())
     return read_partitioned(spark, f"{root}/mart/immigration", schema)
