@@ -42,7 +42,8 @@ def _materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     read parquet instead of recomputing the lineage (and a lost executor
     costs a re-read, not a re-run of the cleaning)."""
     write_table(df, path)
-    return spark.read.parquet(path)
+    # The schema is known: no footer-reading job to infer it.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def build_staging(
