@@ -63,3 +63,13 @@ def test_no_python_udf_in_plan(spark):
     plan = first_match_code(df, "City", _labels_df(spark, labels))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_one_lookup_per_distinct_name(spark):
+    from portmart.operators.lookup import name_codes
+
+    labels = [(i, c, l) for i, (c, l) in enumerate(PORTS)]
+    names = spark.createDataFrame([("Portland",), ("PORTLAND",), ("portland",), ("Mesa",), ("Nowhere",), (None,)] * 20, "City string")
+    mapping, small = name_codes(names, "City", _labels_df(spark, labels))
+    # one row per distinct lower-cased name that matches something
+    assert small and sorted(tuple(r) for r in mapping.collect()) == [("mesa", "OTM"), ("portland", "POM")]
