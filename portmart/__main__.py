@@ -1,9 +1,11 @@
-"""Run the batch pipeline:
+"""Run the batch pipeline.
 
-    spark-submit -m portmart --arrivals ... --temperature ... \\
-        --demographics ... --labels ... --output ...
+    python -m portmart --config config.cfg [--layout partitioned]
+    python -m portmart --arrivals A --temperature T --demographics D \\
+        --labels L --output O
 
-(or ``python -m portmart ...`` for a local session).
+On a cluster, ship the package (``--py-files portmart.zip``) and submit
+``portmart/__main__.py`` with the same arguments.
 """
 
 from __future__ import annotations
@@ -18,12 +20,13 @@ from portmart.session import build_session, scale_settings
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="portmart", description=__doc__.splitlines()[0])
-    ap.add_argument("--arrivals", required=True)
+    ap.add_argument("--config", help="INI file with a [DATA] section of paths")
+    ap.add_argument("--arrivals")
     ap.add_argument("--arrivals-format", default="parquet")
-    ap.add_argument("--temperature", required=True)
-    ap.add_argument("--demographics", required=True)
-    ap.add_argument("--labels", required=True)
-    ap.add_argument("--output", required=True)
+    ap.add_argument("--temperature")
+    ap.add_argument("--demographics")
+    ap.add_argument("--labels")
+    ap.add_argument("--output")
     ap.add_argument("--layout", choices=["flat", "partitioned"], default="flat")
     ap.add_argument("--country", default="United States")
     ap.add_argument("--master", default=None, help="only for local runs")
@@ -33,16 +36,14 @@ def main(argv: list[str] | None = None) -> int:
     )
     ap.add_argument("--strict", action="store_true", help="fail when a check fails")
     args = ap.parse_args(argv)
-    cfg = PipelineConfig(
-        arrivals_path=args.arrivals,
-        temperature_path=args.temperature,
-        demographics_path=args.demographics,
-        labels_path=args.labels,
-        output_dir=args.output,
-        arrivals_format=args.arrivals_format,
-        layout=args.layout,
-        country=args.country,
-    )
+    options = dict(arrivals_format=args.arrivals_format, layout=args.layout, country=args.country)
+    paths = [args.arrivals, args.temperature, args.demographics, args.labels, args.output]
+    if args.config:
+        cfg = PipelineConfig.from_ini(args.config, **options)
+    elif all(paths):
+        cfg = PipelineConfig(*paths, **options)
+    else:
+        ap.error("give --config or all of --arrivals --temperature --demographics --labels --output")
     extra = scale_settings(args.input_bytes) if args.input_bytes else None
     spark = build_session(master=args.master, extra=extra)
     result = run_pipeline(spark, cfg, raise_on_failure=args.strict)

@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import configparser
 import os
 from dataclasses import dataclass
 
+# Section and key names of the INI file the original batch
+# program reads its paths from.
+INI_SECTION = "DATA"
+INI_KEYS = {
+    "arrivals_path": "IMMIGRATION_DATA_FILE_PATH",
+    "temperature_path": "TEMPERATURE_DATA_FILE_PATH",
+    "demographics_path": "DEMOGRAPHICS_DATA_FILE_PATH",
+    "labels_path": "SAS_LABELS_DESCRIPTION_FILE_PATH",
+    "output_dir": "OUTPUT_DATA_DIR",
+}
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -23,3 +35,21 @@ class PipelineConfig:
 
     def out(self, table: str) -> str:
         return os.path.join(self.output_dir, table)
+
+    @classmethod
+    def from_ini(cls, path: str, **overrides) -> "PipelineConfig":
+        """Paths from an INI file with a [DATA] section; relative paths are
+        taken relative to the file's folder.  ``overrides`` set the other
+        fields (format, layout, country)."""
+        parser = configparser.ConfigParser()
+        parser.optionxform = str  # keys keep their case
+        if not parser.read(path):
+            raise FileNotFoundError(path)
+        section = parser[INI_SECTION]
+        base = os.path.dirname(os.path.abspath(path))
+
+        def resolve(value: str) -> str:
+            return value if "://" in value or os.path.isabs(value) else os.path.normpath(os.path.join(base, value))
+
+        fields = {name: resolve(section[key]) for name, key in INI_KEYS.items()}
+        return cls(**fields, **overrides)

@@ -152,3 +152,23 @@ def test_cli(spark, tmp_path):
     )
     assert code == 0
     assert spark.read.parquet(os.path.join(cfg.output_dir, "immigration")).count() == 8
+
+
+def test_cli_with_ini_config(spark, tmp_path):
+    from portmart.__main__ import main
+
+    cfg = _cfg(spark, str(tmp_path), "flat")
+    ini = tmp_path / "src" / "config.cfg"
+    ini.write_text(
+        "[DATA]\n"
+        "IMMIGRATION_DATA_FILE_PATH=arrivals\n"
+        "TEMPERATURE_DATA_FILE_PATH=temperature.csv\n"
+        "DEMOGRAPHICS_DATA_FILE_PATH=demographics.csv\n"
+        "SAS_LABELS_DESCRIPTION_FILE_PATH=labels.SAS\n"
+        "OUTPUT_DATA_DIR=../ini_out/\n"
+    )
+    assert main(["--config", str(ini), "--layout", "partitioned", "--strict"]) == 0
+    out = os.path.join(str(tmp_path), "ini_out", "immigration")
+    assert os.path.isdir(os.path.join(out, "state_code=CA"))
+    assert spark.read.parquet(out).count() == 8
+    assert cfg.output_dir != out
