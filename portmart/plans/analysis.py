@@ -3,7 +3,7 @@ foreign-born share, and the summaries the data model was built for."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portmart.functions.numeric import percentage
@@ -64,11 +64,11 @@ def popular_cities(fact: DataFrame, city: DataFrame, k: int = 10) -> DataFrame:
 def gender_distribution(person: DataFrame) -> DataFrame:
     """Arrivals per gender and their share of all arrivals (percent).
 
-    The share is computed over the grouped rows (one per gender), so the
-    unpartitioned window sees a handful of rows.
+    The total is a scalar subquery over the grouped rows (one per gender);
+    the grouping's shuffle is shared with the main query, not recomputed.
     """
     g = group_count(person, ["gender"])
-    total = F.sum("count").over(Window.partitionBy(F.lit(1)))
+    total = g.agg(F.sum("count")).scalar()
     return g.withColumn("share_pct", percentage(F.col("count"), total))
 
 
