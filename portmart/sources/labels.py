@@ -79,20 +79,15 @@ def label_table(lines: DataFrame, section: str = PORT_SECTION) -> DataFrame:
     ``value`` line to the first line with a ';' outside quotes, and an
     entry on that closing line counts.
     """
-    # One small action: the line numbers of this section's header and of
-    # every line closing a section (a handful per file).
+    # Two small actions, each returning one number: the section's first
+    # header line, then the first closing line after it.  Consumers get
+    # plain literal filters.
     is_header = F.col("value").rlike(_header_pattern(section))
     closes = F.contains(F.regexp_replace("value", QUOTED_PATTERN, ""), F.lit(";"))
-    marks = (
-        lines.where(is_header | closes)
-        .select("line_no", is_header.alias("h"), closes.alias("c"))
-        .collect()
-    )
-    starts = [m.line_no for m in marks if m.h]
-    if not starts:
+    start = lines.where(is_header).agg(F.min("line_no")).first()[0]
+    if start is None:
         return lines.sparkSession.createDataFrame([], LABEL_SCHEMA)
-    start = min(starts)
-    end = min((m.line_no for m in marks if m.c and m.line_no > start), default=None)
+    end = lines.where((F.col("line_no") > start) & closes).agg(F.min("line_no")).first()[0]
     body = lines.where(F.col("line_no") > start)
     if end is not None:
         body = body.where(F.col("line_no") <= end)
