@@ -63,3 +63,18 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         return False, f"values differ ({names}): {diff}"
     return True, f"{len(s_rows)} rows"
+
+
+# Spark type -> DuckDB type name, for the schema half of the gate.
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+}
+
+
+def type_diff(spark_df, con, sql: str) -> dict:
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}

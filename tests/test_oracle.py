@@ -2,7 +2,7 @@
 on the smallest tables; tests/compare.py is the comparison."""
 
 import pytest
-from compare import compare, duck
+from compare import compare, duck, type_diff
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
@@ -24,7 +24,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
-    ok, msg = compare(df, con, entry.oracle_sql()[name])
+    sql = entry.oracle_sql()[name]
+    assert type_diff(df, con, sql) == {}
+    ok, msg = compare(df, con, sql)
     assert ok, msg
 
 
