@@ -20,6 +20,7 @@ import os
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,10 +67,10 @@ def refresh_arrivals(
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         new = _month_fact(batch)
-        if _exists(spark, target):
+        old = _existing(spark, target, new.schema)
+        if old is not None:
             # The months in this batch: a short list, used to prune folders.
             months = new.select(*REFRESH_KEYS).distinct().collect()
-            old = read_partitioned(spark, target, new.schema)
             old = old.where(
                 reduce(
                     lambda a, b: a | b,
@@ -97,8 +98,10 @@ def refresh_arrivals(
     return len(batches)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+
+def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The fact table written so far, or None before the first batch."""
+    try:
+        return read_partitioned(spark, path, schema)
+    except AnalysisException:
+        return None
