@@ -34,3 +34,26 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["city_name", "state_code", "total_pop", "count"]
     assert df.count() > 0
+
+
+ALT_CONF = {
+    "spark.sql.session.timeZone": "America/Los_Angeles",
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.shuffle.partitions": "200",
+}
+
+
+@pytest.mark.parametrize(
+    "name", ["sas_day_to_date", "calendar_dim", "stage_temperature", "cast_string_long", "q_share_vs_volume", "src_parquet"]
+)
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    before = {k: spark.conf.get(k) for k in ALT_CONF}
+    try:
+        for k, v in ALT_CONF.items():
+            spark.conf.set(k, v)
+        ok, msg = compare(entry.queries()[name](spark, SF_SMALL), con, entry.oracle_sql()[name])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert ok, msg
