@@ -398,6 +398,10 @@ SELECT f.*, COALESCE(r.r_name, 'All Other Codes') AS region_label
 FROM fact f LEFT JOIN region r ON f.city_code = CAST(r.r_regionkey AS VARCHAR)""",
     "monthly_refresh": "WITH" + ARRIVALS + """
 SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM fact""",
+    "temperature_refresh": "WITH" + TEMPERATURE + """
+SELECT DISTINCT date, city_code, year, month, CAST(avg_temperature AS DOUBLE) AS avg_temperature,
+       CAST(avg_temperature_uncertainty AS DOUBLE) AS avg_temperature_uncertainty
+FROM stage_temperature""",
     "size_correlation": "WITH q AS (" + _SIZE_VS_VOLUME + """)
 SELECT round(corr(CAST(total_pop AS DOUBLE), CAST("count" AS DOUBLE)), 6) AS corr FROM q""",
 }

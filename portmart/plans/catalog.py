@@ -22,7 +22,7 @@ from portmart.operators.ordering import order_by_desc, top_k
 from portmart.plans import analysis
 from portmart.plans import standins as si
 from portmart.session import scratch_path
-from portmart.streaming.refresh import refresh_arrivals
+from portmart.streaming.refresh import refresh_arrivals, refresh_city_temperature
 from portmart.sources.labels import read_label_lines, label_table as parse_labels
 from portmart.sources.readers import read_arrivals, read_delimited, register_view
 from portmart.sources.sinks import read_partitioned, write_partitioned, write_table
@@ -519,6 +519,23 @@ def monthly_refresh(spark, sf_dir):
     return read_partitioned(spark, f"{root}/mart/immigration", schema)
 
 
+def temperature_refresh(spark, sf_dir):
+    """Temperature files (comma text) landed in date order and drained by
+    the streaming refresh in about four micro-batches; the city temperature
+    table read back."""
+    root = scratch_path(spark, "temperature_refresh")
+    landing = f"{root}/landing"
+    si.temperature(spark, sf_dir).repartitionByRange("dt").write.option("header", True).csv(landing)
+    n_files = len(spark.read.text(landing).inputFiles())
+    refresh_city_temperature(
+        spark, landing, si.nation_port_labels(spark, sf_dir), f"{root}/mart",
+        checkpoint_dir=f"{root}/checkpoint", country=si.STANDIN_COUNTRY,
+        max_files_per_batch=max(1, -(-n_files // 4)),
+    )
+    schema = mart.dim_city_metric(staging.stage_temperature(_clean_temperature(spark, sf_dir))).schema
+    return _double_floats(read_partitioned(spark, f"{root}/mart/city_temperature", schema))
+
+
 QUERIES: dict[str, Query] = {
     "src_parquet": src_parquet,
     "src_csv_comma": src_csv_comma,
@@ -579,4 +596,5 @@ QUERIES: dict[str, Query] = {
     "share_correlation": share_correlation,
     "decode_codes": decode_codes,
     "monthly_refresh": monthly_refresh,
+    "temperature_refresh": temperature_refresh,
 }

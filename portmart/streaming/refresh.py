@@ -1,39 +1,89 @@
-"""Monthly refresh: each arrival file that lands is processed exactly once.
+"""Monthly refresh: each landed source file is processed exactly once.
 
-The source data is published monthly; instead of re-running the whole
-batch, a file-source stream with ``trigger(availableNow=True)`` picks up
-the files not yet seen (its offsets live in the shared checkpoint folder),
-cleans and stages them and appends the fact rows that are new to the
-(year, month) folders they belong to.  A schedule starts it; it stops by
-itself once the landing folder is drained.
+The sources are published monthly; instead of re-running the whole batch, a
+file-source stream with ``trigger(availableNow=True)`` picks up the files not
+yet seen (its offsets live in the shared checkpoint folder), runs the batch
+operators on them and appends the rows that are new to the (year, month)
+folders they belong to.  A schedule starts it; it stops by itself once the
+landing folder is drained.
 
 Each micro-batch is a plain DataFrame job, so the operators are the batch
 ones.  "New" is decided by a null-safe anti-join against the existing rows
-of the months the batch touches (only those folders are read), so the
-fact stays distinct when a month arrives in several files, and re-running
-an interrupted batch appends nothing twice.
+of the months the batch touches (only those folders are read), so a table
+stays distinct when a month arrives in several files, and re-running an
+interrupted batch appends nothing twice.
 """
 
 from __future__ import annotations
 
 import os
-
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portmart.operators.cleaning import clean_arrivals
-from portmart.operators.mart import fact_table
-from portmart.operators.staging import stage_arrivals
+from portmart.operators.cleaning import clean_arrivals, clean_temperature
+from portmart.operators.mart import dim_city_metric, fact_table
+from portmart.operators.staging import stage_arrivals, stage_temperature
 from portmart.session import checkpoint_root
-from portmart.sources.readers import ARRIVALS_SCHEMA
+from portmart.sources.labels import read_label_table
+from portmart.sources.readers import ARRIVALS_SCHEMA, TEMPERATURE_SCHEMA
 from portmart.sources.sinks import read_partitioned, write_partitioned
 
 REFRESH_KEYS = ["year", "month"]
 
 
+def append_new_rows(spark: SparkSession, new: DataFrame, target: str) -> None:
+    """Append the rows of ``new`` (which carries ``year`` and ``month``) that
+    ``target`` does not hold yet, in year=/month= folders."""
+    old = _existing(spark, target, new.schema)
+    if old is not None:
+        # The months in this batch: a short list, used to prune folders.
+        months = new.select(*REFRESH_KEYS).distinct().collect()
+        touched = reduce(
+            lambda a, b: a | b,
+            [F.col("year").eqNullSafe(F.lit(m.year)) & F.col("month").eqNullSafe(F.lit(m.month)) for m in months],
+            F.lit(False),
+        )
+        old = old.where(touched)
+        same = [new[c].eqNullSafe(old[c]) for c in new.columns]
+        new = new.join(old, reduce(lambda a, b: a & b, same), "left_anti")
+    write_partitioned(new, target, REFRESH_KEYS, mode="append")
+
+
+def _drain(
+    spark: SparkSession,
+    stream: DataFrame,
+    to_rows: Callable[[DataFrame], DataFrame],
+    target: str,
+    checkpoint_dir: str,
+) -> int:
+    batches = []
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        append_new_rows(spark, to_rows(batch), target)
+        batches.append(epoch_id)
+
+    query = (
+        stream.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return len(batches)
+
+
+def _checkpoint(spark: SparkSession, output_dir: str, name: str, given: str | None) -> str:
+    return given or os.path.join(
+        checkpoint_root(spark), "portmart-refresh", os.path.basename(os.path.normpath(output_dir)), name
+    )
+
+
 def _month_fact(batch: DataFrame) -> DataFrame:
     fact = fact_table(stage_arrivals(clean_arrivals(batch)))
     return fact.withColumns({"year": F.year("date"), "month": F.month("date")})
@@ -54,53 +104,50 @@ def refresh_arrivals(
     ``year=/month=`` folders (arrivals without a date under the null
     folder).
     """
-    checkpoint_dir = checkpoint_dir or os.path.join(
-        checkpoint_root(spark), "portmart-refresh", os.path.basename(os.path.normpath(output_dir))
-    )
-    target = os.path.join(output_dir, "immigration")
     reader = spark.readStream.format(fmt).schema(ARRIVALS_SCHEMA)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    stream = reader.load(landing_dir)
+    return _drain(
+        spark,
+        reader.load(landing_dir),
+        _month_fact,
+        os.path.join(output_dir, "immigration"),
+        _checkpoint(spark, output_dir, "immigration", checkpoint_dir),
+    )
 
-    batches = []
 
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        new = _month_fact(batch)
-        old = _existing(spark, target, new.schema)
-        if old is not None:
-            # The months in this batch: a short list, used to prune folders.
-            months = new.select(*REFRESH_KEYS).distinct().collect()
-            old = old.where(
-                reduce(
-                    lambda a, b: a | b,
-                    [
-                        F.col("year").eqNullSafe(F.lit(m.year)) & F.col("month").eqNullSafe(F.lit(m.month))
-                        for m in months
-                    ],
-                    F.lit(False),
-                )
-            )
-            same = [new[c].eqNullSafe(old[c]) for c in new.columns]
-            new = new.join(old, reduce(lambda a, b: a & b, same), "left_anti")
-        write_partitioned(new, target, REFRESH_KEYS, mode="append")
-        batches.append(epoch_id)
+def refresh_city_temperature(
+    spark: SparkSession,
+    landing_dir: str,
+    labels_path: str,
+    output_dir: str,
+    checkpoint_dir: str | None = None,
+    country: str = "United States",
+    max_files_per_batch: int | None = None,
+) -> int:
+    """Process every temperature file (comma text with a header) in
+    ``landing_dir`` not processed before into
+    ``<output_dir>/city_temperature`` (year=/month= folders); returns the
+    number of micro-batches run."""
+    labels = read_label_table(spark, labels_path)
+    reader = spark.readStream.schema(TEMPERATURE_SCHEMA).option("header", True).option("enforceSchema", False)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 
-    query = (
-        stream.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return len(batches)
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return dim_city_metric(stage_temperature(clean_temperature(batch, labels, country)))
 
+    return _drain(
+        spark,
+        reader.csv(landing_dir),
+        to_rows,
+        os.path.join(output_dir, "city_temperature"),
+        _checkpoint(spark, output_dir, "city_temperature", checkpoint_dir),
+    )
 
 
 def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The fact table written so far, or None before the first batch."""
+    """The table written so far, or None before the first batch."""
     try:
         return read_partitioned(spark, path, schema)
     except AnalysisException:

@@ -63,3 +63,38 @@ def test_batch_failing_after_its_write_is_retried_without_duplicates(spark, tmp_
     df = read_partitioned(spark, os.path.join(out, "immigration"))
     assert df.count() == 8
     assert df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count() == 0
+
+
+def test_temperature_refresh_equals_batch(spark, tmp_out):
+    from fixtures import LABEL_FILE, TEMPERATURE_CSV
+
+    from portmart.operators.cleaning import clean_temperature
+    from portmart.operators.mart import dim_city_metric
+    from portmart.operators.staging import stage_temperature
+    from portmart.sources.labels import read_label_table
+    from portmart.sources.readers import read_temperature
+    from portmart.streaming import refresh_city_temperature
+
+    labels_path = os.path.join(tmp_out, "labels.SAS")
+    with open(labels_path, "w") as f:
+        f.write(LABEL_FILE)
+    header, *rows = TEMPERATURE_CSV.strip().splitlines()
+    landing, out = os.path.join(tmp_out, "landing"), os.path.join(tmp_out, "out")
+    os.makedirs(landing)
+    first = [r for r in rows if r.startswith("2013-08")]
+    with open(os.path.join(landing, "2013-08.csv"), "w") as f:
+        f.write("\n".join([header, *first]) + "\n")
+    assert refresh_city_temperature(spark, landing, labels_path, out, os.path.join(tmp_out, "ckpt")) == 1
+    rest = [r for r in rows if not r.startswith("2013-08")] + first[:1]  # a repeated row
+    with open(os.path.join(landing, "2013-09.csv"), "w") as f:
+        f.write("\n".join([header, *rest]) + "\n")
+    assert refresh_city_temperature(spark, landing, labels_path, out, os.path.join(tmp_out, "ckpt")) == 1
+
+    whole = os.path.join(tmp_out, "whole.csv")
+    with open(whole, "w") as f:
+        f.write(TEMPERATURE_CSV)
+    want = dim_city_metric(stage_temperature(clean_temperature(
+        read_temperature(spark, whole), read_label_table(spark, labels_path))))
+    got = read_partitioned(spark, os.path.join(out, "city_temperature"), want.schema).select(*want.columns)
+    assert got.count() == want.count() == 5
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
