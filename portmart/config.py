@@ -26,6 +26,9 @@ class PipelineConfig:
     labels_path: str
     output_dir: str
     arrivals_format: str = "parquet"
+    # Reader options for the arrivals (a CSV copy gets a header line by
+    # default).
+    arrivals_options: dict | None = None
     # "flat" writes each table unpartitioned; "partitioned" uses the
     # folder layout keyed for analysis (fact by state and city,
     # person by gender and age, city by state).
@@ -33,6 +36,11 @@ class PipelineConfig:
     # Value the temperature rows must carry in Country to be kept.
     country: str = "United States"
 
+    def arrivals_reader_options(self) -> dict:
+        if self.arrivals_options is not None:
+            return dict(self.arrivals_options)
+        return {"header": True} if self.arrivals_format == "csv" else {}
+
     def out(self, table: str) -> str:
         return os.path.join(self.output_dir, table)
 

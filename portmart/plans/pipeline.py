@@ -50,7 +50,9 @@ def build_staging(
     spark: SparkSession, cfg: PipelineConfig
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     labels = read_label_table(spark, cfg.labels_path)
-    arrivals = read_arrivals(spark, cfg.arrivals_path, fmt=cfg.arrivals_format)
+    arrivals = read_arrivals(
+        spark, cfg.arrivals_path, fmt=cfg.arrivals_format, options=cfg.arrivals_reader_options()
+    )
     temperature = read_temperature(spark, cfg.temperature_path)
     demographics = read_demographics(spark, cfg.demographics_path)
 

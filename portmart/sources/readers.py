@@ -67,14 +67,16 @@ def read_arrivals(
     path: str,
     fmt: str = "parquet",
     schema: T.StructType | None = ARRIVALS_SCHEMA,
+    options: dict[str, str | bool] | None = None,
 ) -> DataFrame:
     """Arrival records in any installed format (parquet by default).
 
     For the built-in formats only the columns the schema names are read, so
     a wide landing copy is pruned at the scan; other readers (such as a
-    SAS reader) bring their own schema.
+    SAS reader) bring their own schema.  ``options`` go to the reader
+    (``{"header": True}`` for a CSV copy).
     """
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None and fmt in _SCHEMA_FORMATS:
         reader = reader.schema(schema)
     return reader.load(path)

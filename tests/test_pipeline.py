@@ -172,3 +172,15 @@ def test_cli_with_ini_config(spark, tmp_path):
     assert os.path.isdir(os.path.join(out, "state_code=CA"))
     assert spark.read.parquet(out).count() == 8
     assert cfg.output_dir != out
+
+
+def test_pipeline_reads_arrivals_landed_as_csv(spark, tmp_path):
+    from dataclasses import replace
+
+    cfg = _cfg(spark, str(tmp_path), "flat")
+    csv_path = os.path.join(str(tmp_path), "src", "arrivals_csv")
+    spark.createDataFrame(ARRIVALS, ARRIVALS_SCHEMA).write.option("header", True).csv(csv_path)
+    cfg = replace(cfg, arrivals_path=csv_path, arrivals_format="csv")
+    result = run_pipeline(spark, cfg)
+    assert result.message.endswith("All checks passed!")
+    assert spark.read.parquet(cfg.out("immigration")).count() == 8

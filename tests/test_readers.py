@@ -12,7 +12,7 @@ def test_arrivals_in_another_format_are_typed_by_the_schema(spark, tmp_out):
     df = spark.createDataFrame(ARRIVALS, ARRIVALS_SCHEMA)
     df.write.option("header", True).csv(path)
     back = spark.read.format("csv").option("header", True).schema(ARRIVALS_SCHEMA).load(path)
-    got = read_arrivals(spark, path, fmt="csv", schema=ARRIVALS_SCHEMA)
+    got = read_arrivals(spark, path, fmt="csv", schema=ARRIVALS_SCHEMA, options={"header": True})
     assert got.schema == ARRIVALS_SCHEMA
     assert sorted(map(repr, got.collect())) == sorted(map(repr, back.collect()))
 
