@@ -39,12 +39,19 @@ def test_stacked_distincts_are_one_shuffle(spark):
     assert p.count("Exchange hashpartitioning") == 1
 
 
-def test_city_dimension_broadcast_fact_not_shuffled_for_join(spark):
-    p = plan(q(spark, "q_size_vs_volume"))
+@pytest.mark.parametrize("name", ["q_size_vs_volume", "q_share_vs_volume", "popular_cities"])
+def test_city_dimension_broadcast_fact_not_shuffled_for_join(spark, name):
+    p = plan(q(spark, name))
     assert re.search(r"BroadcastHashJoin \[city_code#\d+, state_code#\d+\]", p)
     assert "SortMergeJoin" not in p
 
 
+@pytest.mark.parametrize("name", ["clean_temperature", "clean_demographics"])
+def test_rows_get_their_port_code_by_broadcast(spark, name):
+    # the rows are joined to the (name -> code) mapping map-side
+    assert re.search(r"BroadcastHashJoin \[lower\(City#\d+\)\]", plan(q(spark, name)))
+
+
 def test_pivot_is_one_aggregation(spark):
     p = plan(q(spark, "pivot_sum"))
     assert p.count("Exchange") == 1 and "partial_sum" in p
