@@ -16,7 +16,8 @@ from portmart.operators.cleaning import (
     keep_equal,
     pivot_sum,
 )
-from portmart.operators.joins import join_on_keys, join_using_distinct
+from portmart.operators.decode import decode
+from portmart.operators.joins import join_on_keys, join_using_distinct, sized_broadcast
 from portmart.operators.lookup import first_match_code, name_codes
 from portmart.operators.mart import (
     calendar_dim,
@@ -41,6 +42,7 @@ __all__ = [
     "clean_temperature",
     "count_distinct",
     "count_rows",
+    "decode",
     "dedup_rows",
     "dim_city",
     "dim_city_metric",
@@ -59,6 +61,7 @@ __all__ = [
     "primary_key_check",
     "quality_report",
     "run_checks",
+    "sized_broadcast",
     "stage_arrivals",
     "stage_demographics",
     "stage_temperature",

@@ -1,6 +1,6 @@
 """Readers and writers."""
 
-from portmart.sources.labels import label_table, read_label_lines
+from portmart.sources.labels import label_table, read_label_lines, read_label_table
 from portmart.sources.readers import (
     ARRIVALS_SCHEMA,
     DEMOGRAPHICS_SCHEMA,
@@ -22,6 +22,7 @@ __all__ = [
     "read_delimited",
     "read_demographics",
     "read_label_lines",
+    "read_label_table",
     "read_partitioned",
     "read_temperature",
     "register_view",
