@@ -13,9 +13,11 @@ are cut at the same places of that order.
 3. Pairs that the sizes and a bitmap of the sets rule out go.  For the rest
    the sets are cut into fragments of the global order, the overlap of each
    fragment is counted separately and summed per pair: exact similarity.
-4. Components of the links.  Where classes of different components still
-   share a shingle as in 2, all those pairs are verified too; pairs inside
-   one component need no verdict.  The components are then complete.
+4. Components of the links.  Pairs inside one component need no verdict.
+   Where classes of different components still share a shingle as in 2 and
+   are many, leaders are drawn anew among them, which joins large groups of
+   near copies in a few linear rounds; the pairs that still cross components
+   at last are all verified.  The components are then complete.
 
 A class is named by a 64-bit hash of its set.
 
@@ -44,8 +46,12 @@ WIDTH = 5
 PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 64
-BITMAP_BITS = 2048
+FOLDED_BITS = 512
 FRAGMENT_BITS = 3
+SETS_AT_ONCE = 1000
+# Leaders are drawn anew while all crossing pairs would be more than so many per meeting.
+CROSSING_PER_MEETING = 2
+MAX_DRAWS = 8
 # Above this many times the sketch's mean count a shingle is dealt by a salt too.
 HOT_FACTOR = 64
 SALTS = 64
@@ -66,45 +72,64 @@ def shingle_sets(texts: list[bytes | None], width: int = WIDTH) -> Iterator[np.n
                 found = tokens.run_hashes(words[start : start + n], int(n)) ^ np.uint64(n)
             else:
                 found = words[:0]
-            yield np.unique(found)
+            found = np.sort(found)
+            yield found[np.concatenate([[True], found[1:] != found[:-1]])] if n else found
             start += n
 
 
-def class_id(found: np.ndarray) -> int:
-    """One number for a set: equal sets, equal numbers."""
-    whole = tokens.mix(found * np.uint64(tokens.BYTE_BASE) + np.uint64(1)).sum(dtype=np.uint64)
-    return int(tokens.mix(np.array([whole + np.uint64(len(found))], np.uint64)).view(np.int64)[0])
+def class_ids(sets: list[np.ndarray]) -> np.ndarray:
+    """One number for each set, all with members: equal sets, equal numbers."""
+    if not sets:
+        return np.zeros(0, np.int64)
+    sizes = np.array([len(s) for s in sets])
+    members = tokens.mix(np.concatenate(sets) * np.uint64(tokens.BYTE_BASE) + np.uint64(1))
+    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    return tokens.mix(np.add.reduceat(members, first) + sizes.astype(np.uint64)).view(np.int64)
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """One bit per bucket: the parity of the set's members in it.  Sets that
-    differ in d members have bitmaps that differ in at most d bits."""
-    counts = np.bincount((found & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS)
+    """One bit per bucket, about as many buckets as members: the parity of
+    the members in it.  Sets that differ in d members have bitmaps that
+    differ in at most d bits, also when both are folded."""
+    bits = max(FOLDED_BITS, 1 << (len(found) - 1).bit_length())
+    counts = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1).tobytes()
 
 
+def fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap of 64-bit words folded to ``size`` words."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
+
+
 def least_overlap(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Least overlap of sets of n and m members with the similarity asked for."""
     return -(-(percent * (n + m)) // (100 + percent))
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n, class, bitmap`` of every document with words,
+    """``doc_id, text_hash, n, class, bitmap, folded`` of every document with words,
     and rows with ``block`` and ``counts``: each partition's count sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             sets = list(shingle_sets(batch.column(2).to_pylist()))
-            for s in sets:
-                np.add.at(sketch, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            named = np.zeros(len(sets), np.int64)
+            held = [i for i, s in enumerate(sets) if len(s)]
+            for part in (held[i : i + SETS_AT_ONCE] for i in range(0, len(held), SETS_AT_ONCE)):
+                some = [sets[i] for i in part]
+                named[part] = class_ids(some)
+                places = (np.concatenate(some) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+                sketch += np.bincount(places, minlength=len(sketch)).astype(np.uint32)
+            maps = [bitmap(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([class_id(s) for s in sets], pa.int64()),
-                    pa.array([bitmap(s) for s in sets], pa.binary()),
+                    pa.array(named),
+                    pa.array(maps, pa.binary()),
+                    pa.array([fold(np.frombuffer(m, np.int64), FOLDED_BITS // 64) for m in maps], pa.list_(pa.int64())),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
@@ -119,18 +144,19 @@ def describe(docs: DataFrame) -> DataFrame:
                 pa.nulls(len(used), pa.int64()),
                 pa.nulls(len(used), pa.int64()),
                 pa.nulls(len(used), pa.binary()),
+                pa.nulls(len(used), pa.list_(pa.int64())),
                 pa.array(used, pa.int32()),
                 pa.array([blocks[i].tobytes() for i in used], pa.binary()),
             ],
             NAMES,
         )
 
-    NAMES = ["doc_id", "text_hash", "n", "class", "bitmap", "block", "counts"]
+    NAMES = ["doc_id", "text_hash", "n", "class", "bitmap", "folded", "block", "counts"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     id_type = pa.int32() if kind == "int" else pa.string() if kind == "string" else pa.int64()
     t = text_of("text")
     return docs.select("doc_id", F.xxhash64(t).alias("text_hash"), t.cast("binary").alias("t")).mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n long, class long, bitmap binary, block int, counts binary"
+        run, f"doc_id {kind}, text_hash long, n long, class long, bitmap binary, folded array<long>, block int, counts binary"
     )
 
 
@@ -169,20 +195,16 @@ def prefixes(docs: DataFrame, classes: np.ndarray, hot: int, percent: int = PERC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: set[int] = set()
-            out: list[tuple[np.ndarray, int, int]] = []
-            for s in shingle_sets(batch.column(0).to_pylist()):
-                if len(s) and (c := class_id(s)) not in seen:
-                    seen.add(c)
-                    first = len(s) - -(-percent * len(s) // 100) + 1
-                    keys = in_order(s, classes)
-                    out.append((np.partition(keys, first - 1)[:first], c, len(s)))
-            if not out:
+            sets = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]
+            if not sets:
                 continue
-            lengths = [len(k) for k, _, _ in out]
-            token = np.concatenate([k for k, _, _ in out])
-            owner = np.repeat(np.array([c for _, c, _ in out], np.int64), lengths)
-            size = np.repeat(np.array([n for _, _, n in out], np.int64), lengths)
+            names, one = np.unique(np.concatenate([class_ids(sets[i : i + SETS_AT_ONCE]) for i in range(0, len(sets), SETS_AT_ONCE)]), return_index=True)
+            sizes = np.array([len(sets[i]) for i in one], np.int64)
+            lengths = sizes - -(-percent * sizes // 100) + 1
+            token = np.concatenate(
+                [np.partition(in_order(sets[i], classes), k - 1)[:k] for i, k in zip(one, lengths, strict=True)]
+            )
+            owner, size = np.repeat(names, lengths), np.repeat(sizes, lengths)
             salt = np.where(token >> np.uint64(58) >= hot, owner % SALTS, 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token.view(np.int64)), pa.array(salt), pa.array(owner), pa.array(size)],
@@ -261,24 +283,58 @@ def star_pairs(met: DataFrame, hot: int) -> DataFrame:
     return own.unionByName(across).where((F.col("a") != F.col("b")) & alike_in_size("n", "m")).distinct()
 
 
-def crossing_pairs(met: DataFrame, component: DataFrame, tested: DataFrame) -> DataFrame:
-    """``a, n, b, m``: the classes of different components that share a
-    token, but for the pairs already tested."""
+def mixed_meetings(met: DataFrame, component: DataFrame) -> DataFrame:
+    """``token, class, n, component`` where classes of different components
+    share a token."""
     found = met.select("token", "class", "n").join(component, met["class"] == component["node"], "left")
     found = found.select("token", "class", "n", F.coalesce("component", "class").alias("component")).distinct()
     found = materialize(found, "met-components")
     mixed = found.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = materialize(mixed.where("lo < hi").select("token"), "mixed-tokens")
-    rows = found.join(mixed, "token")
-    x = rows.select("token", F.col("class").alias("a"), "n", F.col("component").alias("ca"))
-    y = rows.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"))
-    pairs = x.join(y, "token").where((F.col("ca") < F.col("cb")) & alike_in_size("n", "m")).select("a", "n", "b", "m").distinct()
+    return materialize(found.join(mixed, "token"), "mixed-meetings")
+
+
+def untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    pairs = pairs.where((F.col("a") != F.col("b")) & alike_in_size("n", "m")).distinct()
     known = tested.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     return pairs.join(
         known, (F.least("a", "b") == known["lo"]) & (F.greatest("a", "b") == known["hi"]), "left_anti"
     )
 
 
+def crossing_count(mixed: DataFrame) -> int:
+    """How many rows ``crossing_pairs`` would pair, from sums per token."""
+    per = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
+    per = per.groupBy("token").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
+    return int(per.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0])
+
+
+def drawn_pairs(mixed: DataFrame, draw: int) -> DataFrame:
+    """``a, n, b, m``: of each token a drawn leader with the classes of other
+    components, linear in the meetings."""
+    leader = F.min_by(F.struct("class", "n", "component"), F.xxhash64("class", "token", F.lit(draw)))
+    leaders = materialize(mixed.groupBy("token").agg(leader.alias("l")), "drawn-leaders")
+    pairs = mixed.join(leaders, "token").where("component <> l.component")
+    return pairs.select(F.col("l.class").alias("a"), F.col("l.n").alias("n"), F.col("class").alias("b"), F.col("n").alias("m"))
+
+
+def crossing_pairs(mixed: DataFrame, classes_of: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, n, b, m``: all pairs of classes of different components that
+    share a token, but for those that sizes or folded bitmaps rule out."""
+    folded = classes_of.select(F.col("class").alias("k"), "folded")
+    rows = mixed.join(folded, mixed["class"] == folded["k"]).drop("k")
+    x = rows.select("token", F.col("class").alias("a"), "n", F.col("component").alias("ca"), F.col("folded").alias("fa"))
+    y = rows.select(
+        "token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"), F.col("folded").alias("fb")
+    )
+    apart = F.lit(0)
+    for i in range(FOLDED_BITS // 64):
+        apart = apart + F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i]))
+    # No more apart than n + m less twice the least overlap, in whole numbers.
+    allowed = (100 + percent) * (F.col("n") + F.col("m") - apart) >= 2 * percent * (F.col("n") + F.col("m"))
+    return x.join(y, "token").where((F.col("ca") < F.col("cb")) & alike_in_size("n", "m") & allowed).select("a", "n", "b", "m")
+
+
 def bitmaps_allow(pairs: DataFrame, classes_of: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs that their bitmaps do not rule out."""
 
@@ -287,10 +343,11 @@ def bitmaps_allow(pairs: DataFrame, classes_of: DataFrame, percent: int = PERCEN
             if not batch.num_rows:
                 continue
             n, m = batch.column(1).to_numpy(), batch.column(3).to_numpy()
-            x, y = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(len(n), -1) for i in (4, 5)
-            )
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            apart = np.zeros(len(n), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                size = min(len(x), len(y))
+                apart[i] = np.bitwise_count(fold(x, size) ^ fold(y, size)).sum(dtype=np.int64)
             yield batch.select(["a", "n", "b", "m"]).filter(pa.array(apart <= n + m - 2 * least_overlap(n, m, percent)))
 
     x = classes_of.select(F.col("class").alias("ka"), F.col("bitmap").alias("xa"))
@@ -370,20 +427,33 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame,
     with_words = described.where("n > 0")
     classes_of = materialize(
         with_words.groupBy("class").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("doc"), F.any_value("bitmap").alias("bitmap")
+            F.min(F.struct("doc_id", "text_hash")).alias("doc"), F.any_value("bitmap").alias("bitmap"), F.any_value("folded").alias("folded")
         ),
         "classes",
     )
     met = materialize(meetings(prefixes(docs, classes, hot, percent), hot), "met")
     stars = materialize(star_pairs(met, hot), "star-pairs")
     links = materialize(verified(stars, docs, classes_of, classes, percent), "star-links")
-    component = materialize(connected_components(links), "star-components")
-    crossing = materialize(crossing_pairs(met, component, stars), "crossing-pairs")
-    more = materialize(verified(crossing, docs, classes_of, classes, percent), "crossing-links")
-    if more.isEmpty():
-        return described, links, component
-    links = links.unionByName(more)
-    return described, links, materialize(connected_components(links), "components")
+    component = materialize(connected_components(links), "components")
+    tested, before = stars, None
+    for draw in range(MAX_DRAWS):
+        mixed = mixed_meetings(met, component)
+        count = crossing_count(mixed)
+        # Draw leaders while that joins components; what remains is tested in full.
+        last = count <= CROSSING_PER_MEETING * mixed.count() or draw == MAX_DRAWS - 1
+        if before is not None and count > 0.9 * before:
+            last = True
+        before = count
+        pairs = crossing_pairs(mixed, classes_of, percent) if last else drawn_pairs(mixed, draw)
+        pairs = materialize(untested(pairs, tested), "crossing-pairs")
+        more = materialize(verified(pairs, docs, classes_of, classes, percent), "crossing-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            component = materialize(connected_components(links), "components")
+        if last:
+            return described, links, component
+        tested = tested.unionByName(pairs)
+    raise AssertionError("the last draw returns")
 
 
 def labelled(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
