@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portmart.llm import decontamination, language_id, mixing, ngram_join, quality_rules, sharding
+from portmart.llm import (
+    decontamination,
+    html_extraction,
+    language_id,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    warc,
+)
 from portmart.llm.common import table
 from portmart.llm.sql import SQL  # noqa: F401
 
@@ -18,6 +28,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
@@ -27,6 +42,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = warc.archive(table(spark, sf_dir, "pages"))
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "ts")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -45,11 +65,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_ngram_join": op6_ngram_join,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_html_extraction": op10_html_extraction,
 }
