@@ -11,6 +11,7 @@ from portmart.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    rule_ensemble,
     sharding,
     substring_dedup,
     warc,
@@ -19,6 +20,10 @@ from portmart.llm.common import table
 from portmart.llm.sql import SQL  # noqa: F401
 
 
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "item_shingles", "shared")
@@ -70,6 +75,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_rule_ensemble": op1_rule_ensemble,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op4_substring_dedup": op4_substring_dedup,
