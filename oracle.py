@@ -24,7 +24,13 @@ def _sas(x: str) -> str:
 
 
 def _long(x: str) -> str:
-    return f"TRY_CAST(trunc(TRY_CAST({x} AS DECIMAL(38,6))) AS BIGINT)"
+    """A plain decimal number without its fraction, else NULL: everything
+    from the point on is dropped as text, before any number is made."""
+    plain = f"regexp_full_match({x}, '[ ]*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)[ ]*')"
+    whole = f"trim(split_part({x}, '.', 1))"
+    return (
+        f"CASE WHEN {plain} THEN TRY_CAST(CASE WHEN {whole} IN ('', '+', '-') THEN '0' ELSE {whole} END AS BIGINT) END"
+    )
 
 
 def _flt(x: str) -> str:
@@ -42,7 +48,7 @@ arrivals AS (
          c.c_mktsegment AS i94addr,
          CAST(o.o_custkey % 80 + 16 AS DOUBLE) AS i94bir,
          o.o_orderstatus AS gender,
-         CAST(substr(o.o_orderpriority, 1, 1) AS DOUBLE) AS i94visa,
+         CAST(split_part(o.o_orderpriority, '-', 1) AS DOUBLE) AS i94visa,
          CAST(1.0 AS DOUBLE) AS "count"
   FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 10 = 0) o
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -265,7 +271,10 @@ SELECT o_orderkey,
             AS DOUBLE) AS price_float
 FROM orders""",
     "cast_string_long": "SELECT p_partkey, " + _long(
-        "CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 5 = 1 THEN '-' || CAST(p_retailprice AS VARCHAR) "
+        "CASE WHEN p_partkey % 5 = 0 THEN '' "
+        "WHEN p_partkey % 35 = 3 THEN CAST(p_partkey AS VARCHAR) || '.9999999' "
+        "WHEN p_partkey % 35 = 4 THEN '-' || CAST(p_partkey AS VARCHAR) || '.99999999' "
+        "WHEN p_partkey % 35 = 7 THEN CAST(p_partkey AS VARCHAR) || 'e3' WHEN p_partkey % 5 = 1 THEN '-' || CAST(p_retailprice AS VARCHAR) "
         "ELSE CAST(p_retailprice AS VARCHAR) END"
     ) + " AS price_long FROM part",
     "filter_equals": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
@@ -404,4 +413,73 @@ SELECT DISTINCT date, city_code, year, month, CAST(avg_temperature AS DOUBLE) AS
 FROM stage_temperature""",
     "size_correlation": "WITH q AS (" + _SIZE_VS_VOLUME + """)
 SELECT round(corr(CAST(total_pop AS DOUBLE), CAST("count" AS DOUBLE)), 6) AS corr FROM q""",
+    "lookup_many_names": """
+WITH names AS (SELECT c_custkey, regexp_replace(c_name, '^Customer#0*', '') AS name FROM customer),
+m AS (
+  SELECT k.key, arg_min(s.s_name, s.s_suppkey) AS code
+  FROM (SELECT DISTINCT lower(name) AS key FROM names) k JOIN supplier s ON contains(lower(s.s_name), k.key)
+  GROUP BY k.key)
+SELECT n.c_custkey, n.name, m.code AS supplier_name FROM names n LEFT JOIN m ON lower(n.name) = m.key""",
+    "q_share_by_share": _SHARE_VS_VOLUME,
+    "q_size_by_population": _SIZE_VS_VOLUME,
+    "q_size_top_cities": _SIZE_VS_VOLUME + " LIMIT 7",
+    "average_age_overall": "WITH" + ARRIVALS + """
+SELECT AVG(age) AS avg_age, COUNT(age) AS n_with_age FROM stage_arrivals""",
+    "count_correlation": "WITH q AS (" + _SHARE_VS_VOLUME + """)
+SELECT round(corr(CAST(foreign_born_count AS DOUBLE), CAST("count" AS DOUBLE)), 6) AS corr FROM q""",
+    "decode_states": "WITH" + ARRIVALS + """
+SELECT *, CASE WHEN state_code = 'BUILDING' THEN 'All Other Codes' ELSE 'State of ' || state_code END AS state_label
+FROM fact""",
+    "decode_modes": "WITH" + ARRIVALS + """
+SELECT f.*, CASE WHEN f.city_code = '9' THEN 'Not reported' ELSE 'By ' || r.r_name END AS mode_label
+FROM fact f LEFT JOIN region r ON f.city_code = CAST(r.r_regionkey AS VARCHAR)""",
+    "decode_visas": "WITH" + ARRIVALS + """
+SELECT p.*, CAST(CAST(visa_type AS BIGINT) AS VARCHAR) AS visa_code, v.label AS visa_label
+FROM person p LEFT JOIN (
+  SELECT DISTINCT split_part(o_orderpriority, '-', 1) AS code, split_part(o_orderpriority, '-', 2) AS label FROM orders
+) v ON CAST(CAST(visa_type AS BIGINT) AS VARCHAR) = v.code""",
 }
+
+# The same tables, read back from a mart that the batch wrote, in either
+# layout, or that batch and refresh wrote together.  Its arrivals carry the
+# port codes and states of the other sources.
+_MART_ARRIVALS = ARRIVALS.replace("CAST(c.c_nationkey AS VARCHAR) AS i94port", "printf('N%02d', c.c_nationkey) AS i94port").replace(
+    "c.c_mktsegment AS i94addr", "'S' || CAST(o.o_custkey % 3 AS VARCHAR) AS i94addr"
+)
+for _name, _same in {
+    "mart_person": "dim_person",
+    "mart_city": "dim_city",
+    "mart_city_metric": "dim_city_metric",
+    "mart_calendar": "calendar_dim",
+    "mart_fact": "fact_table",
+    "mart_person_partitioned": "dim_person",
+    "mart_city_partitioned": "dim_city",
+    "mart_fact_partitioned": "fact_table",
+    "refresh_after_batch_fact": "fact_table",
+    "refresh_after_batch_person": "dim_person",
+    "refresh_after_batch_calendar": "calendar_dim",
+    "refresh_after_batch_fact_partitioned": "fact_table",
+    "refresh_after_batch_person_partitioned": "dim_person",
+}.items():
+    SQL[_name] = SQL[_same].replace(ARRIVALS, _MART_ARRIVALS)
+
+# The analyses over the mart's own city dimension.
+_MART_JOIN = (
+    "WITH" + _MART_ARRIVALS + "," + TEMPERATURE + "," + DEMOGRAPHICS + """,
+dim_city AS (
+  SELECT DISTINCT d.*, t.lat, t.long FROM stage_demographics d
+  JOIN (SELECT DISTINCT city_code, lat, long FROM stage_temperature) t ON d.city_code = t.city_code),
+j AS (
+  SELECT d.city_name, f.state_code, d.foreign_born_count, d.total_pop
+  FROM fact f JOIN dim_city d ON f.city_code = d.city_code AND f.state_code = d.state_code)
+"""
+)
+SQL["q_size_on_mart"] = (
+    _MART_JOIN + 'SELECT city_name, state_code, total_pop, COUNT(*) AS "count" FROM j GROUP BY ALL'
+)
+SQL["q_share_on_mart"] = (
+    _MART_JOIN
+    + """SELECT city_name, state_code, foreign_born_count,
+       foreign_born_count / NULLIF(total_pop, 0) * 100 AS foreign_born_pct, COUNT(*) AS "count"
+FROM j GROUP BY ALL"""
+)

@@ -13,6 +13,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
 from portmart.config import PipelineConfig
 from portmart.plans.pipeline import run_pipeline
 from portmart.session import build_session, scale_settings
@@ -32,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None, help="only for local runs")
     ap.add_argument(
         "--input-bytes", type=int, default=None,
-        help="total input size; sizes the shuffles (see session.scale_settings)",
+        help="total input size; sizes the shuffles (see session.scale_settings); needed unless --master is given",
     )
     ap.add_argument("--strict", action="store_true", help="fail when a check fails")
     args = ap.parse_args(argv)
@@ -44,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
         cfg = PipelineConfig(*paths, **options)
     else:
         ap.error("give --config or all of --arrivals --temperature --demographics --labels --output")
+    if args.input_bytes is None and args.master is None and SparkSession.getActiveSession() is None:
+        ap.error("on a cluster give --input-bytes: the shuffles are sized from it")
     extra = scale_settings(args.input_bytes) if args.input_bytes else None
     spark = build_session(master=args.master, extra=extra)
     result = run_pipeline(spark, cfg, raise_on_failure=args.strict)

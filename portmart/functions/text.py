@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portmart.functions._col import as_col
@@ -12,23 +12,16 @@ def contains_ci(haystack: Column | str, needle: Column | str) -> Column:
     return F.contains(F.lower(as_col(haystack)), F.lower(as_col(needle)))
 
 
-def right_trim_ws(c: Column | str) -> Column:
-    """Strip trailing whitespace of any kind (spaces, tabs, CR)."""
-    return F.regexp_replace(as_col(c), r"\s+$", "")
+def explode_substrings(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """One row per start and length of a substring of ``text_col`` (and one
+    for the empty one), the text itself replaced by it.
 
-
-def bounded_substrings(text: Column | str, max_len: int) -> Column:
-    """ARRAY of the distinct substrings of ``text`` whose length is at most
-    ``max_len``, the empty string included.  A text of n characters yields
-    at most n * max_len + 1 entries."""
-    t = as_col(text)
-    n = F.length(t)
-    lengths = F.sequence(F.lit(0), F.least(n, F.lit(max_len)))
-    per_length = F.transform(
-        lengths,
-        lambda k: F.transform(
-            F.sequence(F.lit(1), n - k + 1),
-            lambda start: F.substring(t, start, k),
-        ),
-    )
-    return F.array_distinct(F.flatten(per_length))
+    A text of n characters gives n (n + 1) / 2 + 1 rows, streamed and never
+    held in one array: meant for short labels, quadratic for long texts.
+    """
+    others = [c for c in df.columns if c != text_col]
+    n = F.length(text_col)
+    lengths = df.select(*others, text_col, F.explode(F.sequence(F.lit(0), n)).alias("_k"))
+    starts = F.when(F.col("_k") == 0, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), n - F.col("_k") + 1))
+    at = lengths.select(*others, text_col, "_k", F.explode(starts).alias("_at"))
+    return at.select(*others, F.substring(F.col(text_col), F.col("_at"), F.col("_k")).alias(out_col))

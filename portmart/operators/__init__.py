@@ -17,8 +17,8 @@ from portmart.operators.cleaning import (
     pivot_sum,
 )
 from portmart.operators.decode import decode
-from portmart.operators.joins import join_on_keys, join_using_distinct, sized_broadcast
-from portmart.operators.lookup import first_match_code, name_codes
+from portmart.operators.joins import join_on_keys, join_using_distinct
+from portmart.operators.lookup import first_match_code, substring_codes
 from portmart.operators.mart import (
     calendar_dim,
     dim_city,
@@ -55,15 +55,14 @@ __all__ = [
     "join_on_keys",
     "join_using_distinct",
     "keep_equal",
-    "name_codes",
     "order_by_desc",
     "pivot_sum",
     "primary_key_check",
     "quality_report",
     "run_checks",
-    "sized_broadcast",
     "stage_arrivals",
     "stage_demographics",
     "stage_temperature",
+    "substring_codes",
     "top_k",
 ]

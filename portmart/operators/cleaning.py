@@ -23,6 +23,7 @@ RACE_COLUMNS: dict[str, str] = {
 }
 
 # Demographic columns that describe the city (the pivot groups on them).
+# Source column names.
 DEMOGRAPHIC_KEYS = [
     "City",
     "city_code",
@@ -68,7 +69,11 @@ def clean_arrivals(df: DataFrame, date_columns: Sequence[str] = ("arrdate", "dep
 
 
 def clean_temperature(
-    df: DataFrame, labels: DataFrame, country: str = "United States"
+    df: DataFrame,
+    labels: DataFrame | None = None,
+    country: str = "United States",
+    *,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """One country's rows with a temperature and a known port code.
 
@@ -77,7 +82,7 @@ def clean_temperature(
     """
     out = keep_equal(df, "Country", country)
     out = drop_null(out, "AverageTemperature")
-    out = drop_null(first_match_code(out, "City", labels), "city_code")
+    out = drop_null(first_match_code(out, "City", labels, codes=codes), "city_code")
     return out.withColumns(
         {
             "AverageTemperature": lenient_float("AverageTemperature"),
@@ -115,15 +120,17 @@ def pivot_sum(
 
 def clean_demographics(
     df: DataFrame,
-    labels: DataFrame,
+    labels: DataFrame | None = None,
     races: Mapping[str, str] = RACE_COLUMNS,
+    *,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Port-coded cities, typed, with one count column per race.
 
     Rows are not deduplicated before the sum, so a repeated row counts
     twice.  Group keys are the typed, unrounded values.
     """
-    out = drop_null(first_match_code(df, "City", labels), "city_code")
+    out = drop_null(first_match_code(df, "City", labels, codes=codes), "city_code")
     typed = {c: lenient_long(c) for c in _DEMOGRAPHIC_LONGS}
     typed.update({c: lenient_float(c) for c in _DEMOGRAPHIC_FLOATS})
     typed["Count"] = lenient_long("Count")

@@ -1,7 +1,7 @@
 """Code -> label decoding with a label list (country, state, mode ...).
 
-An equi-join on the code, not a search: the lists are short and joined
-by broadcast after a size check.  Codes missing from the list take the
+An equi-join on the code, not a search.  The list is written once, so Spark
+knows its size: short lists are broadcast, longer ones shuffled.  Codes missing from the list take the
 label of ``default_code`` when the list has one (the state list files
 unknown states under '99').
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portmart.operators.joins import sized_broadcast
+from portmart.session import materialize
 
 
 def decode(
@@ -27,13 +27,9 @@ def decode(
     lab = labels.select(
         F.trim("code").alias("_code"), F.col("label").alias("_label"), F.col("ord").alias("_ord")
     )
-    lab = lab.groupBy("_code").agg(F.min_by("_label", "_ord").alias("_label"))
-    side, _ = sized_broadcast(lab)
-    out = df.join(side, F.trim(F.col(code_col)) == F.col("_code"), "left").drop("_code")
+    lab = materialize(lab.groupBy("_code").agg(F.min_by("_label", "_ord").alias("_label")), "codes")
+    out = df.join(lab, F.trim(F.col(code_col)) == F.col("_code"), "left").drop("_code")
     if default_code is not None:
-        fallback = labels.where(F.trim("code") == F.lit(default_code)).agg(
-            F.min_by("label", "ord")
-        ).first()
-        if fallback is not None and fallback[0] is not None:
-            out = out.withColumn("_label", F.coalesce("_label", F.lit(fallback[0])))
+        fallback = lab.where(F.col("_code") == F.lit(default_code)).agg(F.min("_label")).scalar()
+        out = out.withColumn("_label", F.coalesce("_label", fallback))
     return out.withColumnRenamed("_label", out_col)

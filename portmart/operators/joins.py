@@ -44,24 +44,3 @@ def join_on_keys(
     cond = [F.col(f"{left_alias}.{k}") == F.col(f"{right_alias}.{k}") for k in keys]
     return a.join(b, cond, "inner")
 
-
-# Budget for broadcasting a dimension: rows x columns x 32 bytes per value
-# must stay under this (Spark's hard limit for a broadcast is 8 GB; a
-# build side of this size fits every executor comfortably).
-BROADCAST_BUDGET_BYTES = 128 * 1024 * 1024
-
-
-def sized_broadcast(df: DataFrame, budget_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` is measured to fit the budget,
-    else ``(df, False)`` and the join stays a shuffle join (with AQE skew
-    splitting).
-
-    The count is one job over ``df``; for a dimension read from parquet it
-    comes from file metadata.  Catalyst's static estimate cannot be used
-    for this: for an aggregate or a join it is the size of the inputs.
-    """
-    budget = BROADCAST_BUDGET_BYTES if budget_bytes is None else budget_bytes
-    rows = df.count()
-    if rows * max(len(df.columns), 1) * 32 <= budget:
-        return F.broadcast(df), True
-    return df, False

@@ -1,13 +1,12 @@
 """First-match containment lookup: name -> code of the first label (in list
 order) that contains the name, ignoring case.
 
-This is a theta join (``label LIKE '%' || name || '%'``).  Instead of a
-nested-loop join it is answered exactly with an equi-join: every label is
-exploded into its distinct substrings no longer than the longest name, the
-substrings are matched to the distinct names on equality, and the winner
-per name is the match with the smallest ``ord``.  Work is
-O(labels x label length x longest name) plus a hash/sort-merge join; no pair
-of (row, label) is ever enumerated.
+This is a theta join (``label LIKE '%' || name || '%'``), answered exactly
+with an equi-join: the labels alone give a table of every substring that
+occurs in some label and the code of the first label it occurs in, and a row
+finds its code there by its name.  The table depends on the labels only, so
+the rows are read once, nothing is measured beforehand, and no pair of row
+and label is ever enumerated.
 """
 
 from __future__ import annotations
@@ -15,78 +14,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portmart.functions.text import bounded_substrings
+from portmart.functions.text import explode_substrings
+from portmart.session import materialize
 
-# Distinct-name tables at most this many rows are broadcast (their byte
-# size is bounded by rows x longest name, which is measured first).
-BROADCAST_NAMES_MAX_ROWS = 200_000
-BROADCAST_NAMES_MAX_BYTES = 64 * 1024 * 1024
 
-
-def name_codes(
-    names: DataFrame,
-    name_col: str,
+def substring_codes(
     labels: DataFrame,
     *,
     label_col: str = "label",
     code_col: str = "code",
     ord_col: str = "ord",
-) -> tuple[DataFrame, bool]:
-    """``(key, code)`` for each distinct lower-cased, non-null name that
-    matches some label; ``key`` is the lower-cased name.
+) -> DataFrame:
+    """``(key, code)`` for each lower-case substring of the labels: the code
+    of the first label, by ``ord_col``, that contains it.
 
-    Returns the mapping and whether it is small enough to broadcast.
+    Written once: Spark then knows its size, broadcasts it while it is small
+    and otherwise shuffles both sides of the join, where AQE splits a hot
+    name.  Its size is quadratic in the length of one label and linear in
+    their number (660 port labels of 20 characters: some 90,000 keys).
     """
-    keys = (
-        names.select(F.lower(F.col(name_col)).alias("key"))
-        .where(F.col("key").isNotNull())
-        .distinct()
-    )
-    n_keys, longest = keys.agg(
-        F.count(F.lit(1)), F.max(F.length("key"))
-    ).first()
-    small = n_keys <= BROADCAST_NAMES_MAX_ROWS and (
-        n_keys * ((longest or 0) + 16) <= BROADCAST_NAMES_MAX_BYTES
-    )
-    if not n_keys:
-        empty = keys.select("key", F.lit(None).cast("string").alias("code"))
-        return empty.limit(0), True
-
     pieces = labels.select(
-        F.col(ord_col).alias("_ord"),
-        F.col(code_col).alias("_code"),
-        F.explode(bounded_substrings(F.lower(F.col(label_col)), longest)).alias("key"),
+        F.col(ord_col).alias("_ord"), F.col(code_col).alias("_code"), F.lower(F.col(label_col)).alias("_text")
     )
-    # Keep only substrings that are some name: with a broadcast key set
-    # this filter runs before any shuffle.
-    pieces = pieces.join(F.broadcast(keys) if small else keys, "key", "left_semi")
+    pieces = explode_substrings(pieces.where(F.col("_text").isNotNull()), "_text", "key")
     # Partial aggregation collapses a popular substring inside each task.
-    mapping = pieces.groupBy("key").agg(
-        F.min_by(F.col("_code"), F.col("_ord")).alias("code")
-    )
-    return mapping, small
+    codes = pieces.groupBy("key").agg(F.min_by(F.col("_code"), F.col("_ord")).alias("code"))
+    return materialize(codes, "label-substrings")
 
 
 def first_match_code(
     df: DataFrame,
     name_col: str,
-    labels: DataFrame,
+    labels: DataFrame | None = None,
     out_col: str = "city_code",
     *,
+    codes: DataFrame | None = None,
     label_col: str = "label",
     code_col: str = "code",
     ord_col: str = "ord",
 ) -> DataFrame:
     """Add ``out_col``: code of the first label containing ``df[name_col]``
     (case-insensitive), or null.  A null name gives null; an empty name
-    matches the first label.  The lookup itself runs once per distinct
-    name, never per row.
+    matches the first label.  ``codes`` is the labels' ``substring_codes``
+    when several lookups share it.
     """
-    mapping, small = name_codes(
-        df, name_col, labels, label_col=label_col, code_col=code_col, ord_col=ord_col
-    )
-    mapping = mapping.select(F.col("key").alias("_key"), F.col("code").alias(out_col))
-    side = F.broadcast(mapping) if small else mapping
-    joined = df.join(side, F.lower(F.col(name_col)) == F.col("_key"), "left")
-    return joined.drop("_key")
-
+    if codes is None:
+        codes = substring_codes(labels, label_col=label_col, code_col=code_col, ord_col=ord_col)
+    side = codes.select(F.col("key").alias("_key"), F.col("code").alias(out_col))
+    return df.join(side, F.lower(F.col(name_col)) == F.col("_key"), "left").drop("_key")

@@ -8,6 +8,7 @@ from portmart.functions.dates import calendar_columns
 from portmart.operators.cleaning import RACE_COLUMNS
 from portmart.operators.joins import join_using_distinct
 
+# The published column names of the star schema, in their order.
 FACT_COLUMNS = ["id", "state_code", "city_code", "date", "count"]
 PERSON_COLUMNS = ["id", "age", "gender", "visa_type"]
 TIME_COLUMNS = ["date", "day", "month", "year", "weekday", "week"]

@@ -1,5 +1,5 @@
 """Staging tables: renamed, rounded, distinct projections of the clean
-sources."""
+sources.  The column names are fixed values, as published."""
 
 from __future__ import annotations
 
@@ -11,18 +11,6 @@ from pyspark.sql import functions as F
 from portmart.functions.numeric import round2
 from portmart.operators.cleaning import RACE_COLUMNS
 
-ARRIVAL_COLUMNS = [
-    "id",
-    "date",
-    "city_code",
-    "state_code",
-    "age",
-    "gender",
-    "visa_type",
-    "count",
-]
-
-
 def stage_arrivals(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("cicid").alias("id"),

@@ -8,25 +8,24 @@ from pyspark.sql import functions as F
 
 from portmart.functions.numeric import percentage
 from portmart.operators.aggregates import group_count
-from portmart.operators.joins import join_on_keys, sized_broadcast
+from portmart.operators.joins import join_on_keys
 from portmart.operators.ordering import order_by_desc, top_k
 
 
 def arrivals_by_city(fact: DataFrame, city: DataFrame) -> DataFrame:
     """Fact rows joined to the city dimension on port code and state.
 
-    The dimension has one row per city: its measured size decides a
-    broadcast, so the fact is not shuffled for this join (a city holding a
-    third of all arrivals costs nothing extra).  Past the budget the join
-    is a sort-merge join on both keys.  Several cities sharing both codes
-    each receive the arrival.
+    The dimension has one row per city.  Read from its table, its size is
+    known, and Spark broadcasts it under the session's threshold; past that
+    both sides are shuffled on both keys, and AQE splits a hot city.
+    Several cities sharing both codes each receive the arrival.
     """
-    city, _ = sized_broadcast(city)
     return join_on_keys(fact, city, ["city_code", "state_code"], "f", "d")
 
 
-def share_vs_volume(fact: DataFrame, city: DataFrame) -> DataFrame:
-    """Arrivals per city next to its foreign-born count and share."""
+def share_vs_volume(fact: DataFrame, city: DataFrame, by: str = "count") -> DataFrame:
+    """Arrivals per city next to its foreign-born count and share, sorted
+    descending ``by`` the count or the share (nulls last)."""
     j = arrivals_by_city(fact, city).select(
         F.col("f.id").alias("id"),
         F.col("d.city_name").alias("city_name"),
@@ -38,11 +37,13 @@ def share_vs_volume(fact: DataFrame, city: DataFrame) -> DataFrame:
         "foreign_born_pct", percentage("foreign_born_count", "total_pop")
     )
     keys = ["city_name", "state_code", "foreign_born_count", "foreign_born_pct"]
-    return order_by_desc(group_count(j, keys), "count", keys)
+    return order_by_desc(group_count(j, keys), by, [c for c in ["count", *keys] if c != by])
 
 
-def size_vs_volume(fact: DataFrame, city: DataFrame) -> DataFrame:
-    """Arrivals per city next to its total population."""
+def size_vs_volume(fact: DataFrame, city: DataFrame, by: str = "count", k: int | None = None) -> DataFrame:
+    """Arrivals per city next to its total population, sorted descending
+    ``by`` the count or the population (nulls last); the first ``k`` only if
+    given."""
     j = arrivals_by_city(fact, city).select(
         F.col("f.id").alias("id"),
         F.col("d.city_name").alias("city_name"),
@@ -50,7 +51,9 @@ def size_vs_volume(fact: DataFrame, city: DataFrame) -> DataFrame:
         F.col("d.total_pop").alias("total_pop"),
     )
     keys = ["city_name", "state_code", "total_pop"]
-    return order_by_desc(group_count(j, keys), "count", keys)
+    ties = [c for c in ["count", *keys] if c != by]
+    counted = group_count(j, keys)
+    return order_by_desc(counted, by, ties) if k is None else top_k(counted, by, k, ties)
 
 
 def popular_cities(fact: DataFrame, city: DataFrame, k: int = 10) -> DataFrame:

@@ -4,6 +4,7 @@ tables under ``sf_dir`` (or frames Spark derives from them)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,17 @@ from portmart.operators import aggregates as agg
 from portmart.operators import cleaning, mart, quality, staging
 from portmart.operators.decode import decode
 from portmart.operators.joins import join_on_keys, join_using_distinct
-from portmart.operators.lookup import first_match_code
+from portmart.operators.lookup import first_match_code, substring_codes
 from portmart.operators.ordering import order_by_desc, top_k
 from portmart.plans import analysis
 from portmart.plans import standins as si
-from portmart.session import scratch_path
+from portmart.config import PipelineConfig
+from portmart.plans.pipeline import load_star, run_pipeline
+from portmart.session import materialize, scratch_path
+from portmart.sources.labels import label_table as parse_labels
+from portmart.sources.labels import read_label_lines, visa_table, with_line_numbers
+from portmart.sources.readers import ARRIVALS_SCHEMA, read_arrivals, read_delimited, register_view
 from portmart.streaming.refresh import refresh_arrivals, refresh_city_temperature
-from portmart.sources.labels import read_label_lines, label_table as parse_labels
-from portmart.sources.readers import read_arrivals, read_delimited, register_view
 from portmart.sources.sinks import read_partitioned, write_partitioned, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,8 +95,12 @@ def label_table(spark, sf_dir):
     """Port section parsed from a label file rendered from part."""
     path = si.part_port_labels(spark, sf_dir)
     lines = read_label_lines(spark, path)
+    numbers = with_line_numbers(lines).select("line_no", "place")
+    entries = parse_labels(lines)
     # Position within the section: two lines (comment, header) precede it.
-    return parse_labels(lines).select((F.col("ord") - F.lit(2)).alias("ord"), "code", "label")
+    return entries.join(numbers, entries["ord"] == numbers["place"]).select(
+        (F.col("line_no") - F.lit(2)).alias("ord"), "code", "label"
+    )
 
 
 def sink_parquet_overwrite(spark, sf_dir):
@@ -136,19 +144,22 @@ def stage_arrivals(spark, sf_dir):
     return staging.stage_arrivals(cleaning.clean_arrivals(si.arrivals(spark, sf_dir)))
 
 
-def _port_labels(spark, sf_dir):
-    return parse_labels(read_label_lines(spark, si.nation_port_labels(spark, sf_dir)))
+def _label_lines(spark, sf_dir):
+    return read_label_lines(spark, si.nation_port_labels(spark, sf_dir))
+
 
+def _port_codes(spark, sf_dir):
+    return substring_codes(parse_labels(_label_lines(spark, sf_dir)))
 
-def _clean_temperature(spark, sf_dir):
+
+def _clean_temperature(spark, sf_dir, codes=None):
     return cleaning.clean_temperature(
-        si.temperature(spark, sf_dir), _port_labels(spark, sf_dir), si.STANDIN_COUNTRY
+        si.temperature(spark, sf_dir), country=si.STANDIN_COUNTRY, codes=codes or _port_codes(spark, sf_dir)
     )
 
 
-def _clean_demographics(spark, sf_dir):
-    demo = si.demographics(spark, sf_dir)
-    return cleaning.clean_demographics(demo, _port_labels(spark, sf_dir))
+def _clean_demographics(spark, sf_dir, codes=None):
+    return cleaning.clean_demographics(si.demographics(spark, sf_dir), codes=codes or _port_codes(spark, sf_dir))
 
 
 def stage_temperature(spark, sf_dir):
@@ -231,6 +242,9 @@ def cast_string_long(spark, sf_dir):
     p = _t(spark, sf_dir, "part")
     text = (
         F.when(F.col("p_partkey") % 5 == 0, F.lit(""))
+        .when(F.col("p_partkey") % 35 == 3, F.concat(F.col("p_partkey").cast("string"), F.lit(".9999999")))
+        .when(F.col("p_partkey") % 35 == 4, F.concat(F.lit("-"), F.col("p_partkey").cast("string"), F.lit(".99999999")))
+        .when(F.col("p_partkey") % 35 == 7, F.concat(F.col("p_partkey").cast("string"), F.lit("e3")))
         .when(F.col("p_partkey") % 5 == 1, F.concat(F.lit("-"), F.col("p_retailprice").cast("string")))
         .otherwise(F.col("p_retailprice").cast("string"))
     )
@@ -266,6 +280,8 @@ def join_two_keys(spark, sf_dir):
     ps = li.groupBy(
         F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey")
     ).agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_qty"))
+    # Written first, so the join shuffles both sides and can split a hot pair.
+    ps = materialize(ps, "pair-summary")
     f = li.select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey")
     )
@@ -292,6 +308,19 @@ def first_match_lookup(spark, sf_dir):
     return first_match_code(_part_names(spark, sf_dir), "name", labels, "city_code")
 
 
+def lookup_many_names(spark, sf_dir):
+    """Every customer's name looked up in labels made of suppliers' names, so
+    the distinct names grow with the data: the customer's number without
+    leading zeros is searched in the labels."""
+    labels = _t(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("ord"), F.col("s_name").alias("code"), F.col("s_name").alias("label")
+    )
+    c = _t(spark, sf_dir, "customer").select(
+        "c_custkey", F.regexp_replace("c_name", "^Customer#0*", "").alias("name")
+    )
+    return first_match_code(c, "name", labels, "supplier_name")
+
+
 # ------------------------------------------------ distinct and aggregation
 
 
@@ -399,13 +428,9 @@ def dim_person(spark, sf_dir):
 
 
 def dim_city(spark, sf_dir):
-    labels = _port_labels(spark, sf_dir)
-    temp = staging.stage_temperature(
-        cleaning.clean_temperature(si.temperature(spark, sf_dir), labels, si.STANDIN_COUNTRY)
-    )
-    demo = staging.stage_demographics(
-        cleaning.clean_demographics(si.demographics(spark, sf_dir), labels)
-    )
+    codes = _port_codes(spark, sf_dir)
+    temp = staging.stage_temperature(_clean_temperature(spark, sf_dir, codes))
+    demo = staging.stage_demographics(_clean_demographics(spark, sf_dir, codes))
     return _double_floats(mart.dim_city(demo, temp))
 
 
@@ -434,7 +459,7 @@ def primary_key_check(spark, sf_dir):
 
 
 def _fact_and_city(spark, sf_dir):
-    return fact_table(spark, sf_dir), si.city_dimension(spark, sf_dir)
+    return fact_table(spark, sf_dir), materialize(si.city_dimension(spark, sf_dir), "city-dimension")
 
 
 def q_share_vs_volume(spark, sf_dir):
@@ -445,6 +470,21 @@ def q_size_vs_volume(spark, sf_dir):
     return analysis.size_vs_volume(*_fact_and_city(spark, sf_dir))
 
 
+def q_share_by_share(spark, sf_dir):
+    """The share analysis in order of the share."""
+    return analysis.share_vs_volume(*_fact_and_city(spark, sf_dir), by="foreign_born_pct")
+
+
+def q_size_by_population(spark, sf_dir):
+    """The size analysis in order of the population."""
+    return analysis.size_vs_volume(*_fact_and_city(spark, sf_dir), by="total_pop")
+
+
+def q_size_top_cities(spark, sf_dir):
+    """The seven cities with most arrivals, next to their population."""
+    return analysis.size_vs_volume(*_fact_and_city(spark, sf_dir), k=7)
+
+
 def popular_cities(spark, sf_dir):
     return analysis.popular_cities(*_fact_and_city(spark, sf_dir), k=10)
 
@@ -457,26 +497,29 @@ def average_age(spark, sf_dir):
     return analysis.average_age(stage_arrivals(spark, sf_dir), by="city_code")
 
 
+def average_age_overall(spark, sf_dir):
+    return analysis.average_age(stage_arrivals(spark, sf_dir), by=None)
+
+
 def size_correlation(spark, sf_dir):
     return analysis.correlation(q_size_vs_volume(spark, sf_dir), "total_pop").select(
         F.round("corr", 6).alias("corr")
     )
 
 
-def pipeline_report(spark, sf_dir):
-    """The whole batch on the stand-in sources written as files (arrivals
-    parquet, temperatures as comma text, demographics as ';' text, the
-    port list as a label file); the checks of the written star schema."""
-    from portmart.config import PipelineConfig
-    from portmart.plans.pipeline import load_star, run_pipeline
-
-    root = scratch_path(spark, "pipeline")
-    si.arrivals(spark, sf_dir).write.parquet(f"{root}/src/arrivals")
+# Marts written in this process, by application, tables and layout.
+_MARTS: dict[tuple, PipelineConfig] = {}
+
+
+def _source_files(spark, sf_dir, root) -> PipelineConfig:
+    """The stand-in sources written as files (arrivals parquet, temperatures
+    as comma text, demographics as ';' text, the label file)."""
+    si.arrivals(spark, sf_dir, mart_codes=True).write.parquet(f"{root}/src/arrivals")
     si.temperature(spark, sf_dir).write.option("header", True).csv(f"{root}/src/temperature")
     si.demographics(spark, sf_dir).write.option("header", True).option("sep", ";").csv(
         f"{root}/src/demographics"
     )
-    cfg = PipelineConfig(
+    return PipelineConfig(
         arrivals_path=f"{root}/src/arrivals",
         temperature_path=f"{root}/src/temperature",
         demographics_path=f"{root}/src/demographics",
@@ -484,6 +527,45 @@ def pipeline_report(spark, sf_dir):
         output_dir=f"{root}/mart",
         country=si.STANDIN_COUNTRY,
     )
+
+
+def _mart(spark, sf_dir, layout) -> dict[str, DataFrame]:
+    """The star schema of one run of the batch, read back; the queries over
+    it share the run."""
+    key = (spark.sparkContext.applicationId, sf_dir, layout)
+    if key not in _MARTS:
+        cfg = replace(_source_files(spark, sf_dir, scratch_path(spark, "mart")), layout=layout)
+        run_pipeline(spark, cfg)
+        _MARTS[key] = cfg
+    return load_star(spark, _MARTS[key])
+
+
+def _mart_table(name, layout):
+    def query(spark, sf_dir):
+        return _double_floats(_typed(_mart(spark, sf_dir, layout)[name]))
+
+    return query
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    """Folder values are read as text; the person's age is a number."""
+    return df.withColumn("age", F.col("age").cast("double")) if "age" in df.columns else df
+
+
+def q_share_on_mart(spark, sf_dir):
+    star = _mart(spark, sf_dir, "flat")
+    return analysis.share_vs_volume(star["fact_immigration"], star["dim_city"])
+
+
+def q_size_on_mart(spark, sf_dir):
+    star = _mart(spark, sf_dir, "partitioned")
+    return analysis.size_vs_volume(star["fact_immigration"], star["dim_city"])
+
+
+def pipeline_report(spark, sf_dir):
+    """The whole batch on the stand-in sources written as files; the checks
+    of the written star schema."""
+    cfg = _source_files(spark, sf_dir, scratch_path(spark, "pipeline"))
     run_pipeline(spark, cfg)
     return quality.quality_report(spark, load_star(spark, cfg))
 
@@ -494,29 +576,52 @@ def share_correlation(spark, sf_dir):
     )
 
 
+def count_correlation(spark, sf_dir):
+    return analysis.correlation(q_share_vs_volume(spark, sf_dir), "foreign_born_count").select(
+        F.round("corr", 6).alias("corr")
+    )
+
+
+def decode_states(spark, sf_dir):
+    """Arrival states decoded; states not listed read as the entry 99."""
+    states = parse_labels(_label_lines(spark, sf_dir), "i94addrl")
+    return decode(fact_table(spark, sf_dir), "state_code", states, "state_label", default_code="99")
+
+
+def decode_modes(spark, sf_dir):
+    """Port numbers read as travel modes; a code that is not listed has no
+    label."""
+    modes = parse_labels(_label_lines(spark, sf_dir), "i94model")
+    return decode(fact_table(spark, sf_dir), "city_code", modes, "mode_label")
+
+
+def decode_visas(spark, sf_dir):
+    """Persons' visa categories decoded with the list kept in a comment."""
+    person = dim_person(spark, sf_dir).withColumn("visa_code", F.col("visa_type").cast("bigint").cast("string"))
+    return decode(person, "visa_code", visa_table(_label_lines(spark, sf_dir)), "visa_label")
+
+
 def decode_codes(spark, sf_dir):
     """Arrival port codes decoded with the country list of the label file;
     codes it does not list read as its catch-all entry 99."""
-    lines = read_label_lines(spark, si.nation_port_labels(spark, sf_dir))
-    countries = parse_labels(lines, "i94cntyl")
+    countries = parse_labels(_label_lines(spark, sf_dir), "i94cntyl")
     return decode(fact_table(spark, sf_dir), "city_code", countries, "region_label", default_code="99")
 
 
+def _landed_files(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def monthly_refresh(spark, sf_dir):
     """Arrival files landed in date order (as many as the session's shuffle
     partitions) and drained by the streaming refresh in about four
-    micro-batches; the fact table read back."""
+    micro-batches; the fact table read back, with its year and month."""
     root = scratch_path(spark, "refresh")
-    landing = f"{root}/landing"
-    si.arrivals(spark, sf_dir).repartitionByRange("arrdate").write.parquet(landing)
-    n_files = len(spark.read.parquet(landing).inputFiles())
-    refresh_arrivals(
-        spark, landing, f"{root}/mart", checkpoint_dir=f"{root}/checkpoint",
-        max_files_per_batch=max(1, -(-n_files // 4)),
-    )
-    schema = mart.fact_table(stage_arrivals(spark, sf_dir)).schema
-    schema = schema.add("year", T.IntegerType()).add("month", T.IntegerType())
-    return read_partitioned(spark, f"{root}/mart/immigration", schema)
+    n_files = _landed_files(spark)
+    si.arrivals(spark, sf_dir).repartitionByRange(n_files, "arrdate").write.parquet(f"{root}/landing")
+    refresh_arrivals(spark, f"{root}/landing", f"{root}/mart", max_files_per_batch=max(1, -(-n_files // 4)))
+    fact = read_partitioned(spark, f"{root}/mart/immigration", fact_table(spark, sf_dir).schema)
+    return fact.withColumns({"year": F.year("date"), "month": F.month("date")})
 
 
 def temperature_refresh(spark, sf_dir):
@@ -524,16 +629,49 @@ def temperature_refresh(spark, sf_dir):
     the streaming refresh in about four micro-batches; the city temperature
     table read back."""
     root = scratch_path(spark, "temperature_refresh")
-    landing = f"{root}/landing"
-    si.temperature(spark, sf_dir).repartitionByRange("dt").write.option("header", True).csv(landing)
-    n_files = len(spark.read.text(landing).inputFiles())
+    n_files = _landed_files(spark)
+    rows = si.temperature(spark, sf_dir).repartitionByRange(n_files, "dt")
+    rows.write.option("header", True).csv(f"{root}/landing")
     refresh_city_temperature(
-        spark, landing, si.nation_port_labels(spark, sf_dir), f"{root}/mart",
-        checkpoint_dir=f"{root}/checkpoint", country=si.STANDIN_COUNTRY,
-        max_files_per_batch=max(1, -(-n_files // 4)),
+        spark, f"{root}/landing", si.nation_port_labels(spark, sf_dir), f"{root}/mart",
+        country=si.STANDIN_COUNTRY, max_files_per_batch=max(1, -(-n_files // 4)),
     )
-    schema = mart.dim_city_metric(staging.stage_temperature(_clean_temperature(spark, sf_dir))).schema
-    return _double_floats(read_partitioned(spark, f"{root}/mart/city_temperature", schema))
+    return _double_floats(spark.read.parquet(f"{root}/mart/city_temperature"))
+
+
+def _refreshed(layout):
+    """The batch over the arrivals up to the middle of their dates, then the
+    refresh with the later files: the mart's tables."""
+    key = ("refreshed", layout)
+
+    def tables(spark, sf_dir) -> dict[str, DataFrame]:
+        at = (spark.sparkContext.applicationId, sf_dir, *key)
+        if at not in _MARTS:
+            root = scratch_path(spark, "refreshed")
+            cfg = replace(_source_files(spark, sf_dir, root), layout=layout, arrivals_path=f"{root}/first")
+            rows = spark.read.schema(ARRIVALS_SCHEMA).parquet(f"{root}/src/arrivals")
+            middle = rows.agg(F.percentile_approx("arrdate", 0.5)).scalar()
+            early = F.col("arrdate") <= middle
+            rows.where(early).write.parquet(cfg.arrivals_path)
+            n_files = _landed_files(spark)
+            # The landed files repeat a week of the first ones.
+            late = rows.where(F.col("arrdate") > middle - 7)
+            late.repartitionByRange(n_files, "arrdate").write.parquet(f"{root}/landing")
+            run_pipeline(spark, cfg)
+            refresh_arrivals(
+                spark, f"{root}/landing", cfg.output_dir, layout=layout, max_files_per_batch=max(1, -(-n_files // 2))
+            )
+            _MARTS[at] = cfg
+        return load_star(spark, _MARTS[at])
+
+    return tables
+
+
+def _refreshed_table(name, layout):
+    def query(spark, sf_dir):
+        return _typed(_refreshed(layout)(spark, sf_dir)[name])
+
+    return query
 
 
 QUERIES: dict[str, Query] = {
@@ -562,6 +700,7 @@ QUERIES: dict[str, Query] = {
     "join_using_distinct": join_using_distinct_q,
     "join_two_keys": join_two_keys,
     "first_match_lookup": first_match_lookup,
+    "lookup_many_names": lookup_many_names,
     "dedup_rows": dedup_rows,
     "distinct_projection": distinct_projection,
     "distinct_values": distinct_values,
@@ -589,12 +728,35 @@ QUERIES: dict[str, Query] = {
     "primary_key_check": primary_key_check,
     "q_share_vs_volume": q_share_vs_volume,
     "q_size_vs_volume": q_size_vs_volume,
+    "q_share_by_share": q_share_by_share,
+    "q_size_by_population": q_size_by_population,
+    "q_size_top_cities": q_size_top_cities,
     "popular_cities": popular_cities,
     "gender_distribution": gender_distribution,
     "average_age": average_age,
+    "average_age_overall": average_age_overall,
     "size_correlation": size_correlation,
     "share_correlation": share_correlation,
+    "count_correlation": count_correlation,
     "decode_codes": decode_codes,
+    "decode_states": decode_states,
+    "decode_modes": decode_modes,
+    "decode_visas": decode_visas,
     "monthly_refresh": monthly_refresh,
     "temperature_refresh": temperature_refresh,
+    "mart_person": _mart_table("dim_immigrant", "flat"),
+    "mart_city": _mart_table("dim_city", "flat"),
+    "mart_city_metric": _mart_table("dim_city_temp", "flat"),
+    "mart_calendar": _mart_table("dim_time", "flat"),
+    "mart_fact": _mart_table("fact_immigration", "flat"),
+    "mart_person_partitioned": _mart_table("dim_immigrant", "partitioned"),
+    "mart_city_partitioned": _mart_table("dim_city", "partitioned"),
+    "mart_fact_partitioned": _mart_table("fact_immigration", "partitioned"),
+    "q_share_on_mart": q_share_on_mart,
+    "q_size_on_mart": q_size_on_mart,
+    "refresh_after_batch_fact": _refreshed_table("fact_immigration", "flat"),
+    "refresh_after_batch_person": _refreshed_table("dim_immigrant", "flat"),
+    "refresh_after_batch_calendar": _refreshed_table("dim_time", "flat"),
+    "refresh_after_batch_fact_partitioned": _refreshed_table("fact_immigration", "partitioned"),
+    "refresh_after_batch_person_partitioned": _refreshed_table("dim_immigrant", "partitioned"),
 }

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portmart.config import PipelineConfig
 from portmart.operators import cleaning, mart, quality, staging
+from portmart.operators.lookup import substring_codes
 from portmart.sources.labels import read_label_table
 from portmart.sources.readers import read_arrivals, read_demographics, read_temperature
 from portmart.sources.sinks import read_partitioned, write_partitioned, write_table
 
-# Output folder of each star-schema table.
+# Output folder of each star-schema table.
 TABLE_FOLDERS = {
     "dim_immigrant": "immigrant",
     "dim_city": "city",
@@ -22,7 +23,7 @@ TABLE_FOLDERS = {
     "fact_immigration": "immigration",
 }
 
-# Folder keys of the partitioned layout.
+# Folder keys of the partitioned layout.
 PARTITION_KEYS = {
     "dim_immigrant": ["gender", "age"],
     "dim_city": ["state_code"],
@@ -30,6 +31,19 @@ PARTITION_KEYS = {
 }
 
 
+def folder_keys(name: str, layout: str) -> list[str]:
+    """Folder keys of a table under a layout: one table, one layout, for the
+    batch that writes it and the refresh that adds to it."""
+    return PARTITION_KEYS.get(name, []) if layout == "partitioned" else []
+
+
+def write_star_table(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
+    if keys:
+        write_partitioned(df, path, keys, mode=mode)
+    else:
+        write_table(df, path, mode=mode)
+
+
 @dataclass
 class PipelineResult:
     message: str
@@ -49,16 +63,17 @@ def _materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 def build_staging(
     spark: SparkSession, cfg: PipelineConfig
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    labels = read_label_table(spark, cfg.labels_path)
+    # One table of the labels serves both lookups.
+    codes = substring_codes(read_label_table(spark, cfg.labels_path))
     arrivals = read_arrivals(
         spark, cfg.arrivals_path, fmt=cfg.arrivals_format, options=cfg.arrivals_reader_options()
     )
     temperature = read_temperature(spark, cfg.temperature_path)
     demographics = read_demographics(spark, cfg.demographics_path)
 
-    stg_demo = staging.stage_demographics(cleaning.clean_demographics(demographics, labels))
+    stg_demo = staging.stage_demographics(cleaning.clean_demographics(demographics, codes=codes))
     stg_temp = staging.stage_temperature(
-        cleaning.clean_temperature(temperature, labels, cfg.country)
+        cleaning.clean_temperature(temperature, country=cfg.country, codes=codes)
     )
     stg_arr = staging.stage_arrivals(cleaning.clean_arrivals(arrivals))
     return stg_arr, stg_temp, stg_demo
@@ -92,11 +107,7 @@ def run_pipeline(
     for name, df in build_star(stg_arr, stg_temp, stg_demo).items():
         schemas[name] = df.schema
         path = cfg.out(TABLE_FOLDERS[name])
-        keys = PARTITION_KEYS.get(name) if cfg.layout == "partitioned" else None
-        if keys:
-            write_partitioned(df, path, keys)
-        else:
-            write_table(df, path)
+        write_star_table(df, path, folder_keys(name, cfg.layout))
         paths[name] = path
 
     written = {

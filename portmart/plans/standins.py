@@ -47,22 +47,27 @@ def orders_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.unionByName(o.where(F.col("o_orderkey") % 10 == 0))
 
 
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def arrivals(spark: SparkSession, sf_dir: str, mart_codes: bool = False) -> DataFrame:
     """Arrival records: one per order (with repeats), coded by the
-    customer's nation (port) and segment (state)."""
+    customer's nation (port) and segment (state); with ``mart_codes`` by the
+    port codes and states that the other two sources' cities get."""
     o = orders_with_repeats(spark, sf_dir)
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o["o_custkey"] == c["c_custkey"])
     day = sas_day("o_orderdate")
+    port, state = F.col("c_nationkey").cast("string"), F.col("c_mktsegment")
+    if mart_codes:
+        port = F.format_string("N%02d", F.col("c_nationkey"))
+        state = F.concat(F.lit("S"), (F.col("o_custkey") % 3).cast("string"))
     return j.select(
         F.col("o_orderkey").cast("double").alias("cicid"),
         day.alias("arrdate"),
         (day + (F.col("o_orderkey") % 30).cast("double")).alias("depdate"),
-        F.col("c_nationkey").cast("string").alias("i94port"),
-        F.col("c_mktsegment").alias("i94addr"),
+        port.alias("i94port"),
+        state.alias("i94addr"),
         (F.col("o_custkey") % 80 + 16).cast("double").alias("i94bir"),
         F.col("o_orderstatus").alias("gender"),
-        F.substring("o_orderpriority", 1, 1).cast("double").alias("i94visa"),
+        F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("double").alias("i94visa"),
         F.lit(1.0).alias("count"),
     )
 
@@ -128,10 +133,14 @@ def write_label_file(
     entries: DataFrame,
     countries: DataFrame | None = None,
     path: str | None = None,
+    states: DataFrame | None = None,
+    modes: DataFrame | None = None,
+    visas: DataFrame | None = None,
 ) -> str:
     """Render ``entries`` (``sort, code, label``) as the port section of a
-    label file, after an optional numeric country section
-    (``sort, code, label``), and write it as text; returns the folder.
+    label file, after an optional numeric country section and before optional
+    mode, state and visa lists (all ``sort, code, label``), and write it as
+    text; returns the folder.
 
     The file is written in sort order (range-partitioned, so it may be
     several files whose names follow that order).
@@ -160,6 +169,23 @@ def write_label_file(
                 F.format_string("   %s =  '%s'", F.col("code"), _quote(F.col("label"))).alias("value"),
             )
         )
+    others = [
+        (modes, 6, "  value i94model", "   %s = '%s'", (float("inf"), "   9 = 'Not reported' ;")),
+        (states, 8, "  value i94addrl", "   '%s'='%s'", (float("inf"), "   '99'='All Other Codes' ;")),
+        (visas, 10, "/* I94VISA - stand-in categories:", "   %s = %s", (float("inf"), "*/")),
+    ]
+    for rows, place, header, line, closing in others:
+        if rows is None:
+            continue
+        fixed += [(place - 1, 0.0, header), (place, *closing)]
+        label = F.col("label") if place == 10 else _quote(F.col("label"))
+        parts.append(
+            rows.select(
+                F.lit(place).alias("_s"),
+                F.col("sort").cast("double").alias("_k"),
+                F.format_string(line, F.col("code"), label).alias("value"),
+            )
+        )
     schema = T.StructType(
         [
             T.StructField("_s", T.IntegerType()),
@@ -191,7 +217,21 @@ def nation_port_labels(spark: SparkSession, sf_dir: str) -> str:
         F.col("r_regionkey").cast("string").alias("code"),
         F.col("r_name").alias("label"),
     )
-    return write_label_file(spark, entries, countries)
+    c = table(spark, sf_dir, "customer")
+    segment = c.groupBy(F.col("c_mktsegment").alias("code")).agg(F.min("c_custkey").alias("sort"))
+    # One segment stays unlisted and so decodes to the catch-all.
+    states = segment.where(F.col("code") != "BUILDING").select(
+        "sort", "code", F.concat(F.lit("State of "), F.col("code")).alias("label")
+    )
+    o = table(spark, sf_dir, "orders")
+    number, name = (F.split_part("o_orderpriority", F.lit("-"), F.lit(i)) for i in (1, 2))
+    visas = o.groupBy(number.alias("code"), name.alias("label")).agg(F.min("o_orderkey").alias("sort"))
+    modes = r.select(
+        F.col("r_regionkey").alias("sort"),
+        F.col("r_regionkey").cast("string").alias("code"),
+        F.concat(F.lit("By "), F.col("r_name")).alias("label"),
+    )
+    return write_label_file(spark, entries, countries, states=states, modes=modes, visas=visas)
 
 
 def part_port_labels(spark: SparkSession, sf_dir: str) -> str:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every portmart session gets.  AQE re-plans joins at runtime
 # (broadcast conversion from measured sizes, skew splitting, partition
@@ -26,7 +27,7 @@ SESSION_DEFAULTS = {
 def scale_settings(
     input_bytes: int,
     target_partition_bytes: int = 512 * 1024 * 1024,
-    max_partitions: int = 100_000,
+    min_partitions: int = 200,
 ) -> dict[str, str]:
     """Shuffle sizing for a run over ``input_bytes`` of input.
 
@@ -34,10 +35,10 @@ def scale_settings(
     merges neighbours up to the advisory size, so the start must be large
     enough that the biggest shuffle (the arrivals dedup, about the size of
     the selected columns) lands in partitions that fit in executor memory:
-    one per ``target_partition_bytes`` of input, at least 200.  The cap
-    bounds the map-output bookkeeping (maps x reducers) on the driver.
+    one per ``target_partition_bytes`` of input at every size, and no fewer
+    than ``min_partitions`` (Spark's own default).
     """
-    initial = min(max_partitions, max(200, -(-input_bytes // target_partition_bytes)))
+    initial = max(min_partitions, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
@@ -71,23 +72,40 @@ def build_session(
     return spark
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+def scratch_root(configured: str | None, master: str) -> str:
+    """The folder for intermediate tables: the configured one, or, only when
+    driver and executors are one process, a local temporary folder."""
+    if configured:
+        return configured.rstrip("/")
+    if re.match(r"local(\[|$)", master):
+        return tempfile.mkdtemp(prefix="portmart-ckpt-")
+    raise RuntimeError(
+        f"spark.checkpoint.dir is not set (master {master}): intermediate tables need a folder all executors share"
+    )
 
-    On a cluster this is set by the deployment and must be a shared file
-    system; it is only invented here (under the local temp folder) when the
-    session has none, which is the case for ad-hoc local runs.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``."""
     sc = spark.sparkContext
-    root = root or sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="portmart-ckpt-")
+    root = scratch_root(spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir(), sc.master)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "portmart-scratch", uuid.uuid4().hex, name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and continue from the copy.
+
+    Catalyst then knows the table's real size: a join broadcasts it if it is
+    under the threshold, and otherwise shuffles both sides, which AQE can
+    split where a key is hot.  (An aggregate joined on its own keys brings no
+    shuffle of its own, and such a join is never split.)
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

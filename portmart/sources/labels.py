@@ -1,16 +1,20 @@
 """Code-to-label lists ("value <name> 'CODE' = 'LABEL' ... ;") read as data.
 
-The file is read with Spark's text source and numbered line by line in a
-distributed way, so the position of an entry -- which decides the winner of
-the first-match lookup -- survives any number of files and splits.
+The file is read with Spark's text source, once: its lines are written down
+with the place they were found at (file, split, row in the scan), and all
+that follows reads that copy.  The place orders the entries, which decides
+the winner of the first-match lookup, for any number of files and splits, and
+no two scans have to agree on how the files are split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portmart.session import materialize
+
 # Layout of a label list.
 # Section that lists port codes.
 PORT_SECTION = "$i94prtl"
@@ -19,49 +23,50 @@ PORT_SECTION = "$i94prtl"
 ENTRY_PATTERN = r"^\s*'?([^'=]*?)'?\s*=\s*'((?:[^']|'')*)'"
 # A quoted string, removed before looking for the closing ';'.
 QUOTED_PATTERN = r"'(?:[^']|'')*'"
+# The visa list: a comment that names its column, then "code = label" lines.
+VISA_HEADER = r"(?i)^\s*/\*\s*I94VISA\b"
+VISA_ENTRY = r"^\s*([0-9]+)\s*=\s*([^'*]+?)\s*(?:\*/\s*)?$"
 
-LABEL_SCHEMA = T.StructType(
+# Where a line stands: compares in file-name order, then by position.
+PLACE = T.StructType(
     [
-        T.StructField("ord", T.LongType()),
-        T.StructField("code", T.StringType()),
-        T.StructField("label", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("row", T.LongType()),
     ]
 )
 
 
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a text file (or folder of files) with a 1-based ``line_no``
-    that follows file-name order, then position in the file.
+    """``(place, value)`` for the lines of a text file (or folder of files).
 
-    Each split is scanned in file order, so within a split the row id from
-    ``monotonically_increasing_id`` grows by one per line.  A small
-    per-split table (one row per split, not per line) turns that into a
-    global line number.
+    A split is scanned in file order, so inside one split the row id grows
+    line by line; splits compare by file and start.
     """
-    raw = spark.read.text(path).select(
-        F.col("value"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_rid"),
-    )
-    splits = raw.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_rid0")
-    )
-    before = Window.orderBy("_file", "_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    splits = splits.select(
-        "_file",
-        "_block",
-        "_rid0",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
-    )
-    # One row per split: bounded by file size / split size, safe to
-    # broadcast.
-    return raw.join(F.broadcast(splits), ["_file", "_block"]).select(
-        (F.col("_base") + F.col("_rid") - F.col("_rid0") + 1).alias("line_no"),
+    lines = spark.read.text(path).select(
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("place"),
         "value",
     )
+    return materialize(lines, "label-lines")
+
+
+def with_line_numbers(lines: DataFrame) -> DataFrame:
+    """The lines with a 1-based ``line_no``: lines in earlier splits plus the
+    place in the own split.  One row per split passes through the driver."""
+    splits = lines.groupBy("place.file", "place.block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("place.row").alias("first_row")
+    )
+    starts, before = [], 0
+    for s in sorted(splits.collect(), key=lambda r: (r.file, r.block)):
+        starts.append((s.file, s.block, before - s.first_row + 1))
+        before += s.n
+    table = lines.sparkSession.createDataFrame(starts, "_file string, _block long, _shift long")
+    here = (F.col("place.file") == F.col("_file")) & (F.col("place.block") == F.col("_block"))
+    return lines.join(table, here).select((F.col("place.row") + F.col("_shift")).alias("line_no"), "place", "value")
 
 
 def _header_pattern(section: str) -> str:
@@ -73,33 +78,44 @@ def _header_pattern(section: str) -> str:
 def label_table(lines: DataFrame, section: str = PORT_SECTION) -> DataFrame:
     """Entries of one section as ``(ord, code, label)``.
 
-    ``ord`` is the line number (file order); ``code`` keeps inner and
+    ``ord`` is the place of the line (file order); ``code`` keeps inner and
     trailing spaces inside its quotes; the label loses its trailing
     whitespace and doubled quotes become one.  The section runs from its
     ``value`` line to the first line with a ';' outside quotes, and an
     entry on that closing line counts.
     """
-    # Two small actions, each returning one number: the section's first
-    # header line, then the first closing line after it.  Consumers get
-    # plain literal filters.
-    is_header = F.col("value").rlike(_header_pattern(section))
+    # The section's bounds are scalar subqueries over the same lines.
+    start = lines.where(F.col("value").rlike(_header_pattern(section))).agg(F.min("place")).scalar()
     closes = F.contains(F.regexp_replace("value", QUOTED_PATTERN, ""), F.lit(";"))
-    start = lines.where(is_header).agg(F.min("line_no")).first()[0]
-    if start is None:
-        return lines.sparkSession.createDataFrame([], LABEL_SCHEMA)
-    end = lines.where((F.col("line_no") > start) & closes).agg(F.min("line_no")).first()[0]
-    body = lines.where(F.col("line_no") > start)
-    if end is not None:
-        body = body.where(F.col("line_no") <= end)
-    body = body.where(F.col("value").rlike(ENTRY_PATTERN))
+    after = lines.where(F.col("place") > start)
+    end = after.where(closes).agg(F.min("place")).scalar()
+    return _entries(after.where(end.isNull() | (F.col("place") <= end)).where(F.col("value").rlike(ENTRY_PATTERN)))
+
+
+def _entries(body: DataFrame) -> DataFrame:
     label = F.regexp_replace(F.regexp_extract("value", ENTRY_PATTERN, 2), "''", "'")
     return body.select(
-        F.col("line_no").alias("ord"),
+        F.col("place").alias("ord"),
         F.regexp_extract("value", ENTRY_PATTERN, 1).alias("code"),
         F.regexp_replace(label, r"\s+$", "").alias("label"),
     )
 
 
+def visa_table(lines: DataFrame) -> DataFrame:
+    """The visa categories as ``(ord, code, label)``.  Their list is not a
+    value section but a comment under the visa column's description: lines
+    ``<digits> = <unquoted label>`` up to the end of the comment."""
+    start = lines.where(F.col("value").rlike(VISA_HEADER)).agg(F.min("place")).scalar()
+    after = lines.where(F.col("place") > start)
+    end = after.where(F.contains("value", F.lit("*/"))).agg(F.min("place")).scalar()
+    body = after.where(end.isNull() | (F.col("place") <= end)).where(F.col("value").rlike(VISA_ENTRY))
+    return body.select(
+        F.col("place").alias("ord"),
+        F.regexp_extract("value", VISA_ENTRY, 1).alias("code"),
+        F.trim(F.regexp_extract("value", VISA_ENTRY, 2)).alias("label"),
+    )
+
+
 def read_label_table(
     spark: SparkSession, path: str, section: str = PORT_SECTION
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Arrival records: the numeric SAS fields are doubles, codes are text.
+# Column names of the three sources, in file order.
 ARRIVALS_SCHEMA = T.StructType(
     [
         T.StructField("cicid", T.DoubleType()),

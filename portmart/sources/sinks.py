@@ -20,19 +20,14 @@ def write_partitioned(
     path: str,
     keys: Sequence[str],
     mode: str = "overwrite",
-    dynamic: bool = False,
 ) -> None:
     """Parquet dataset in ``key=value`` folders.
 
     Rows are first rebalanced on the partition keys: each folder is
     written by few tasks (few files), and AQE splits a key that holds a
     large share of the rows over several tasks instead of one.
-    ``dynamic`` replaces only the folders present in ``df``.
     """
-    writer = df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def read_partitioned(

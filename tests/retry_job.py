@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from portmart.operators.lookup import first_match_code  # noqa: E402
-from portmart.sources.labels import label_table, read_label_lines  # noqa: E402
+from portmart.sources.labels import label_table, read_label_lines, with_line_numbers  # noqa: E402
 
 
 def _flaky(_):
@@ -38,7 +38,7 @@ def main(folder: str) -> None:
     for i, (a, b) in enumerate([(0, 5), (5, 19), (19, len(lines))]):
         with open(os.path.join(folder, f"part-{i:05d}.txt"), "w") as f:
             f.write("\n".join(lines[a:b]) + "\n")
-    numbered = read_label_lines(spark, folder).where(flaky(F.col("value")))
+    numbered = with_line_numbers(read_label_lines(spark, folder)).where(flaky(F.col("value")))
     labels = label_table(numbered)
     names = spark.createDataFrame(
         [(n,) for n in ["Portland", "Mesa", "Alton", "Oakland", "", None, "Nowhere"] * 30], "City string"

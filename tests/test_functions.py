@@ -92,3 +92,10 @@ def test_percentage_by_zero_is_null(spark):
 def test_contains_ci(spark, hay, needle, want):
     df = spark.createDataFrame([(hay, needle)], "h string, n string")
     assert df.select(contains_ci("h", "n")).first()[0] == want
+
+
+def test_lenient_long_cuts_any_fraction(spark):
+    texts = ["12.9999999", "-12.9999999", "12.7", "-.9", "+7", " 5 ", "1e3", "", ".", "-", "abc", "1.2.3", "9" * 20, "7.", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.v for r in df.select("i", lenient_long("t").alias("v")).orderBy("i").collect()]
+    assert got == [12, -12, 12, 0, 7, 5, None, None, None, None, None, None, None, 7, None]

@@ -4,7 +4,7 @@ import os
 
 from fixtures import LABEL_FILE, PORTS
 
-from portmart.sources.labels import label_table, read_label_lines, read_label_table
+from portmart.sources.labels import label_table, read_label_lines, read_label_table, visa_table, with_line_numbers
 
 
 def _write(tmp_out, text, name="labels.SAS"):
@@ -43,8 +43,34 @@ def test_line_numbers_follow_file_order_across_files(spark, tmp_out):
     cuts = [0, 3, 20, 21, len(lines)]
     for i in range(len(cuts) - 1):
         _write(folder, "\n".join(lines[cuts[i] : cuts[i + 1]]) + "\n", f"part-{i:05d}.txt")
-    got = read_label_lines(spark, folder).orderBy("line_no").collect()
+    read = read_label_lines(spark, folder)
+    got = with_line_numbers(read).orderBy("line_no").collect()
     assert [r.line_no for r in got] == list(range(1, len(lines) + 1))
     assert [r.value for r in got] == lines
-    rows = label_table(spark.createDataFrame(got)).orderBy("ord").collect()
+    rows = label_table(read).orderBy("ord").collect()
     assert [(r.code, r.label) for r in rows] == PORTS
+
+
+def test_lines_survive_another_split_size_while_they_are_used(spark, tmp_out):
+    body = "".join(f"   'P{i:05d}'\t=\t'PORT {i}'\n" for i in range(5000))
+    lines = read_label_lines(spark, _write(tmp_out, "  value $i94prtl\n" + body + ";\n"))
+    entries = label_table(lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        counts = []
+        for size in ("4k", "64k", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            rows = entries.orderBy("ord").collect()
+            counts.append([(r.code, r.label) for r in rows])
+            assert with_line_numbers(lines).agg({"line_no": "max"}).first()[0] == 5002
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert counts == [[(f"P{i:05d}", f"PORT {i}") for i in range(5000)]] * 3
+
+
+def test_visa_list_in_a_comment(spark, tmp_out):
+    text = "/* I94BIR - Age */\n/* I94VISA - Visa codes collapsed:\n   1 = Business\n   2 = Pleasure\n   3 = Student\n*/\n   4 = no\n"
+    rows = visa_table(read_label_lines(spark, _write(tmp_out, text))).orderBy("ord").collect()
+    assert [(r.code, r.label) for r in rows] == [("1", "Business"), ("2", "Pleasure"), ("3", "Student")]

@@ -65,11 +65,11 @@ def test_no_python_udf_in_plan(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_one_lookup_per_distinct_name(spark):
-    from portmart.operators.lookup import name_codes
+def test_one_code_per_substring(spark):
+    from portmart.operators.lookup import substring_codes
 
     labels = [(i, c, l) for i, (c, l) in enumerate(PORTS)]
-    names = spark.createDataFrame([("Portland",), ("PORTLAND",), ("portland",), ("Mesa",), ("Nowhere",), (None,)] * 20, "City string")
-    mapping, small = name_codes(names, "City", _labels_df(spark, labels))
-    # one row per distinct lower-cased name that matches something
-    assert small and sorted(tuple(r) for r in mapping.collect()) == [("mesa", "OTM"), ("portland", "POM")]
+    codes = dict(tuple(r) for r in substring_codes(_labels_df(spark, labels)).collect())
+    texts = [label.lower() for _, _, label in labels]
+    assert set(codes) == {t[i:j] for t in texts for i in range(len(t) + 1) for j in range(i, len(t) + 1)}
+    assert (codes["mesa"], codes["portland"], codes[""]) == ("OTM", "POM", "ALC")

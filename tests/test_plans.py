@@ -5,7 +5,7 @@ import re
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as entry
+from portmart.plans.catalog import QUERIES
 
 
 def plan(df) -> str:
@@ -13,10 +13,10 @@ def plan(df) -> str:
 
 
 def q(spark, name):
-    return entry.queries()[name](spark, SF_SMALL)
+    return QUERIES[name](spark, SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cartesian(spark, name):
     p = plan(q(spark, name))
     for op in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -61,6 +61,6 @@ def test_top_k_keeps_k_per_task(spark):
     assert "TakeOrderedAndProject" in plan(q(spark, "top_k"))
 
 
-def test_lookup_filters_substrings_before_shuffle(spark):
-    p = plan(q(spark, "first_match_lookup"))
-    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+def test_lookup_reads_its_rows_once(spark):
+    p = plan(q(spark, "lookup_many_names"))
+    assert p.count("customer.parquet") == 1 and "BroadcastHashJoin" in p

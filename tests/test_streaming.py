@@ -2,11 +2,14 @@
 
 import os
 
+import pytest
 from fixtures import ARRIVALS
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from portmart.sources.readers import ARRIVALS_SCHEMA
 from portmart.sources.sinks import read_partitioned
+from portmart.streaming import refresh as refresh_mod
 from portmart.streaming import refresh_arrivals
 
 
@@ -34,35 +37,85 @@ def test_refresh_is_incremental_and_distinct(spark, tmp_out):
     df = fact()
     assert df.count() == first + 1
     assert df.groupBy("id", "date").count().where(F.col("count") > 1).count() == 0
-    months = {(r.year, r.month) for r in df.select("year", "month").distinct().collect()}
-    assert months == {("2016", "4"), ("2016", "5"), (None, None)}
+    months = {(r.y, r.m) for r in df.select(F.year("date").alias("y"), F.month("date").alias("m")).collect()}
+    assert months == {(2016, 4), (2016, 5), (None, None)}
 
 
-def test_batch_failing_after_its_write_is_retried_without_duplicates(spark, tmp_out, monkeypatch):
-    from portmart.streaming import refresh as refresh_mod
+TABLES = ["immigration", "immigrant", "time", "staging/immigration"]
+
+
+def _mart(spark, out):
+    return {t: sorted(map(str, read_partitioned(spark, os.path.join(out, t)).collect())) for t in TABLES}
 
-    landing, out, ckpt = (os.path.join(tmp_out, d) for d in ("landing", "out", "ckpt"))
-    _land(spark, landing, ARRIVALS)
-    real_write = refresh_mod.write_partitioned
-    calls = {"n": 0}
 
-    def write_then_crash(*args, **kwargs):
-        real_write(*args, **kwargs)
-        calls["n"] += 1
-        if calls["n"] == 1:
+@pytest.mark.parametrize("lost_after", [1, 2, 3, 4])
+def test_batch_lost_after_a_write_is_replayed_whole(spark, tmp_out, monkeypatch, lost_after):
+    """The second batch is lost after each of its four writes in turn."""
+    landing, out, clean = (os.path.join(tmp_out, d) for d in ("landing", "out", "clean"))
+    _land(spark, landing, ARRIVALS[:3])
+    for mart in (out, clean):
+        assert refresh_arrivals(spark, landing, mart) == 1
+    _land(spark, landing, ARRIVALS[2:])
+    real, calls = refresh_mod.append_rows, []
+
+    def write_then_crash(*args):
+        real(*args)
+        calls.append(args)
+        if len(calls) == lost_after:
             raise RuntimeError("lost after the write, before the offsets were committed")
 
-    monkeypatch.setattr(refresh_mod, "write_partitioned", write_then_crash)
-    try:
-        refresh_arrivals(spark, landing, out, ckpt)
-        raise AssertionError("the first run should fail")
-    except Exception as e:  # noqa: BLE001
-        assert "lost after the write" in str(e)
-    # The restart replays the uncommitted batch; the anti-join keeps it whole.
-    assert refresh_arrivals(spark, landing, out, ckpt) == 1
-    df = read_partitioned(spark, os.path.join(out, "immigration"))
-    assert df.count() == 8
-    assert df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count() == 0
+    monkeypatch.setattr(refresh_mod, "append_rows", write_then_crash)
+    with pytest.raises(Exception, match="lost after the write"):
+        refresh_arrivals(spark, landing, out)
+    monkeypatch.setattr(refresh_mod, "append_rows", real)
+    assert refresh_arrivals(spark, landing, out) == 1
+    assert refresh_arrivals(spark, landing, clean) == 1
+    assert _mart(spark, out) == _mart(spark, clean)
+    assert len(_mart(spark, out)["immigrant"]) == 8
+
+
+@pytest.mark.parametrize("layout", ["flat", "partitioned"])
+def test_refresh_adds_to_the_mart_of_the_batch(spark, tmp_out, layout):
+    from test_pipeline import _cfg
+
+    from portmart.plans.pipeline import load_star, run_pipeline
+
+    cfg = _cfg(spark, tmp_out, layout)
+    run_pipeline(spark, cfg)
+    before = {k: v.count() for k, v in load_star(spark, cfg).items()}
+    landing = os.path.join(tmp_out, "landing")
+    _land(spark, landing, [ARRIVALS[0], (8.0, 20606.0, None, "OAK", "CA", 30.0, "F", 2.0, 1.0)])
+    assert refresh_arrivals(spark, landing, cfg.output_dir, layout=layout) == 1
+    after = {k: v.count() for k, v in load_star(spark, cfg).items()}
+    more = {k for k in after if after[k] == before[k] + 1}
+    assert more == {"fact_immigration", "dim_immigrant", "dim_time"}
+    assert all(after[k] == before[k] for k in after if k not in more)
+
+
+def test_refresh_refuses_another_layout(spark, tmp_out):
+    landing, out = os.path.join(tmp_out, "landing"), os.path.join(tmp_out, "out")
+    _land(spark, landing, ARRIVALS[:3])
+    assert refresh_arrivals(spark, landing, out, layout="partitioned") == 1
+    _land(spark, landing, ARRIVALS[3:])
+    with pytest.raises(Exception, match="laid out by"):
+        refresh_arrivals(spark, landing, out, layout="flat")
+
+
+def test_two_marts_with_one_folder_name(spark, tmp_out):
+    landing = os.path.join(tmp_out, "landing")
+    _land(spark, landing, ARRIVALS)
+    for parent in ("a", "b"):
+        out = os.path.join(tmp_out, parent, "mart")
+        assert refresh_arrivals(spark, landing, out) == 1
+        assert read_partitioned(spark, os.path.join(out, "immigration")).count() == 8
+
+
+def test_only_a_missing_folder_counts_as_no_table(spark, tmp_out):
+    assert refresh_mod.existing_table(spark, os.path.join(tmp_out, "none")) is None
+    empty = os.path.join(tmp_out, "empty")
+    os.makedirs(empty)
+    with pytest.raises(AnalysisException):
+        refresh_mod.existing_table(spark, empty)
 
 
 def test_temperature_refresh_equals_batch(spark, tmp_out):
