@@ -1,3 +1,204 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Absent: op1 and op5 (learnt models), op3 (its checksum and slot edits), op10
+(parsing); tests/llm compares those with brute-force versions instead.
+"""
+
+from portmart.llm.quality_rules import STOP_WORD_FORMS
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _shingles(name: str, source: str, key: str, words: str) -> str:
+    """CTEs ``name``: the distinct 5-word shingles of ``source`` by ``key``."""
+    return f"""{name}_words AS (SELECT {key}, {words} AS w FROM {source}),
+    {name} AS (
+        SELECT DISTINCT {key}, array_to_string(w[p:p + 4], ' ') AS s
+        FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM {name}_words WHERE len(w) > 0)
+    )"""
+
+
+OP2 = f"""
+WITH {_shingles("doc", "documents", "doc_id", _WORDS.format("lower(coalesce(text, ''))"))},
+    {_shingles("item", "benchmark", "item_id", _WORDS.format("lower(coalesce(text, ''))"))},
+    size AS (SELECT item_id, count(*) AS item_shingles FROM item GROUP BY item_id),
+    hit AS (SELECT doc_id, item_id, count(*) AS shared FROM doc JOIN item USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, item_shingles, shared FROM hit JOIN size USING (item_id)
+WHERE shared >= 0.75 * item_shingles
+"""
+
+OP4 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    win AS (
+        SELECT r, p, array_to_string(w[p:p + 34], ' ') AS s
+        FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)
+    ),
+    often AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+    gone AS (
+        SELECT DISTINCT r, p + k AS p
+        FROM (SELECT r, p FROM win JOIN often USING (s)) CROSS JOIN range(0, 35) AS o(k)
+    ),
+    held AS (
+        SELECT a.r, string_agg(a.word, ' ' ORDER BY a.p) AS t, count(*) AS n
+        FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) a
+        ANTI JOIN gone g ON a.r = g.r AND a.p = g.p
+        GROUP BY a.r
+    )
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN held USING (r)
+"""
+
+OP6 = f"""
+WITH RECURSIVE {_shingles("doc", "documents", "doc_id", _WORDS.format(_LOWER))},
+    size AS (SELECT doc_id, count(*) AS n FROM doc GROUP BY doc_id),
+    pair AS (
+        SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS o
+        FROM doc a JOIN doc b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY u, v
+    ),
+    link AS (
+        SELECT u, v FROM pair JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v
+        WHERE 100 * o >= 75 * (x.n + y.n - o)
+    ),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, v FROM reach JOIN link ON u = b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN size USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+OP7 = r"""
+WITH p AS (
+        SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS x,
+            regexp_replace(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://(www[0-9]*\.)?|#.*$', '', 'g') AS rest
+        FROM pages
+    ),
+    q AS (
+        SELECT *, min(page_id) OVER (PARTITION BY t) AS first, regexp_extract(rest, '^[^/:?]*') AS host,
+            list_transform(range(0, 8), lambda i: ('0x' || substr(x, 5 * i::INT + 1, 5))::BIGINT) AS parts
+        FROM p
+    )
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes,
+    array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+        lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1)), '')), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to,
+    array_to_string(list_reverse(string_split(host, '.')), ',') || ')'
+        || regexp_replace(substr(rest, length(host) + 1), '^:[0-9]+', '') AS urlkey,
+    strftime(make_timestamp((1577836800 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS ts
+FROM q
+"""
+
+OP8 = f"""
+WITH d AS (
+        SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS size,
+            md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS k
+        FROM documents
+    ),
+    src AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM d GROUP BY source),
+    weighed AS (
+        SELECT *, [5.0::DOUBLE, 2.0, 1.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT] AS w,
+            2.0::DOUBLE * source_size AS stop
+        FROM src
+    ),
+    level AS (
+        SELECT *, least(sum(source_size) OVER () * 1.5::DOUBLE, sum(stop) OVER ()) AS budget, sum(w) OVER () AS all_w,
+            coalesce(sum(stop) OVER before, 0.0) AS stops_before, coalesce(sum(w) OVER before, 0.0) AS w_before
+        FROM weighed
+        WINDOW before AS (ORDER BY stop / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ),
+    marked AS (SELECT *, stop * (all_w - w_before) <= (budget - stops_before) * w AS stopped FROM level),
+    target AS (
+        SELECT source, source_size, n, CASE WHEN stopped THEN stop ELSE
+            w * (budget - coalesce(sum(CASE WHEN stopped THEN stop END) OVER (), 0.0))
+            / sum(CASE WHEN NOT stopped THEN w END) OVER () END AS target
+        FROM marked
+    ),
+    need AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::INT ELSE 0 END AS whole,
+            target - (CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END) * source_size AS need,
+            ceil(sqrt(n)) AS n_ranges
+        FROM target
+    ),
+    placed AS (
+        SELECT d.*, s.source_size, s.target, s.whole, s.need,
+            floor(('0x' || substr(k, 1, 8))::BIGINT::DOUBLE * n_ranges / 4294967296.0) AS rng
+        FROM d JOIN need s ON d.source IS NOT DISTINCT FROM s.source
+    ),
+    ranges AS (SELECT source, rng, any_value(need) AS need, sum(size) AS words FROM placed GROUP BY source, rng),
+    filled AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY rng) AS filled FROM ranges),
+    cut AS (
+        SELECT source, min(rng) AS cut_range, arg_min(need - (filled - words), rng) AS missing
+        FROM filled WHERE filled > need GROUP BY source
+    ),
+    inside AS (
+        SELECT p.source, c.missing, k, sum(size) AS size,
+            sum(sum(size)) OVER (PARTITION BY p.source ORDER BY k) AS filled
+        FROM placed p JOIN cut c ON p.source IS NOT DISTINCT FROM c.source AND rng = cut_range
+        GROUP BY p.source, c.missing, k
+    ),
+    rest AS (
+        SELECT *, missing - coalesce(max(CASE WHEN filled <= missing THEN filled END) OVER (PARTITION BY source), 0) AS left_over
+        FROM inside
+    ),
+    extra AS (
+        SELECT source, arg_min(k, (abs(size - left_over), k)) AS extra_key FROM rest
+        WHERE filled > missing AND abs(size - left_over) < left_over GROUP BY source
+    ),
+    taken_keys AS (
+        SELECT source, k FROM rest WHERE filled <= missing
+        UNION SELECT source, extra_key FROM extra
+    )
+SELECT p.doc_id, p.size, p.source_size, p.target,
+    (p.size * (p.whole + CASE
+        WHEN c.cut_range IS NULL THEN (p.need > 0)::INT
+        WHEN p.rng < c.cut_range THEN 1
+        WHEN p.rng = c.cut_range AND t.k IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed p
+LEFT JOIN cut c ON p.source IS NOT DISTINCT FROM c.source
+LEFT JOIN taken_keys t ON p.source IS NOT DISTINCT FROM t.source AND p.k = t.k
+"""
+
+_STOPS = ", ".join(f"'{w}'" for w in STOP_WORD_FORMS)
+
+OP9 = f"""
+WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+        FROM documents
+    ),
+    win AS (
+        SELECT r, p, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c
+        FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) > 2)
+    ),
+    often AS (SELECT r, p, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM win),
+    rep AS (
+        SELECT r, count(DISTINCT p + k) AS n_repeat_words
+        FROM often CROSS JOIN range(0, 3) AS o(k) WHERE n > 1 GROUP BY r
+    ),
+    m AS (
+        SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+            coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+            len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop,
+            len(list_filter(lines, lambda x: rtrim(x) LIKE '%...' OR rtrim(x) LIKE '%…')) AS n_ellipsis,
+            len(list_filter(lines, lambda x: regexp_matches(x, '^[\\x20\\x09-\\x0D]*[-*•–]'))) AS n_bullet
+        FROM d LEFT JOIN rep USING (r)
+    ),
+    v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND word_chars BETWEEN 2 * n_words AND 14 * n_words AND n_symbols <= 0.05 * word_chars
+        AND n_symbols <= 0.25 * n_words AND n_stop >= 0.03 * n_words AND n_dup_lines <= 0.5 * n_lines
+        AND n_ellipsis <= 0.3 * n_lines AND n_bullet <= 0.9 * n_lines AS kept
+FROM v
+"""
+
+SQL: dict[str, str] = {
+    "op2_decontamination": OP2,
+    "op4_substring_dedup": OP4,
+    "op6_ngram_join": OP6,
+    "op7_warc": OP7,
+    "op8_mixing": OP8,
+    "op9_quality_rules": OP9,
+}
