@@ -14,6 +14,9 @@ repeated anchors go to the tasks as a bit table of one size, ``FILTER_BITS``;
 bits that anchors share by chance only add windows to the count.  Windows are
 compared by two 64-bit hashes.
 
+In the end only the texts whose hash is in a second such table are shuffled to
+meet their intervals; the others pass as they are.
+
 Before either count a batch sums what it holds itself: windows found twice in
 it are decided there, as intervals, and one row tells the other batches.  So
 a passage that one third of all rows share reaches a task once per batch.
@@ -28,7 +31,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -94,8 +97,9 @@ def anchor_counts(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
     return each.groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def anchor_filter(counted: DataFrame) -> np.ndarray:
-    """Bit table of the anchors that stand at two or more places."""
+def bit_table(hashes: DataFrame) -> np.ndarray:
+    """Bit table of the values of column ``h``: at most 2**FILTER_BITS bits
+    reach the driver, however many values there are."""
     bit = F.col("h").bitwiseAND((1 << FILTER_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,10 +114,10 @@ def anchor_filter(counted: DataFrame) -> np.ndarray:
                 [pa.array([b], pa.int64()), pa.array([np.packbits(mine).tobytes()])], ["block", "bits"]
             )
 
-    repeated = counted.where("n >= 2").select(F.shiftright(bit, FILTER_BLOCK_BITS).alias("block"), bit.alias("bit"))
-    parts = repeated.repartition("block").mapInArrow(run, "block long, bits binary")
+    placed = hashes.select(F.shiftright(bit, FILTER_BLOCK_BITS).alias("block"), bit.alias("bit"))
+    parts = placed.repartition("block").mapInArrow(run, "block long, bits binary")
     table = np.zeros((1 << (FILTER_BITS - FILTER_BLOCK_BITS), 1 << (FILTER_BLOCK_BITS - 3)), np.uint8)
-    for row in parts.collect():  # at most 2**FILTER_BITS bits
+    for row in parts.collect():
         table[row["block"]] = np.frombuffer(row["bits"], np.uint8)
     return table.reshape(-1)
 
@@ -156,7 +160,8 @@ def candidate_windows(
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         group = np.cumsum(new) - 1
         often = np.bincount(group)[group] >= 2
-        single, tell = order[~often], order[often & new]
+        # Singles in the order of the texts: their keys then compress.
+        single, tell = np.sort(order[~often]), order[often & new]
         known, lo, hi = intervals(doc[order[often]], pos[order[often]])
         none = pa.nulls(len(tell), pa.int64())
         docs_out = pa.concat_arrays([pa.array(doc[single]), none, pa.array(known)])
@@ -235,10 +240,11 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
 
 def removals(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """``doc_id, text_hash, spans``: per document the intervals of window
-    starts that are repeated."""
-    counted = anchor_counts(docs, width, anchor)
-    found = repeated_windows(candidate_windows(docs, anchor_filter(counted), width, anchor))
-    spans = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    starts that are repeated, each as ``first << 32 | one past the last``."""
+    repeated = bit_table(anchor_counts(docs, width, anchor).where("n >= 2"))
+    found = repeated_windows(candidate_windows(docs, repeated, width, anchor))
+    span = F.shiftleft(F.col("lo"), 32).bitwiseOR(F.col("hi"))
+    spans = found.groupBy("doc_id", "text_hash").agg(F.collect_set(span).alias("spans"))
     return materialize(spans, "removals")
 
 
@@ -248,22 +254,44 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
     spans = removals(docs, width, anchor).select(
         F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash"), "spans"
     )
+    # Only texts that may lose words travel to their intervals.
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(spans.select(F.col("s_hash").alias("h"))))
     t = text_of("text")
     d = docs.select("doc_id", F.xxhash64(t).alias("text_hash"), t.cast("binary").alias("t"))
-    d = d.join(spans, d["doc_id"].eqNullSafe(spans["s_id"]) & (d["text_hash"] == spans["s_hash"]), "left")
-    d = d.select("doc_id", "t", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def concerned(wanted: bool) -> DataFrame:
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = shared.value
+            for batch in batches:
+                hashes = batch.column(1).to_numpy().view(np.uint64)
+                yield batch.filter(pa.array(is_set(table, hashes) == wanted))
+
+        return d.mapInArrow(pick, f"doc_id {kind}, text_hash long, t binary")
+
+    some = concerned(True)
+    some = some.join(spans, some["doc_id"].eqNullSafe(spans["s_id"]) & (some["text_hash"] == spans["s_hash"]), "left")
+    whole = concerned(False).select("doc_id", "t", F.lit(None).cast("array<long>").alias("spans"))
+    return whole.unionByName(some.select("doc_id", "t", "spans")).mapInArrow(
+        cut_words(width),
+        f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, "
+        "intervals array<struct<from:long,to:long>>, kept_text string",
+    )
+
+
+def cut_words(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cuts the words of the given window starts out of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lows, highs = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             sizes, gone, digest, ranges, kept = [], [], [], [], []
-            for text, lo, hi in zip(texts, lows, highs, strict=True):
+            for text, starts in zip(texts, spans, strict=True):
                 held = text.split()
                 sizes.append(len(held))
                 cut: list[tuple[int, int]] = []
-                for a, b in sorted(zip(lo or (), hi or (), strict=True)):
-                    b += width - 1
+                for span in sorted(starts or ()):
+                    a, b = span >> 32, (span & 0xFFFFFFFF) + width - 1
                     if cut and a <= cut[-1][1]:
                         cut[-1] = (cut[-1][0], max(b, cut[-1][1]))
                     else:
@@ -286,8 +314,4 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
                 ["doc_id", "n_words", "n_removed", "kept_sha256", "intervals", "kept_text"],
             )
 
-    return d.mapInArrow(
-        run,
-        f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, "
-        "intervals array<struct<from:long,to:long>>, kept_text string",
-    )
+    return run
