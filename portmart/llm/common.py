@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portmart.session import scratch_path
+from portmart.session import materialize as materialize
 
 # The white space that separates words, x20 and x09 to x0D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,18 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back.
-
-    Cuts the lineage with files every executor can read again, so losing an
-    executor later only re-reads them.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(col: str | Column) -> Column:
     """The text, null read as empty."""
     c = F.col(col) if isinstance(col, str) else col

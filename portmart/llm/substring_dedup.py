@@ -45,19 +45,21 @@ WIDTH = 35
 ANCHOR = 18
 FILTER_BITS = 27
 FILTER_BLOCK_BITS = 18
-WINDOWS_AT_ONCE = 500_000
+WINDOWS_AT_ONCE = 250_000
 SECOND_BASE = 0xA0761D6478BD642F
 
 
-def text_windows(texts: list[bytes | None], width: int) -> Iterator[tuple[int, np.ndarray]]:
+def text_windows(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each text with a window, by its place, and its words' hashes."""
-    for a, b in tokens.chunks(texts):
-        hashes, counts = tokens.word_hashes([t or b"" for t in texts[a:b]])
-        start = 0
-        for i, n in enumerate(counts):
-            if n >= width:
-                yield a + i, hashes[start : start + n]
-            start += n
+    for offset in range(0, len(column), tokens.ROWS_AT_ONCE):
+        texts = column.slice(offset, tokens.ROWS_AT_ONCE).to_pylist()
+        for a, b in tokens.chunks(texts):
+            hashes, counts = tokens.word_hashes([t or b"" for t in texts[a:b]])
+            start = 0
+            for i, n in enumerate(counts):
+                if n >= width:
+                    yield offset + a + i, hashes[start : start + n]
+                start += n
 
 
 def least_in_window(values: np.ndarray, size: int) -> np.ndarray:
@@ -87,7 +89,7 @@ def anchor_counts(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros(0, np.uint64)]
-            for _, hashes in text_windows(batch.column(0).to_pylist(), width):
+            for _, hashes in text_windows(batch.column(0), width):
                 runs, place = anchors(hashes, width, anchor)
                 found.append(runs[np.unique(place)])
             h, n = np.unique(np.concatenate(found), return_counts=True)
@@ -184,7 +186,7 @@ def candidate_windows(
         bits = shared.value
         for batch in batches:
             held, size = [], 0
-            for i, hashes in text_windows(batch.column(2).to_pylist(), width):
+            for i, hashes in text_windows(batch.column(2), width):
                 runs, place = anchors(hashes, width, anchor)
                 pos = np.flatnonzero(is_set(bits, runs[place]))
                 if len(pos):
@@ -283,7 +285,7 @@ def cut_words(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     """Cuts the words of the given window starts out of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.slices(batches):
             texts, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             sizes, gone, digest, ranges, kept = [], [], [], [], []
             for text, starts in zip(texts, spans, strict=True):

@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+# Rows of an Arrow batch that are Python objects at a time.
+ROWS_AT_ONCE = 1000
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 
@@ -88,3 +91,10 @@ def chunks(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
             start, size = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``ROWS_AT_ONCE`` rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
