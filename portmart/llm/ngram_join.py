@@ -8,16 +8,15 @@ are cut at the same places of that order.
 1. Documents with equal sets form a class; from here on classes are joined.
 2. Two sets with Jaccard similarity t share a shingle among the first
    ``n - ceil(t n) + 1`` of either in the global order.  Classes that share
-   one meet; the first of them, its leader, is paired with every other, which
-   is linear in the size of a group of copies.
+   one meet.  Each is paired with the smallest of them, the leader, and with
+   one drawn for each shared shingle, which is linear in the size of a group
+   of near copies and leaves most of a large group connected.
 3. Pairs that the sizes and a bitmap of the sets rule out go.  For the rest
    the sets are cut into fragments of the global order, the overlap of each
    fragment is counted separately and summed per pair: exact similarity.
-4. Components of the links.  Pairs inside one component need no verdict.
-   Where classes of different components still share a shingle as in 2 and
-   are many, leaders are drawn anew among them, which joins large groups of
-   near copies in a few linear rounds; the pairs that still cross components
-   at last are all verified.  The components are then complete.
+4. Components of the links.  Pairs inside one component need no verdict;
+   where classes of different components still share a shingle as in 2, all
+   those pairs are verified too.  The components are then complete.
 
 A class is named by a 64-bit hash of its set.
 
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 
 from portmart.llm import tokens
 from portmart.llm.common import materialize, text_of
-from portmart.llm.components import connected_components
+from portmart.llm.components import connected_components, merge_components
 
 WIDTH = 5
 PERCENT = 75
@@ -49,9 +48,6 @@ SKETCH_BLOCKS = 64
 FOLDED_BITS = 512
 FRAGMENT_BITS = 3
 SETS_AT_ONCE = 1000
-# Leaders are drawn anew while all crossing pairs would be more than so many per meeting.
-CROSSING_PER_MEETING = 2
-MAX_DRAWS = 8
 # Above this many times the sketch's mean count a shingle is dealt by a salt too.
 HOT_FACTOR = 64
 SALTS = 64
@@ -112,7 +108,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for batch in batches:
+        for batch in tokens.slices(batches):
             sets = list(shingle_sets(batch.column(2).to_pylist()))
             named = np.zeros(len(sets), np.int64)
             held = [i for i, s in enumerate(sets) if len(s)]
@@ -191,10 +187,10 @@ def in_order(found: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 def prefixes(docs: DataFrame, classes: np.ndarray, hot: int, percent: int = PERCENT) -> DataFrame:
     """``token, salt, class, n``: the first shingles of every set, each class
-    once per batch.  Tokens of hot shingles are dealt over salts."""
+    once per slice of a batch.  Tokens of hot shingles are dealt over salts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.slices(batches):
             sets = [s for s in shingle_sets(batch.column(0).to_pylist()) if len(s)]
             if not sets:
                 continue
@@ -216,26 +212,30 @@ def prefixes(docs: DataFrame, classes: np.ndarray, hot: int, percent: int = PERC
     )
 
 
-def meetings(tokens_of: DataFrame, hot: int) -> DataFrame:
-    """``token, salt, class, n, leader, leader_n``: all classes that share a
-    token, next to the least of them.  Streams over sorted rows, keeping only
-    the leader and the last row; a salted token keeps all its rows."""
+def meetings(tokens_of: DataFrame, hot: int, percent: int = PERCENT) -> DataFrame:
+    """``token, part, class, n, leader, leader_n, other, other_n``: all classes
+    that share a token, next to the smallest of them and to one drawn among
+    those before, if another one.  Where only two share it, which one pair
+    settles, the token is left out.  A token's classes come in order of size and are parted
+    where the next is too large for any before it.  Streams over sorted rows,
+    keeping only the leader and the last row; a salted token keeps all its
+    rows, in one part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The last group may go on in the next batch: its leader, and whether the leader was sent.
+        # The last group may go on in the next batch: token, salt, leader, its
+        # size, whether the leader was sent, and the last size.
         last: tuple | None = None
         for batch in batches:
             token, salt, owner, size = (batch.column(i).to_numpy() for i in range(4))
             if not len(token):
                 continue
             changed = np.ones(len(token), bool)
-            changed[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])
-            goes_on = last is not None and (token[0], salt[0]) == last[:2]
+            changed[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1]) | (100 * size[:-1] < percent * size[1:])
+            goes_on = last is not None and (token[0], salt[0]) == last[:2] and 100 * last[5] >= percent * size[0]
             first = np.flatnonzero(changed)
             group = np.cumsum(changed) - 1
-            leader, leader_n = owner[first], size[first]
+            leader, leader_n = owner[first].copy(), size[first].copy()
             if goes_on:
-                leader, leader_n = leader.copy(), leader_n.copy()
                 leader[0], leader_n[0] = last[2], last[3]
             other = owner != leader[group]
             meets = np.zeros(len(first), bool)
@@ -250,21 +250,42 @@ def meetings(tokens_of: DataFrame, hot: int) -> DataFrame:
             dealt_twice = (token.view(np.uint64) >> np.uint64(58)) >= hot
             keep = other | own | dealt_twice
             extra = np.array(late, np.int64).reshape(-1, 4)
+            part = np.where(dealt_twice, 0, leader_n[group])
+            # Another draw for every token, so near copies meet many partners.
+            here = np.arange(len(token))
+            before = here - first[group]
+            drawn = tokens.mix(token.view(np.uint64) + owner.view(np.uint64)) % np.maximum(before, 1).astype(np.uint64)
+            drawn = first[group] + drawn.astype(np.int64)
+            partner, partner_n = owner[drawn], size[drawn]
+            same = (before == 0) | (partner == leader[group])
+            # Two classes at most, in a group that this batch holds whole.
+            new = changed.copy()
+            new[1:] |= owner[1:] != owner[:-1]
+            pair_only = np.bincount(group, weights=new) <= 2
+            pair_only[-1] = False
+            pair_only[0] &= not goes_on
+            settled = pair_only[group] & ~dealt_twice
+            none = np.zeros(len(extra), bool)
+            settled_out = np.concatenate([none, settled[keep]])
+            same_out = np.concatenate([~none, same[keep]])
             columns = [
                 np.concatenate([extra[:, 0], token[keep]]),
-                np.concatenate([extra[:, 1], salt[keep]]).astype(np.int32),
+                np.concatenate([extra[:, 3], part[keep]]),
                 np.concatenate([extra[:, 2], owner[keep]]),
                 np.concatenate([extra[:, 3], size[keep]]),
                 np.concatenate([extra[:, 2], leader[group][keep]]),
                 np.concatenate([extra[:, 3], leader_n[group][keep]]),
+                np.concatenate([extra[:, 2], partner[keep]]),
+                np.concatenate([extra[:, 3], partner_n[keep]]),
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], NAMES)
+            masks = [settled_out, settled_out, None, None, None, None, same_out, same_out]
+            yield pa.RecordBatch.from_arrays([pa.array(c, mask=m) for c, m in zip(columns, masks, strict=True)], NAMES)
             sent = bool(meets[-1] or dealt_twice[-1] or (goes_on and len(first) == 1 and last[4]))
-            last = (int(token[-1]), int(salt[-1]), int(leader[-1]), int(leader_n[-1]), sent)
+            last = (int(token[-1]), int(salt[-1]), int(leader[-1]), int(leader_n[-1]), sent, int(size[-1]))
 
-    NAMES = ["token", "salt", "class", "n", "leader", "leader_n"]
-    dealt = tokens_of.repartition("token", "salt").sortWithinPartitions("token", "salt", "class")
-    return dealt.mapInArrow(run, "token long, salt int, class long, n long, leader long, leader_n long")
+    NAMES = ["token", "part", "class", "n", "leader", "leader_n", "other", "other_n"]
+    dealt = tokens_of.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "class")
+    return dealt.mapInArrow(run, "token long, part long, class long, n long, leader long, leader_n long, other long, other_n long")
 
 
 def alike_in_size(n: str, m: str, percent: int = PERCENT) -> F.Column:
@@ -272,26 +293,28 @@ def alike_in_size(n: str, m: str, percent: int = PERCENT) -> F.Column:
 
 
 def star_pairs(met: DataFrame, hot: int) -> DataFrame:
-    """``a, n, b, m``: every class that met others with its leader; for salted
-    tokens also the leaders of the salts with the least of them."""
+    """``a, n, b, m``: every class that met others with its leader and with the
+    one drawn; for salted tokens also the leaders of the salts with the least
+    of them.  Linear in the meetings."""
+    drawn = met.select(F.col("other").alias("a"), F.col("other_n").alias("n"), F.col("class").alias("b"), F.col("n").alias("m"))
     own = met.select(F.col("leader").alias("a"), F.col("leader_n").alias("n"), F.col("class").alias("b"), F.col("n").alias("m"))
     salted = met.where(F.shiftrightunsigned("token", 58) >= hot).select("token", "leader", "leader_n").distinct()
     low = salted.groupBy("token").agg(F.min(F.struct("leader", "leader_n")).alias("low"))
     across = salted.join(low, "token").select(
         F.col("low.leader").alias("a"), F.col("low.leader_n").alias("n"), F.col("leader").alias("b"), F.col("leader_n").alias("m")
     )
-    return own.unionByName(across).where((F.col("a") != F.col("b")) & alike_in_size("n", "m")).distinct()
+    return own.unionByName(drawn).unionByName(across).where((F.col("a") != F.col("b")) & alike_in_size("n", "m")).distinct()
 
 
-def mixed_meetings(met: DataFrame, component: DataFrame) -> DataFrame:
-    """``token, class, n, component`` where classes of different components
-    share a token."""
-    found = met.select("token", "class", "n").join(component, met["class"] == component["node"], "left")
-    found = found.select("token", "class", "n", F.coalesce("component", "class").alias("component")).distinct()
-    found = materialize(found, "met-components")
-    mixed = found.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = materialize(mixed.where("lo < hi").select("token"), "mixed-tokens")
-    return materialize(found.join(mixed, "token"), "mixed-meetings")
+def mixed_meetings(found: DataFrame, component: DataFrame) -> DataFrame:
+    """``token, part, class, n, component`` where classes of different
+    components share a token."""
+    f = found.join(component, found["class"] == component["node"], "left")
+    f = f.select("token", "part", "class", "n", F.coalesce("component", "class").alias("component"))
+    f = materialize(f, "met-components")
+    mixed = f.groupBy("token", "part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = materialize(mixed.where("lo < hi").select("token", "part"), "mixed-tokens")
+    return f.join(mixed, ["token", "part"])
 
 
 def untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
@@ -302,37 +325,26 @@ def untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     )
 
 
-def crossing_count(mixed: DataFrame) -> int:
-    """How many rows ``crossing_pairs`` would pair, from sums per token."""
-    per = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-    per = per.groupBy("token").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs"))
-    return int(per.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0])
-
-
-def drawn_pairs(mixed: DataFrame, draw: int) -> DataFrame:
-    """``a, n, b, m``: of each token a drawn leader with the classes of other
-    components, linear in the meetings."""
-    leader = F.min_by(F.struct("class", "n", "component"), F.xxhash64("class", "token", F.lit(draw)))
-    leaders = materialize(mixed.groupBy("token").agg(leader.alias("l")), "drawn-leaders")
-    pairs = mixed.join(leaders, "token").where("component <> l.component")
-    return pairs.select(F.col("l.class").alias("a"), F.col("l.n").alias("n"), F.col("class").alias("b"), F.col("n").alias("m"))
-
-
 def crossing_pairs(mixed: DataFrame, classes_of: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``a, n, b, m``: all pairs of classes of different components that
     share a token, but for those that sizes or folded bitmaps rule out."""
     folded = classes_of.select(F.col("class").alias("k"), "folded")
     rows = mixed.join(folded, mixed["class"] == folded["k"]).drop("k")
-    x = rows.select("token", F.col("class").alias("a"), "n", F.col("component").alias("ca"), F.col("folded").alias("fa"))
+    x = rows.select("token", "part", F.col("class").alias("a"), "n", F.col("component").alias("ca"), F.col("folded").alias("fa"))
     y = rows.select(
-        "token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"), F.col("folded").alias("fb")
+        "token",
+        "part",
+        F.col("class").alias("b"),
+        F.col("n").alias("m"),
+        F.col("component").alias("cb"),
+        F.col("folded").alias("fb"),
     )
     apart = F.lit(0)
     for i in range(FOLDED_BITS // 64):
         apart = apart + F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i]))
     # No more apart than n + m less twice the least overlap, in whole numbers.
     allowed = (100 + percent) * (F.col("n") + F.col("m") - apart) >= 2 * percent * (F.col("n") + F.col("m"))
-    return x.join(y, "token").where((F.col("ca") < F.col("cb")) & alike_in_size("n", "m") & allowed).select("a", "n", "b", "m")
+    return x.join(y, ["token", "part"]).where((F.col("ca") < F.col("cb")) & alike_in_size("n", "m") & allowed).select("a", "n", "b", "m")
 
 
 def bitmaps_allow(pairs: DataFrame, classes_of: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -431,29 +443,19 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame,
         ),
         "classes",
     )
-    met = materialize(meetings(prefixes(docs, classes, hot, percent), hot), "met")
+    met = materialize(meetings(prefixes(docs, classes, hot, percent), hot, percent), "met")
     stars = materialize(star_pairs(met, hot), "star-pairs")
     links = materialize(verified(stars, docs, classes_of, classes, percent), "star-links")
     component = materialize(connected_components(links), "components")
-    tested, before = stars, None
-    for draw in range(MAX_DRAWS):
-        mixed = mixed_meetings(met, component)
-        count = crossing_count(mixed)
-        # Draw leaders while that joins components; what remains is tested in full.
-        last = count <= CROSSING_PER_MEETING * mixed.count() or draw == MAX_DRAWS - 1
-        if before is not None and count > 0.9 * before:
-            last = True
-        before = count
-        pairs = crossing_pairs(mixed, classes_of, percent) if last else drawn_pairs(mixed, draw)
-        pairs = materialize(untested(pairs, tested), "crossing-pairs")
-        more = materialize(verified(pairs, docs, classes_of, classes, percent), "crossing-links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            component = materialize(connected_components(links), "components")
-        if last:
-            return described, links, component
-        tested = tested.unionByName(pairs)
-    raise AssertionError("the last draw returns")
+    found = met.where("token is not null").select("token", "part", "class", "n").distinct()
+
+    crossing = crossing_pairs(mixed_meetings(found, component), classes_of, percent)
+    crossing = materialize(untested(crossing, stars), "crossing-pairs")
+    more = materialize(verified(crossing, docs, classes_of, classes, percent), "crossing-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        component = materialize(merge_components(component, more), "components")
+    return described, links, component
 
 
 def labelled(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -168,8 +168,8 @@ def test_ngram_join(spark, rows):
 
 
 def test_ngram_join_of_one_large_group(spark, monkeypatch):
-    """Near copies of one text, most pairs of them not alike; batches of three,
-    salted tokens and several draws."""
+    """Near copies of one text, most pairs of them not alike; batches of three
+    and salted tokens."""
     import random
 
     rng = random.Random(5)
@@ -181,8 +181,6 @@ def test_ngram_join_of_one_large_group(spark, monkeypatch):
             copy[rng.randrange(80)] = f"r{rng.random()}"
         rows.append((i, " ".join(copy)))
     monkeypatch.setattr(ngram_join, "HOT_FACTOR", 1e-9)
-    monkeypatch.setattr(ngram_join, "CROSSING_PER_MEETING", 0.0)
-    monkeypatch.setattr(ngram_join, "LEADERS", 2)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
         d = spark.createDataFrame(rows, "doc_id long, text string")
