@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from portmart.llm import tokens
 from portmart.llm.common import materialize, text_of
 from portmart.llm.components import connected_components, merge_components
+from portmart.llm.substring_dedup import bit_table, is_set
 
 WIDTH = 5
 PERCENT = 75
@@ -407,8 +408,18 @@ def fragments(docs: DataFrame, classes_of: DataFrame, wanted: DataFrame, classes
         F.col("class"), F.col("doc.doc_id").alias("k_id"), F.col("doc.text_hash").alias("k_hash")
     )
     pick = materialize(pick, "wanted-rows")
+    # Only texts whose hash is in a bit table of one size travel to the join.
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(pick.select(F.col("k_hash").alias("h"))))
+
+    def may_be_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array(is_set(table, batch.column(1).to_numpy().view(np.uint64))))
+
     t = text_of("text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select("doc_id", F.xxhash64(t).alias("text_hash"), t.cast("binary").alias("t"))
+    d = d.mapInArrow(may_be_wanted, f"doc_id {kind}, text_hash long, t binary")
     one = d.join(pick, d["doc_id"].eqNullSafe(pick["k_id"]) & (d["text_hash"] == pick["k_hash"]))
     one = one.dropDuplicates(["class"]).select("class", "t")
     return one.mapInArrow(run, "class long, fragment int, members array<long>")
