@@ -4,7 +4,9 @@ The pages of a host come from one template.  Each is parsed to a tree and
 aligned with a seed page of its host by simple tree matching (the largest
 order-preserving mapping of equal tags, level by level).  Text that stands
 unchanged at an aligned place of nearly all pages of the host is template;
-what varies is content.  Of the content, the article is kept: parts that the
+what varies is content.  A page counts once however many rows repeat it, and
+the near copies of the seed count as one page with it, so no text is template
+because copies repeat it.  Of the content, the article is kept: parts that the
 page's own markup names as menu, header, footer, sidebar, notice, advert,
 form or reader comments go, with everything inside them.
 
@@ -33,6 +35,11 @@ from portmart.llm.common import materialize, text_of
 
 MIN_PAGES = 5
 CONSTANT_SHARE = 0.9
+# A page that shares more than this part of its or the seed's runs of three
+# words is a near copy of the seed.  The text of a page without article or
+# main element holds template text too, so it must share more.
+NEAR_COPY_ARTICLE = 0.5
+NEAR_COPY_PAGE = 0.75
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 # Elements by their role in HTML.
@@ -290,12 +297,19 @@ def same_text(a: Node, b: Node) -> bool:
     return a.text.split() == b.text.split() != []
 
 
+def word_runs(tree: Node) -> set[tuple[str, ...]]:
+    """The runs of three words of the page's text; fewer words are one run."""
+    ws = " ".join(blocks(tree, set())).split()
+    return set(zip(ws, ws[1:], ws[2:])) or ({tuple(ws)} if ws else set())
+
+
 class Hosts:
     """The seeds parsed so far in this task."""
 
     def __init__(self) -> None:
         self.matcher = Matcher()
         self.seeds: dict[str, Node] = {}
+        self.runs: dict[str, set[tuple[str, ...]]] = {}
 
     def seed(self, host: str, page: str) -> Node:
         if host not in self.seeds:
@@ -303,6 +317,15 @@ class Hosts:
             self.matcher.number(self.seeds[host])
         return self.seeds[host]
 
+    def near_copy(self, host: str, tree: Node) -> bool:
+        """Whether the page is a near copy of its host's seed."""
+        if host not in self.runs:
+            self.runs[host] = word_runs(self.seeds[host])
+        of_seed, of_page = self.runs[host], word_runs(tree)
+        marked = any(r.tag != "#root" for t in (self.seeds[host], tree) for r in regions(t))
+        part = NEAR_COPY_ARTICLE if marked else NEAR_COPY_PAGE
+        return len(of_seed & of_page) > part * min(len(of_seed), len(of_page))
+
 
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(text_of(url), "^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
@@ -323,35 +346,66 @@ def choose_seeds(pages: DataFrame) -> DataFrame:
     return pages.groupBy("host").agg(F.min_by("page", at).alias("seed"))
 
 
+def with_copies(pages: DataFrame) -> DataFrame:
+    """The pages beside ``copies``, how many rows of the host hold the same
+    page.  Only hashes are shuffled, unless the repeated ones are many."""
+    key = [F.xxhash64("page").alias("c_hash"), F.length("page").alias("c_length")]
+    counted = pages.select(F.col("host").alias("c_host"), *key).groupBy("c_host", "c_hash", "c_length").count()
+    repeated = materialize(counted.where("count > 1"), "page-copies")
+    size = repeated.agg(F.sum(F.octet_length("c_host") + 64)).first()[0] or 0
+    side = F.broadcast(repeated) if size <= BROADCAST_BYTES else repeated
+    same = (
+        (pages["host"] == F.col("c_host"))
+        & (F.xxhash64(pages["page"]) == F.col("c_hash"))
+        & (F.length(pages["page"]) == F.col("c_length"))
+    )
+    return pages.join(side, same, "left").select(pages["*"], F.coalesce("count", F.lit(1)).alias("copies"))
+
+
 def induce(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``host, path, pages, equal``: for each text node of a seed, how many
-    pages align with it and how many have the same text there."""
+    """``host, path, equal, pages``: for each text node of a seed, how many
+    pages have the same text there, and how many the host has.  Equal pages
+    count once, the seed and its near copies together as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts = Hosts()
-        sums: dict[tuple[str, tuple[int, ...]], list[int]] = defaultdict(lambda: [0, 0])
+        # By number of copies too: each of a page's copies adds the same, so dividing by it is exact.
+        sums: dict[tuple[str, tuple[int, ...] | None, int], int] = defaultdict(int)
         for batch in batches:
-            for host, page, seed in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for host, page, seed, copies in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                root = hosts.seed(host, seed)
+                if page == seed:
+                    for path, a, _ in hosts.matcher.texts(root, root):
+                        if a.text.strip():
+                            sums[host, path, copies] += 1
+                    sums[host, None, copies] += 1
+                    continue
                 tree = parse(page)
                 hosts.matcher.number(tree)
-                for path, a, b in hosts.matcher.texts(hosts.seed(host, seed), tree):
-                    if a.text.strip():
-                        both = sums[host, path]
-                        both[0] += 1
-                        both[1] += same_text(a, b)
+                equal = [path for path, a, b in hosts.matcher.texts(root, tree) if same_text(a, b)]
+                if equal and hosts.near_copy(host, tree):
+                    continue
+                for path in equal:
+                    sums[host, path, copies] += 1
+                sums[host, None, copies] += 1
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([h for h, _ in sums], pa.string()),
-                pa.array([".".join(map(str, p)) for _, p in sums], pa.string()),
-                pa.array([n for n, _ in sums.values()], pa.int64()),
-                pa.array([e for _, e in sums.values()], pa.int64()),
+                pa.array([h for h, _, _ in sums], pa.string()),
+                pa.array([None if p is None else ".".join(map(str, p)) for _, p, _ in sums], pa.string()),
+                pa.array([c for _, _, c in sums], pa.int64()),
+                pa.array(list(sums.values()), pa.int64()),
             ],
-            ["host", "path", "pages", "equal"],
+            ["host", "path", "copies", "n"],
         )
 
-    rows = with_seed(pages, seeds).select("host", "page", "seed")
-    counted = rows.mapInArrow(run, "host string, path string, pages long, equal long")
-    return counted.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("equal").alias("equal"))
+    rows = with_seed(with_copies(pages), seeds).select("host", "page", "seed", "copies")
+    counted = rows.mapInArrow(run, "host string, path string, copies long, n long")
+    counted = counted.groupBy("host", "path", "copies").agg(F.sum("n").alias("n"))
+    counted = counted.groupBy("host", "path").agg(F.sum(F.expr("n div copies")).alias("n"))
+    counted = materialize(counted, "equal-texts")
+    totals = counted.where("path is null").select(F.col("host").alias("n_host"), F.col("n").alias("pages"))
+    equal = counted.where("path is not null").join(totals, F.col("host") == F.col("n_host"))
+    return equal.select("host", "path", F.col("n").alias("equal"), "pages")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, constant_share: float = CONSTANT_SHARE) -> DataFrame:

@@ -250,6 +250,45 @@ def test_constant_text_of_a_host_is_template(spark):
     assert {r.text for r in got} == {"one and the same"}
 
 
+def test_text_of_copies_and_near_copies_is_kept(spark):
+    """A long article in copies on a host of short ones, and a host of near
+    copies with an edited or an added paragraph; a line in all articles goes."""
+    para = [" ".join(f"p{k}w{i}" for i in range(20)) for k in range(9)]
+
+    def page(i, title, paragraphs):
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        return (i, f"http://h{i // 100}.example/{i}", f"<body><article><h1>{title}</h1>{body}</article></body>")
+
+    def alone(rows):
+        """The texts if each page were the only one of its host."""
+        single = [(i, f"http://{i}.example/", h) for i, _, h in rows]
+        return {r.page_id: r.text for r in html_extraction.extract(pages(spark, single)).collect()}
+
+    rows = [page(i, "long", para) for i in range(8)]
+    rows += [page(i, f"short {i}", [f"only {i} here"]) for i in range(8, 30)]
+    rows += [page(100 + i, "news", [*para[:8], f"edited {i} in here"]) for i in range(30)]
+    rows += [page(200 + i, "news", [*para[: i % 7], f"added {i}", *para[i % 7 :]]) for i in range(30)]
+    rows += [page(300 + i, "news", [p.replace(f"w{k + 3} ", f"x{i} ") for k, p in enumerate(para)]) for i in range(30)]
+    for seed in ("least", "greatest"):
+        got = {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
+        assert got == alone(rows), seed
+        rows = [(i, u, h.replace("<body>", "<body><!-- other hash -->")) for i, u, h in rows]
+    line = [page(i, f"title {i}", ["Share this story", f"story {i} " + " ".join(f"s{i}w{k}" for k in range(30))]) for i in range(20)]
+    got = {r.page_id: r.text for r in html_extraction.extract(pages(spark, line)).collect()}
+    assert all("Share" not in t and f"title {i}" in t and f"s{i}w29" in t for i, t in got.items())
+
+
+def test_seed_of_copies_loses_no_paragraph(spark):
+    """The long page is the seed of its host by construction of the wrapper."""
+    html = "<article>" + "".join(f"<p>para {k} of the long page</p>" for k in range(6)) + "</article>"
+    rows = [(i, "http://c.example/", html) for i in range(6)]
+    rows += [(10 + i, "http://c.example/", f"<article><p>short page {i}</p></article>") for i in range(30)]
+    p = pages(spark, rows).select(F.lit("c.example").alias("host"), F.col("html").alias("page"))
+    seeds = spark.createDataFrame([("c.example", html)], "host string, seed string")
+    found = html_extraction.induce(p, seeds).collect()
+    assert len(found) == 6 and {(r.equal, r.pages) for r in found} == {(1, 31)}
+
+
 def test_tree_matching_finds_the_largest_mapping():
     m = html_extraction.Matcher()
     a, b = (html_extraction.parse(t) for t in ("<div><h1>x</h1><p>1</p><p>2</p></div>", "<div><p>1</p><ul><li>q</ul><p>2</p></div>"))
