@@ -68,12 +68,21 @@ ENDS = {
     "option": {"option"},
 }
 BARRIER = set("ul ol dl table article section div main body html td th".split())
+# Class tokens and ids, matched whole: "article-header" or "no-comments" name no such part.
+PLACE = r"(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global|mobile)[_-])?"
 NAMED_DROP = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|side-?bar|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|pagination|pager|footer|masthead|site-?header|page-?header|header|comments?|replies|respond|disqus|"
-    r"cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login|search|"
-    r"share|sharing|social|related|recommend\w*|widget|toolbar|skip-link|legal|copyright)(?:$|[\s_-])"
+    rf"ads?|adverts?|advertis\w+|adsense|ad[_-](?:slot|unit|container|wrapper|banner)|sponsor(?:s|ed)?|promos?|promotions?|"
+    rf"{PLACE}(?:banner|side-?bar|nav|navbar|navigation|menu|footer)|breadcrumbs?|pagination|pager|"
+    r"comments?|comments?[_-](?:list|area|section|form)|replies|respond|disqus(?:_thread)?|"
+    r"cookies?|cookies?[_-](?:banner|notice|consent|bar|popup)|consent|gdpr|notices?|alerts?|popup|modal|overlay|"
+    r"newsletter|newsletter[_-](?:signup|form)|subscribe|signup|login|search|search[_-](?:form|box)|"
+    r"share|sharing|share[_-](?:buttons|bar|links)|social|social[_-](?:links|media|icons|share)|"
+    r"related|related[_-](?:posts|articles|links)|recommend(?:ed|ations?)|widget|toolbar|skip-link|legal|copyright"
 )
+# They name the site's header only outside an article, as the header element does.
+NAMED_HEADER = re.compile(r"masthead|header|(?:site|page)-?header")
+# Elements that no name withdraws; an article inside an article is judged by its names.
+KEPT = set("html body article main".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -82,7 +91,8 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]++|<)",
     re.S,
 )
-ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# A name with its whole value.
+ATTR = re.compile(r"([^\s/=][^\s/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']\S*)))?")
 
 
 class Node:
@@ -130,13 +140,15 @@ def parse(page: str) -> Node:
                 break
         node = Node(tag)
         for name, *values in ATTR.findall(m["attrs"]):
-            value = html.unescape(next((v for v in values if v), "")).lower()
-            if name.lower() == "role":
-                node.role = value.strip()
-            elif name.lower() == "hidden":
+            name = name.lower()
+            if name == "hidden":
                 node.hidden = True
-            else:
-                node.names += " " + value
+            elif name in ("class", "id", "role"):
+                value = html.unescape(next((v for v in values if v), "")).lower()
+                if name == "role":
+                    node.role = value.strip()
+                else:
+                    node.names += " " + value
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
@@ -153,9 +165,12 @@ def dropped(node: Node, in_article: bool) -> bool:
         return True
     if node.tag == "header":
         return not in_article
-    if node.tag in ("body", "article", "main") and "comment" not in node.names:
+    if node.tag in KEPT and not (in_article and node.tag == "article"):
         return False
-    return bool(node.names) and NAMED_DROP.search(node.names) is not None
+    names = node.names.split()
+    if not in_article and any(map(NAMED_HEADER.fullmatch, names)):
+        return True
+    return any(map(NAMED_DROP.fullmatch, names))
 
 
 def regions(root: Node) -> list[Node]:

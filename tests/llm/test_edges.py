@@ -289,6 +289,30 @@ def test_seed_of_copies_loses_no_paragraph(spark):
     assert len(found) == 6 and {(r.equal, r.pages) for r in found} == {(1, 31)}
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body style='overflow: hidden'><p>text</p></body>",
+        '<body title="the hidden cost"><p>text</p></body>',
+        '<body data-menu="hidden" data-x=hidden><p>text</p></body>',
+        "<body title='a class=\"ad\" role=menu'><p>text</p></body>",
+        '<html class="no-js menu"><body class="comments-open"><p>text</p></body></html>',
+        '<body id="comments" class="search"><main class="comments"><p>text</p></main></body>',
+        '<body><article class="post no-comments"><p>text</p></article></body>',
+        '<body><article class="comment"><p>text</p></article></body>',
+        '<body><article><div class="article-header"><h1>text</h1></div></article></body>',
+        '<body><article><div class="header"><h1>text</h1></div></article></body>',
+        '<body><article><p class="research-search-x no-share">text</p></article></body>',
+        "<body><p>text</p><p hidden>no</p><p class=x hidden>no</p><p title='a'hidden>no</p><p HIDDEN=''>no</p></body>",
+        '<body><p>text</p><div class="x comments">no</div><div id=sidebar>no</div><div role="menu">no</div></body>',
+        '<body><article><p>text</p><article class="comment">no</article><ol class="comment-list">no</ol></article></body>',
+        '<body><div class="site-header">no</div><div class="main-nav">no</div><p>text</p><div class="cookie-banner">no</div></body>',
+    ],
+)
+def test_only_whole_names_and_attributes_drop(page):
+    assert html_extraction.blocks(html_extraction.parse(page), set()) == ["text"]
+
+
 def test_tree_matching_finds_the_largest_mapping():
     m = html_extraction.Matcher()
     a, b = (html_extraction.parse(t) for t in ("<div><h1>x</h1><p>1</p><p>2</p></div>", "<div><p>1</p><ul><li>q</ul><p>2</p></div>"))
