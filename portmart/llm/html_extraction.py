@@ -98,14 +98,14 @@ ATTR = re.compile(r"([^\s/=][^\s/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 class Node:
     """An element, or a text (tag ``#``) with its decoded characters."""
 
-    __slots__ = ("tag", "names", "role", "hidden", "text", "children", "shape")
+    __slots__ = ("tag", "names", "role", "hidden", "text", "children", "shape", "at")
 
     def __init__(self, tag: str, text: str = "") -> None:
         self.tag, self.text = tag, text
         self.names = self.role = ""
         self.hidden = False
         self.children: list[Node] = []
-        self.shape = 0
+        self.shape = self.at = 0
 
 
 def parse(page: str) -> Node:
@@ -132,7 +132,7 @@ def parse(page: str) -> Node:
         closes = ENDS.get(tag, ())
         if tag in BLOCK:
             closes = {*closes, "p"}
-        for k in range(len(stack) - 1, 0, -1):
+        for k in range(len(stack) - 1, 0, -1) if closes else ():
             if stack[k].tag in closes:
                 del stack[k:]
                 break
@@ -230,63 +230,96 @@ def blocks(root: Node, template: set[int]) -> list[str]:
 
 class Matcher:
     """Simple tree matching.  The score depends on the trees' shapes alone,
-    so shapes are numbered and their alignments remembered."""
+    so shapes are numbered and their alignments remembered.  No walk recurses,
+    as pages may be nested to any depth."""
 
     def __init__(self) -> None:
         self.shapes: dict[tuple, int] = {}
         self.content: list[tuple[str, tuple[int, ...]]] = []
+        self.sizes: list[int] = []
         self.aligned: dict[tuple[int, int], tuple[int, tuple[tuple[int, int], ...]]] = {}
 
     def number(self, root: Node) -> None:
-        """Give every node of the tree the number of its shape."""
+        """Give every node of the tree its place and the number of its shape."""
         order, stack = [], [root]
         while stack:
             node = stack.pop()
+            node.at = len(order)
             order.append(node)
-            stack.extend(node.children)
+            stack.extend(reversed(node.children))
         for node in reversed(order):
             key = (node.tag, tuple(c.shape for c in node.children))
             found = self.shapes.get(key)
             if found is None:
                 found = self.shapes[key] = len(self.content)
                 self.content.append(key)
+                self.sizes.append(1 + sum(self.sizes[c] for c in key[1]))
             node.shape = found
 
+    def known(self, a: int, b: int) -> tuple[int, tuple[tuple[int, int], ...]] | None:
+        """The alignment of two shapes, if no table is needed any more."""
+        if a == b:
+            return self.sizes[a], tuple((i, i) for i in range(len(self.content[a][1])))
+        if self.content[a][0] != self.content[b][0]:
+            return 0, ()
+        return self.aligned.get((a, b))
+
+    def gain(self, a: int, b: int) -> int:
+        """Nodes mapped between two shapes that are known."""
+        if a == b:
+            return self.sizes[a]
+        return 0 if self.content[a][0] != self.content[b][0] else self.aligned[a, b][0]
+
     def match(self, a: int, b: int) -> tuple[int, tuple[tuple[int, int], ...]]:
         """Nodes mapped between two shapes, and which children pair."""
-        known = self.aligned.get((a, b))
-        if known is not None:
-            return known
-        (tag_a, xs), (tag_b, ys) = self.content[a], self.content[b]
-        if tag_a != tag_b:
-            result: tuple[int, tuple[tuple[int, int], ...]] = (0, ())
-        else:
-            result = self._children(xs, ys)
-        self.aligned[a, b] = result
-        return result
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            if self.known(x, y) is not None:
+                stack.pop()
+                continue
+            xs, ys = self.content[x][1], self.content[y][1]
+            head, tail = self._ends(xs, ys)
+            below = {
+                (c, d)
+                for c in set(xs[head : len(xs) - tail])
+                for d in set(ys[head : len(ys) - tail])
+                if c != d and self.content[c][0] == self.content[d][0] and (c, d) not in self.aligned
+            }
+            if below:
+                stack.extend(below)
+            else:
+                self.aligned[x, y] = self._children(xs, ys)
+        return self.known(a, b)
 
-    def _children(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> tuple[int, tuple[tuple[int, int], ...]]:
-        # Equal shapes at both ends pair without a table.
+    @staticmethod
+    def _ends(xs: tuple[int, ...], ys: tuple[int, ...]) -> tuple[int, int]:
+        """How many equal shapes stand at both starts and at both ends."""
         head = 0
         while head < min(len(xs), len(ys)) and xs[head] == ys[head]:
             head += 1
         tail = 0
         while tail < min(len(xs), len(ys)) - head and xs[-1 - tail] == ys[-1 - tail]:
             tail += 1
+        return head, tail
+
+    def _children(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> tuple[int, tuple[tuple[int, int], ...]]:
+        # Equal shapes at both ends pair without a table; all others are known.
+        head, tail = self._ends(xs, ys)
         pairs = [(i, i) for i in range(head)]
         pairs += [(len(xs) - k, len(ys) - k) for k in range(tail, 0, -1)]
-        score = 1 + sum(self.match(xs[i], ys[j])[0] for i, j in pairs)
+        score = 1 + sum(self.sizes[xs[i]] for i, _ in pairs)
         mid_x, mid_y = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
         best = [[0] * (len(mid_y) + 1)]
         for x in mid_x:
             above, row = best[-1], [0]
             for j, y in enumerate(mid_y):
-                gain = self.match(x, y)[0]
+                gain = self.gain(x, y)
                 row.append(max(row[j], above[j + 1], above[j] + gain if gain else 0))
             best.append(row)
         i, j = len(mid_x), len(mid_y)
         while i and j:
-            gain = self.match(mid_x[i - 1], mid_y[j - 1])[0]
+            gain = self.gain(mid_x[i - 1], mid_y[j - 1])
             if gain and best[i][j] == best[i - 1][j - 1] + gain:
                 i, j = i - 1, j - 1
                 pairs.append((head + i, head + j))
@@ -296,16 +329,17 @@ class Matcher:
                 j -= 1
         return score + best[-1][-1], tuple(pairs)
 
-    def texts(self, seed: Node, page: Node) -> Iterator[tuple[tuple[int, ...], Node, Node]]:
-        """The aligned texts: path of child numbers in the seed, and both."""
-        stack = [((), seed, page)]
+    def texts(self, seed: Node, page: Node) -> Iterator[tuple[int, Node, Node]]:
+        """The aligned texts: place of the text in the seed, and both."""
+        stack = [(seed, page)]
         while stack:
-            path, a, b = stack.pop()
+            a, b = stack.pop()
             if a.tag == "#":
-                yield path, a, b
-                continue
-            for i, j in self.match(a.shape, b.shape)[1]:
-                stack.append(((*path, i), a.children[i], b.children[j]))
+                yield a.at, a, b
+            elif a.shape == b.shape:
+                stack.extend(zip(a.children, b.children, strict=True))
+            else:
+                stack.extend((a.children[i], b.children[j]) for i, j in self.match(a.shape, b.shape)[1])
 
 
 def same_text(a: Node, b: Node) -> bool:
@@ -378,49 +412,49 @@ def with_copies(pages: DataFrame) -> DataFrame:
 
 
 def induce(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``host, path, equal, pages``: for each text node of a seed, how many
+    """``host, place, equal, pages``: for each text node of a seed, how many
     pages have the same text there, and how many the host has.  Equal pages
     count once, the seed and its near copies together as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts = Hosts()
         # By number of copies too: each of a page's copies adds the same, so dividing by it is exact.
-        sums: dict[tuple[str, tuple[int, ...] | None, int], int] = defaultdict(int)
+        sums: dict[tuple[str, int | None, int], int] = defaultdict(int)
         for batch in batches:
             for host, page, seed, copies in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 root = hosts.seed(host, seed)
                 if page == seed:
-                    for path, a, _ in hosts.matcher.texts(root, root):
+                    for place, a, _ in hosts.matcher.texts(root, root):
                         if a.text.strip():
-                            sums[host, path, copies] += 1
+                            sums[host, place, copies] += 1
                     sums[host, None, copies] += 1
                     continue
                 tree = parse(page)
                 hosts.matcher.number(tree)
-                equal = [path for path, a, b in hosts.matcher.texts(root, tree) if same_text(a, b)]
+                equal = [place for place, a, b in hosts.matcher.texts(root, tree) if same_text(a, b)]
                 if equal and hosts.near_copy(host, tree):
                     continue
-                for path in equal:
-                    sums[host, path, copies] += 1
+                for place in equal:
+                    sums[host, place, copies] += 1
                 sums[host, None, copies] += 1
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([h for h, _, _ in sums], pa.string()),
-                pa.array([None if p is None else ".".join(map(str, p)) for _, p, _ in sums], pa.string()),
+                pa.array([p for _, p, _ in sums], pa.int64()),
                 pa.array([c for _, _, c in sums], pa.int64()),
                 pa.array(list(sums.values()), pa.int64()),
             ],
-            ["host", "path", "copies", "n"],
+            ["host", "place", "copies", "n"],
         )
 
     rows = with_seed(with_copies(pages), seeds).select("host", "page", "seed", "copies")
-    counted = rows.mapInArrow(run, "host string, path string, copies long, n long")
-    counted = counted.groupBy("host", "path", "copies").agg(F.sum("n").alias("n"))
-    counted = counted.groupBy("host", "path").agg(F.sum(F.expr("n div copies")).alias("n"))
+    counted = rows.mapInArrow(run, "host string, place long, copies long, n long")
+    counted = counted.groupBy("host", "place", "copies").agg(F.sum("n").alias("n"))
+    counted = counted.groupBy("host", "place").agg(F.sum(F.expr("n div copies")).alias("n"))
     counted = materialize(counted, "equal-texts")
-    totals = counted.where("path is null").select(F.col("host").alias("n_host"), F.col("n").alias("pages"))
-    equal = counted.where("path is not null").join(totals, F.col("host") == F.col("n_host"))
-    return equal.select("host", "path", F.col("n").alias("equal"), "pages")
+    totals = counted.where("place is null").select(F.col("host").alias("n_host"), F.col("n").alias("pages"))
+    equal = counted.where("place is not null").join(totals, F.col("host") == F.col("n_host"))
+    return equal.select("host", "place", F.col("n").alias("equal"), "pages")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, constant_share: float = CONSTANT_SHARE) -> DataFrame:
@@ -430,24 +464,24 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, constant_share: float
     nodes = induce(p.select("host", "page"), seeds)
     constant = nodes.where((F.col("pages") >= min_pages) & (F.col("equal") >= constant_share * F.col("pages")))
     # The text nodes of one seed page at most.
-    template = constant.groupBy("host").agg(F.collect_list("path").alias("paths")).withColumnRenamed("host", "t_host")
-    wrappers = seeds.join(template, seeds["host"] == template["t_host"], "left").select("host", "seed", "paths")
+    template = constant.groupBy("host").agg(F.collect_list("place").alias("places")).withColumnRenamed("host", "t_host")
+    wrappers = seeds.join(template, seeds["host"] == template["t_host"], "left").select("host", "seed", "places")
     wrappers = materialize(wrappers, "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts = Hosts()
         for batch in batches:
             out = []
-            for host, page, seed, paths in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+            for host, page, seed, places in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
                 tree = parse(page)
                 found = blocks(tree, set())
-                if paths and found:
+                if places and found:
                     hosts.matcher.number(tree)
-                    known = set(paths)
+                    known = set(places)
                     fixed = {
                         id(b)
-                        for path, a, b in hosts.matcher.texts(hosts.seed(host, seed), tree)
-                        if same_text(a, b) and ".".join(map(str, path)) in known
+                        for place, a, b in hosts.matcher.texts(hosts.seed(host, seed), tree)
+                        if place in known and same_text(a, b)
                     }
                     found = blocks(tree, fixed) or found
                 out.append("\n\n".join(found))
@@ -462,5 +496,5 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, constant_share: float
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    rows = with_seed(p, wrappers).select("page_id", "url", "host", "page", "seed", "paths")
+    rows = with_seed(p, wrappers).select("page_id", "url", "host", "page", "seed", "places")
     return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

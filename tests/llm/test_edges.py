@@ -321,6 +321,20 @@ def test_tree_matching_finds_the_largest_mapping():
     assert [(x.text, y.text) for _, x, y in sorted(m.texts(a, b), key=lambda t: t[0])] == [("1", "1"), ("2", "2")]
 
 
+def test_deep_pages(spark):
+    """5,000 nested elements, as a seed and beside pages of other depths."""
+    rows = [
+        (i, f"http://d{i % 2}.example/{i}", f"<div><p>story {i}</p>{('<font>' + 'x' * (i % 2)) * (5000 - i // 2)}deep {i}</div>")
+        for i in range(6)
+    ]
+    got = {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
+    assert all(got[i].startswith(f"story {i}") and got[i].endswith(f"deep {i}") for i in range(6))
+    m = html_extraction.Matcher()
+    a, b = (html_extraction.parse("<b>" * n + "<i>x</i>" + "</b>" * n) for n in (5000, 4999))
+    m.number(a), m.number(b)
+    assert m.match(a.shape, a.shape)[0] == 5003 and m.match(a.shape, b.shape)[0] == 5000
+
+
 def test_archives(spark, tmp_out):
     out = warc.archive(pages(spark), tmp_out + "/w").collect()
     assert len(out) == len(PAGES)
