@@ -15,8 +15,10 @@ anywhere in the document, case ignored.
 
 Defined results: a null or empty text or item has no shingles and matches
 nothing; a text of fewer than 5 words is one shingle; repeated document rows
-are each judged, repeated item ids are merged; null ids are carried; an empty
-table gives an empty result; other columns are ignored.
+are each judged; every text under a repeated or null item id is searched for by
+itself, and the one of greatest containment stands for the id in the result;
+null ids are carried; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from portmart.llm.common import materialize, shingle_hashes, text_of, words
 THRESHOLD = 0.75
 BIN_BITS = 3  # 8 bins for each shingle of the class bound
 
-# An index entry is 28 bytes of fixed width; beyond this size it is joined by shuffling.
-INDEX_ENTRY_BYTES = 28
+# An index entry is 36 bytes of fixed width; beyond this size it is joined by shuffling.
+INDEX_ENTRY_BYTES = 36
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -46,14 +48,12 @@ def row_key(text_col: str = "text") -> list[Column]:
 
 
 def item_index(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The items' shingle sets, and their sketch entries for all classes:
-    ``h, item_id, from_bits`` where ``from_bits`` is the number of leading
-    bits from which on the shingle is the least of its bin."""
-    sets = shingled(items, [F.col("item_id")])
-    sets = sets.groupBy("item_id").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("h")))).alias("h")
-    )
-    sets = materialize(sets, "item-sets")
+    """The shingle sets of the distinct (id, text) rows, and their sketch
+    entries for all classes: ``h, item_id, item_hash, from_bits`` where
+    ``from_bits`` is the number of leading bits from which on the shingle is
+    the least of its bin."""
+    sets = shingled(items, [F.col("item_id"), F.xxhash64(text_of("text")).alias("item_hash")])
+    sets = materialize(sets.dropDuplicates(["item_id", "item_hash"]), "item-sets")
     h = F.col("h")
     from_bits = F.transform(
         h,
@@ -64,7 +64,7 @@ def item_index(items: DataFrame) -> tuple[DataFrame, DataFrame]:
             .alias("from_bits"),
         ),
     )
-    entries = sets.select("item_id", F.inline(from_bits))
+    entries = sets.select("item_id", "item_hash", F.inline(from_bits))
     return sets, materialize(entries, "item-index")
 
 
@@ -88,7 +88,7 @@ def candidates(docs: DataFrame, index: DataFrame, broadcast_bytes: int = BROADCA
         side = F.broadcast(side)
     s = sketch(docs)
     hit = s.join(side, (s["h"] == side["ih"]) & (s["bits"] >= side["from_bits"]))
-    return hit.select("doc_id", "text_hash", "item_id").distinct()
+    return hit.select("doc_id", "text_hash", "item_id", "item_hash").distinct()
 
 
 def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -96,7 +96,7 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
     containment``; one row per item found in a distinct (id, text) row."""
     sets, index = item_index(items)
     pairs = materialize(candidates(docs, index), "decon-candidates")
-    c = pairs.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), "item_id")
+    c = pairs.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), "item_id", "item_hash")
     wanted = c.select("c_id", "c_hash").distinct()
     keyed = docs.select(*row_key(), F.col("text"))
     found = keyed.join(
@@ -104,8 +104,8 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
     ).dropDuplicates(["doc_id", "text_hash"])
     doc_sets = shingled(found, [F.col("doc_id"), F.col("text_hash")]).withColumnRenamed("h", "doc_h")
     j = doc_sets.join(c, doc_sets["doc_id"].eqNullSafe(c["c_id"]) & (doc_sets["text_hash"] == c["c_hash"]))
-    s = sets.select(F.col("item_id").alias("s_id"), F.col("h").alias("item_h"))
-    j = j.join(s, j["item_id"].eqNullSafe(s["s_id"]))
+    s = sets.select(F.col("item_id").alias("s_id"), F.col("item_hash").alias("s_hash"), F.col("h").alias("item_h"))
+    j = j.join(s, j["item_id"].eqNullSafe(s["s_id"]) & (j["item_hash"] == s["s_hash"]))
     j = j.select(
         "doc_id",
         "text_hash",
@@ -113,9 +113,10 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
         F.size("item_h").cast("long").alias("item_shingles"),
         F.size(F.array_intersect("doc_h", "item_h")).cast("long").alias("shared"),
     )
-    return j.withColumn("containment", F.col("shared") / F.col("item_shingles")).where(
-        F.col("shared") >= F.lit(threshold) * F.col("item_shingles")
-    )
+    j = j.where(F.col("shared") >= F.lit(threshold) * F.col("item_shingles"))
+    best = F.max(F.struct((F.col("shared") / F.col("item_shingles")).alias("containment"), "item_shingles", "shared"))
+    j = j.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best"))
+    return j.select("doc_id", "text_hash", "item_id", "best.item_shingles", "best.shared", "best.containment")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

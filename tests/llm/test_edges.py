@@ -128,6 +128,18 @@ def test_decontamination(spark):
     assert kept.count() == len(ROWS) - 6
 
 
+def test_items_of_one_id_or_none_are_searched_one_by_one(spark):
+    text = [" ".join(f"i{k}w{i}" for i in range(30 + k)) for k in range(6)]
+    items = [(1, text[0]), (1, text[1]), (1, text[1]), (None, text[2]), (None, text[3]), (2, text[4]), (2, text[4] + " more")]
+    items = spark.createDataFrame([*items, (None, None)], "item_id long, text string")
+    rows = [(k, f"before {t} after") for k, t in enumerate(text)] + [(6, text[2] + " " + text[3]), (None, text[0])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = key((r.doc_id, r.item_id, r.item_shingles, r.shared) for r in decontamination.search(d, items).collect())
+    want = [(0, 1, 26, 26), (1, 1, 27, 27), (2, None, 28, 28), (3, None, 29, 29), (4, 2, 30, 30), (6, None, 29, 29), (None, 1, 26, 26)]
+    assert got == key(want)
+    assert [r.doc_id for r in decontamination.drop_contaminated(d, items).collect()] == [5]
+
+
 def test_short_items_in_long_documents_are_found(spark):
     """Recall of the sketch search against all pairs, items of 1 to 12 shingles."""
     texts = [" ".join(f"t{d}w{i}" for i in range(400 * (d % 9 + 1))) for d in range(60)]
