@@ -8,7 +8,9 @@ item is in the sketch with probability 0.94 or more.  Items are sketched for
 every class at once: with bins cut by leading bits, a shingle that is the
 least of its bin stays so in all finer classes, so one number per shingle
 says from which class on it belongs to the sketch.  A shared sketch entry
-makes a candidate pair, and exact shingle containment verifies it.
+makes a candidate pair, and exact shingle containment verifies it.  Items of
+at most ``SHORT`` shingles, which a sketch could miss, are looked up among all
+shingles of the documents, so they are found without loss.
 
 An item is found when ``threshold`` of its distinct 5-word shingles stand
 anywhere in the document, case ignored.
@@ -30,6 +32,7 @@ from portmart.llm.common import materialize, shingle_hashes, text_of, words
 
 THRESHOLD = 0.75
 BIN_BITS = 3  # 8 bins for each shingle of the class bound
+SHORT = 4  # items of so few shingles are looked up among all shingles
 
 # An index entry is 36 bytes of fixed width; beyond this size it is joined by shuffling.
 INDEX_ENTRY_BYTES = 36
@@ -51,7 +54,7 @@ def item_index(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The shingle sets of the distinct (id, text) rows, and their sketch
     entries for all classes: ``h, item_id, item_hash, from_bits`` where
     ``from_bits`` is the number of leading bits from which on the shingle is
-    the least of its bin."""
+    the least of its bin; -1 for short items, which need no sketch."""
     sets = shingled(items, [F.col("item_id"), F.xxhash64(text_of("text")).alias("item_hash")])
     sets = materialize(sets.dropDuplicates(["item_id", "item_hash"]), "item-sets")
     h = F.col("h")
@@ -59,7 +62,8 @@ def item_index(items: DataFrame) -> tuple[DataFrame, DataFrame]:
         h,
         lambda x, i: F.struct(
             x.alias("h"),
-            F.when(i == 0, F.lit(0))
+            F.when(F.size(h) <= SHORT, F.lit(-1))
+            .when(i == 0, F.lit(0))
             .otherwise(65 - F.length(F.bin(x.bitwiseXOR(F.get(h, i - 1)))))
             .alias("from_bits"),
         ),
@@ -69,20 +73,30 @@ def item_index(items: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, bits, h``: one row per sketch entry."""
+    """``doc_id, text_hash, bits, h``: one row per shingle; ``bits`` is -1 for
+    those outside the sketch, which only short items are looked up in."""
     h = F.col("h")
     size_class = F.length(F.bin(F.size(h).cast("bigint") - 1))
     d = shingled(docs, row_key()).withColumn("bits", size_class + BIN_BITS)
-    least = F.filter(
+    entries = F.transform(
         h,
-        lambda x, i: (i == 0)
-        | (F.call_function("shiftrightunsigned", x.bitwiseXOR(F.get(h, i - 1)), 64 - F.col("bits")) != 0),
+        lambda x, i: F.struct(
+            F.when(
+                (i == 0)
+                | (F.call_function("shiftrightunsigned", x.bitwiseXOR(F.get(h, i - 1)), 64 - F.col("bits")) != 0),
+                F.col("bits"),
+            )
+            .otherwise(F.lit(-1))
+            .alias("bits"),
+            x.alias("h"),
+        ),
     )
-    return d.select("doc_id", "text_hash", "bits", F.explode(least).alias("h"))
+    return d.select("doc_id", "text_hash", F.inline(entries))
 
 
 def candidates(docs: DataFrame, index: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Pairs of documents and items that share a sketch entry."""
+    """Pairs of documents and items that share a sketch entry, or, for short
+    items, a shingle."""
     side = index.withColumnRenamed("h", "ih")
     if index.count() * INDEX_ENTRY_BYTES <= broadcast_bytes:
         side = F.broadcast(side)

@@ -150,6 +150,19 @@ def test_short_items_in_long_documents_are_found(spark):
     assert len(found) >= 0.9 * len(items)
 
 
+def test_items_of_few_shingles_are_all_found(spark):
+    texts = [" ".join(f"t{d}w{i}" for i in range(600)) for d in range(30)]
+    items = [(k, " ".join(texts[k % 30].split()[k : k + 5 + k // 30 % 4])) for k in range(480)]
+    items += [(480 + k, f"only {k}") for k in range(4)]
+    texts += [f"ONLY {k}" for k in range(4)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    i = spark.createDataFrame(items, "item_id int, text string")
+    found = decontamination.search(d, i).collect()
+    want = [(k % 30, k) for k in range(480)] + [(30 + k, 480 + k) for k in range(4)]
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted(want)
+    assert all(r.containment == 1.0 for r in found)
+
+
 def test_language(spark):
     model = language_id.fit(docs(spark))
     rows = language_id.identify(docs(spark), model).collect()
