@@ -36,7 +36,6 @@ BUCKET_BITS = 16
 SMOOTHING = 0.05
 ROUNDS = 12
 PENALTY = 4.0
-MIN_SHARE = 0.5
 PIECE_CHARS = 1 << 20
 
 _letters: list[np.ndarray] = []
@@ -249,9 +248,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """The documents, all columns kept, whose main language was identified
-    and has at least ``min_share`` of the words; the others are rejected."""
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The documents, all columns kept, of which a language was identified,
+    however many languages share their words; the others are rejected."""
     model = fit(docs)
     text_at = docs.columns.index("text")
 
@@ -260,6 +259,6 @@ def keep_identified(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
             texts = batch.column(text_at).to_pylist()
             for a, b in chunks(texts):
                 _, score, _ = model.predict(texts[a:b])
-                yield batch.slice(a, b - a).filter(pa.array(score >= min_share))
+                yield batch.slice(a, b - a).filter(pa.array(score > 0))
 
     return docs.mapInArrow(run, docs.schema)

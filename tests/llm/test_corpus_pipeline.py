@@ -1,0 +1,102 @@
+"""All stages of the corpus pipeline against plain Python on a small table."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+from edge import components, shingles, words
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+LETTERS = {"a": "abcdef", "b": "ghijkl", "c": "mnopqr"}
+
+
+def text_in(rng, lang, n):
+    return " ".join("".join(rng.choices(LETTERS[lang], k=5)) for _ in range(n))
+
+
+def tables():
+    rng = random.Random(7)
+    rows = [(i, text_in(rng, "abc"[i % 3], rng.randint(30, 90)), "abc"[i % 3], ["x", "y", "z", None][i % 4]) for i in range(60)]
+    items = [(1, text_in(rng, "a", 20)), (2, text_in(rng, "b", 5)), (None, text_in(rng, "c", 12)), (None, text_in(rng, "a", 9))]
+    near = rows[5][1].split()
+    near[7] = "other"
+    rows += [(70, " ".join(near), "c", "x"), (71, rows[6][1], "a", "y"), (72, rows[8][1].upper(), "c", "z")]
+    rows += [rows[9], (73, None, "a", "x"), (74, "", None, "y"), (75, "12 34 !!! 5", "b", "z")]
+    rows += [(80 + k, f"{text_in(rng, 'abc'[k % 3], 25)} {t}", "abc"[k % 3], "y") for k, (_, t) in enumerate(items)]
+    mixed = f"{text_in(rng, 'a', 48)} {text_in(rng, 'b', 36)} {text_in(rng, 'c', 36)}"
+    return [*rows, (90, mixed, "a", "x")], items
+
+
+def identified(rows):
+    return [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+
+
+def one_of_each_group(rows):
+    label = {d: c for d, _, c in components([r[:2] for r in rows])}
+    return list({r[0]: r for r in rows if label[str(r[0])] == str(r[0])}.values())
+
+
+def clean(rows, items):
+    sets = [s for s in (shingles(t) for _, t in items) if s]
+    return [r for r in rows if not any(len(s & shingles(r[1])) >= 0.75 * len(s) for s in sets)]
+
+
+def repeated(rows):
+    by = {}
+    for r in rows:
+        by.setdefault(r[3], []).append(r)
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(names)}
+    size = {s: sum(len(words(r[1])) for r in by[s]) for s in names}
+    target, free = {}, list(names)
+    while free:
+        rest = 1.5 * sum(size.values()) - sum(target.values())
+        level = {s: weight[s] * rest / sum(weight[f] for f in free) for s in free}
+        over = {s: 2.0 * size[s] for s in free if level[s] >= 2.0 * size[s]}
+        target |= over or level
+        free = [s for s in free if s not in target]
+    out = []
+    for s in names:
+        whole = math.floor(target[s] / size[s])
+        need = target[s] - whole * size[s]
+        n_ranges = math.ceil(math.sqrt(len(by[s])))
+        drawn = sorted((hashlib.md5(f"mix-1:{r[0]}:{r[1]}".encode()).hexdigest(), len(words(r[1]))) for r in by[s])
+        at = {k: math.floor(int(k[:8], 16) * n_ranges / 2**32) for k, _ in drawn}
+        taken, left, cut = set(), need, None
+        for k, n in drawn:
+            if n > left:
+                cut = at[k]
+                break
+            taken.add(k)
+            left -= n
+        further = [(abs(n - left), k) for k, n in drawn if k not in taken and at[k] == cut and abs(n - left) < left]
+        taken |= {k for _, k in sorted(further)[:1]}
+        for r in by[s]:
+            key = hashlib.md5(f"mix-1:{r[0]}:{r[1]}".encode()).hexdigest()
+            out += [r] * (whole + (key in taken))
+    return out
+
+
+def test_all_stages_against_plain_python(spark, tmp_out):
+    rows, items = tables()
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_out}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_out}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, tmp_out).collect()
+
+    kept = identified(rows)
+    assert len(kept) == len(rows) - 3 and 90 in {r[0] for r in kept}
+    kept = one_of_each_group(kept)
+    assert not {70, 71, 72} & {r[0] for r in kept} and len(kept) == 65
+    kept = clean(kept, items)
+    assert not {80, 81, 82, 83} & {r[0] for r in kept} and len(kept) == 61
+    kept = repeated(kept)
+    want = Counter((r[0], len(r[1].encode()) + 1, zlib.crc32(r[1].encode())) for r in kept)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
+    places = {}
+    for r in got:
+        places.setdefault(r.shard, []).append(r.slot)
+    assert set(places) <= set(range(16))
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
