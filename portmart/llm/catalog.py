@@ -10,6 +10,7 @@ from portmart.llm import (
     language_id,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_rules,
     rule_ensemble,
     sharding,
@@ -74,6 +75,20 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.plant(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_rule_ensemble": op1_rule_ensemble,
     "op2_decontamination": op2_decontamination,
@@ -85,4 +100,5 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
+    "op13_periodic_runs": op13_periodic_runs,
 }

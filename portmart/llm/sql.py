@@ -194,6 +194,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
+# CRC-32 of a row's decimal doc_id: bytes are marked by adding 8, ones are bit steps.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda b: [ascii(b)::BIGINT + 8, 1, 1, 1, 1, 1, 1, 1, 1]))),
+    lambda c, x: CASE WHEN x > 1 THEN xor(c, x - 8)
+        WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"""
+
+OP13 = f"""
+WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, {_CRC} AS h, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+    ),
+    g AS (SELECT *, h // 10 AS g, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+    p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+    e AS (
+        SELECT r, n, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+        FROM (SELECT *, unnest(range(0, n)) AS i FROM p)
+    ),
+    cell AS (
+        SELECT x.r, x.i, x.i - y.i AS lag FROM e x JOIN e y ON x.r = y.r AND x.word = y.word AND x.i > y.i
+        WHERE 4 * (x.i - y.i) <= x.n
+    ),
+    diagonal AS (
+        SELECT r, lag, min(i) - lag AS start, max(i) - min(i) + 1 + lag AS length
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY r, lag ORDER BY i) AS island FROM cell)
+        GROUP BY r, lag, island
+    ),
+    run AS (
+        SELECT r, start, length, min(lag) AS period FROM diagonal
+        WHERE length >= 6 AND length >= 4 * lag GROUP BY r, start, length
+    ),
+    best AS (
+        SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+        FROM run GROUP BY r
+    ),
+    top AS (
+        SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY length * 1000000000000 // period DESC, start, period) = 1
+    ),
+    gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+    held AS (
+        SELECT e.r, string_agg(word, ' ' ORDER BY e.i) AS t FROM e ANTI JOIN gone ON e.r = gone.r AND e.i = gone.i GROUP BY e.r
+    )
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+    period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (r) LEFT JOIN top USING (r) LEFT JOIN held USING (r)
+"""
+
 SQL: dict[str, str] = {
     "op2_decontamination": OP2,
     "op4_substring_dedup": OP4,
@@ -201,4 +247,5 @@ SQL: dict[str, str] = {
     "op7_warc": OP7,
     "op8_mixing": OP8,
     "op9_quality_rules": OP9,
+    "op13_periodic_runs": OP13,
 }
