@@ -11,6 +11,7 @@ from portmart.llm import (
     mixing,
     ngram_join,
     periodic_runs,
+    phrase_mining,
     quality_rules,
     rule_ensemble,
     sharding,
@@ -75,6 +76,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.find_runs(periodic_runs.plant(table(spark, sf_dir, "documents")))
     return found.select(
@@ -100,5 +105,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
+    "op11_phrase_mining": op11_phrase_mining,
     "op13_periodic_runs": op13_periodic_runs,
 }

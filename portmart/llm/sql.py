@@ -240,6 +240,49 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, le
 FROM d LEFT JOIN best USING (r) LEFT JOIN top USING (r) LEFT JOIN held USING (r)
 """
 
+OP11 = r"""
+WITH d AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents
+    ),
+    piece AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS t FROM d),
+    numbered AS (SELECT row_number() OVER () AS q, lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+    word AS (SELECT q, lang, unnest(w) AS w1, unnest(range(1, len(w) + 1)) AS p FROM numbered),
+    run AS (
+        SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM word WINDOW o AS (PARTITION BY q ORDER BY p)
+    ),
+    gram AS (
+        SELECT lang, 1 AS m, w1 AS s FROM run
+        UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM run WHERE w2 IS NOT NULL
+        UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM run WHERE w3 IS NOT NULL
+    ),
+    f AS (SELECT lang, m, s, count(*) AS f, string_split(s, ' ') AS w FROM gram GROUP BY lang, m, s),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+    candidate AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+    part AS (
+        SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate)
+    ),
+    cut AS (
+        SELECT c.lang, c.s, c.m, c.f AS a, x.f AS l, y.f AS r, k, 1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f) AS score
+        FROM part c JOIN f x ON x.lang = c.lang AND x.s = c.head JOIN f y ON y.lang = c.lang AND y.s = c.rest
+    ),
+    worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, k) = 1),
+    inner_pair AS (
+        SELECT lang, s, max(a) AS most
+        FROM (SELECT lang, f AS a, array_to_string(w[q:q + 1], ' ') AS s FROM candidate, range(1, 3) AS o(q) WHERE m = 3)
+        GROUP BY lang, s
+    ),
+    ranked AS (
+        SELECT worst.*, row_number() OVER (PARTITION BY worst.lang ORDER BY score DESC, a DESC, worst.s) AS rank
+        FROM worst LEFT JOIN inner_pair i ON i.lang = worst.lang AND i.s = worst.s AND m = 2
+        WHERE most IS NULL OR 100 * most < 50 * a
+    )
+SELECT lang, rank::BIGINT AS rank, s AS phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op2_decontamination": OP2,
     "op4_substring_dedup": OP4,
@@ -247,5 +290,6 @@ SQL: dict[str, str] = {
     "op7_warc": OP7,
     "op8_mixing": OP8,
     "op9_quality_rules": OP9,
+    "op11_phrase_mining": OP11,
     "op13_periodic_runs": OP13,
 }
