@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portmart.llm import (
     decontamination,
+    graph_search,
     html_extraction,
     language_id,
     mixing,
@@ -80,6 +81,10 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.find_runs(periodic_runs.plant(table(spark, sf_dir, "documents")))
     return found.select(
@@ -106,5 +111,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_graph_search": op12_graph_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
