@@ -12,6 +12,8 @@ the threshold only if its first and its last words without one do.
    told to the tasks as a bit table of one size, whatever the corpus: bits that
    are shared by chance only let more phrases through.  The phrases of the
    buckets that remain are the candidates: none that is frequent is missing.
+   A bucket also keeps the least mark (a short checksum) of the texts it was
+   found in; only texts of that mark spell it, not every text that holds it.
 3. The candidates are counted exactly.  They are cut into shards of about
    ``SHARD_PHRASES``, and each shard, so of bounded size, is broadcast as a
    double-array trie.  A task turns all words of a chunk of texts into symbols
@@ -36,6 +38,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -57,6 +60,9 @@ BEST = 2000
 SCORE_SCALE = 1_000_000
 SHARD_PHRASES = 1 << 19
 RANK_PARTS = 64
+MARKS = 0xFF
+# Phrase positions that a task holds before it counts them.
+POSITIONS_AT_ONCE = 1 << 20
 # Gaps of the double array that a node tries before it moves on.
 GAPS_AT_ONCE = 32
 # Counts below this stay exact: its square times the scale has 38 digits.
@@ -76,8 +82,8 @@ _in_word[list(WORD_ENDS)] = False
 
 class Positions(NamedTuple):
     """The words of some texts: the lower-cased bytes, each word's first byte
-    and the one after its last, its key (hash of language and word), piece
-    and row."""
+    and the one after its last, its key (hash of language and word), piece,
+    row and text's mark."""
 
     data: np.ndarray
     first: np.ndarray
@@ -85,6 +91,7 @@ class Positions(NamedTuple):
     key: np.ndarray
     piece: np.ndarray
     row: np.ndarray
+    mark: np.ndarray
 
 
 def language_salt(lang: str) -> int:
@@ -98,8 +105,9 @@ def text_positions(texts: list[bytes], salts: np.ndarray, offset: int = 0) -> Po
     first, last = edge[::2], edge[1::2]
     row = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), first, side="right")
     piece = np.cumsum(_ends_piece[data])[first]
+    mark = np.array([zlib.crc32(t) & MARKS for t in texts], np.uint8)[row]
     if not len(first):
-        return Positions(data, first, last, np.zeros(0, np.uint64), piece, row + offset)
+        return Positions(data, first, last, np.zeros(0, np.uint64), piece, row + offset, mark)
     weighed = data.astype(np.uint64)
     weighed += np.uint64(1)
     weighed *= tokens.powers(tokens.BYTE_BASE, len(data))[: len(data)]
@@ -107,7 +115,7 @@ def text_positions(texts: list[bytes], salts: np.ndarray, offset: int = 0) -> Po
     total = np.add.reduceat(weighed, first)
     total *= tokens.powers(pow(tokens.BYTE_BASE, -1, 1 << 64), len(data))[first]
     key = tokens.mix(tokens.mix(total) * np.uint64(tokens.WORD_BASE) + salts[row])
-    return Positions(data, first, last, key, piece, row + offset)
+    return Positions(data, first, last, key, piece, row + offset, mark)
 
 
 def batch_positions(batch: pa.RecordBatch) -> Iterator[Positions]:
@@ -181,37 +189,73 @@ def count_words(docs: DataFrame) -> DataFrame:
     return each.groupBy("h", "lang", F.col("word").cast("string").alias("word")).agg(F.sum("n").alias("n"))
 
 
+def marked(h: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """One hash for a phrase hash and a mark."""
+    return tokens.mix(h * np.uint64(tokens.WORD_BASE) + mark.astype(np.uint64))
+
+
 def frequent_buckets(docs: DataFrame, tables: list[np.ndarray], min_count: int) -> DataFrame:
-    """``h``: hashes of the phrases one word longer than ``tables`` reach
-    that stand at ``min_count`` places or more."""
+    """``h, mark``: hashes of the phrases one word longer than ``tables``
+    reach that stand at ``min_count`` places or more, and the least mark of
+    the texts that hold them."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)
 
+    def counted_rows(h: np.ndarray, mark: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(h)
+        h, mark = h[order], mark[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(h[first].view(np.int64)),
+                pa.array(np.diff(np.append(first, len(h)))),
+                pa.array(np.minimum.reduceat(mark, first), pa.int32()),
+            ],
+            ["h", "n", "mark"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        marks: list[np.ndarray] = []
         for batch in batches:
-            found = [np.zeros(0, np.uint64)]
             for p in batch_positions(batch):
-                *_, (_, _, h) = climb(p, shared.value)
+                *_, (_, at, h) = climb(p, shared.value)
                 found.append(h)
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+                marks.append(p.mark[at])
+                if sum(map(len, found)) >= POSITIONS_AT_ONCE:
+                    yield counted_rows(np.concatenate(found), np.concatenate(marks))
+                    found, marks = [], []
+        if sum(map(len, found)):
+            yield counted_rows(np.concatenate(found), np.concatenate(marks))
 
-    counted = source(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= min_count).select("h")
+    each = source(docs).mapInArrow(run, "h long, n long, mark int")
+    counted = each.groupBy("h").agg(F.sum("n").alias("n"), F.min("mark").alias("mark"))
+    return counted.where(F.col("n") >= min_count).select("h", "mark")
 
 
-def spell_candidates(docs: DataFrame, tables: list[np.ndarray]) -> DataFrame:
-    """``h, lang, phrase, keys`` of every phrase in ``tables``, once for each
-    batch that holds it; ``keys`` are the keys of its words."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+def mark_table(buckets: DataFrame) -> np.ndarray:
+    """Bit table of the buckets' hashes joined with their marks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = marked(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    return bit_table(buckets.select("h", "mark").mapInArrow(run, "h long"))
+
+
+def spell_candidates(docs: DataFrame, tables: list[np.ndarray], chosen: np.ndarray) -> DataFrame:
+    """``h, lang, phrase, keys`` of every phrase that ``tables`` lead to, where
+    ``chosen`` holds it with the text's mark, once for each batch of such
+    texts; ``keys`` are the keys of its words."""
+    shared = docs.sparkSession.sparkContext.broadcast((tables, chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[int, list] = {}
+            tables, chosen = shared.value
             for p in batch_positions(batch):
-                for size, at, h in climb(p, shared.value):
-                    if size > len(shared.value):
-                        continue
-                    may = is_set(shared.value[size - 1], h)
+                for size, at, h in climb(p, tables):
+                    may = is_set(chosen, marked(h, p.mark[at]))
                     h, one = np.unique(h[may], return_index=True)
                     at = at[may][one]
                     keys = np.stack([p.key[at + k] for k in range(size)], axis=1)
@@ -286,18 +330,18 @@ def _place(owner: np.ndarray, symbol: np.ndarray, n_nodes: int, width: int) -> t
     return slot, base
 
 
-def build_trie(phrases: list[np.ndarray]) -> DoubleArray:
-    """The trie of these key sequences (uint64); phrase i is accepted as i."""
-    lengths = np.array([len(x) for x in phrases], np.int64)
-    symbols, code = np.unique(np.concatenate(phrases), return_inverse=True)
+def build_trie(keys: np.ndarray, lengths: np.ndarray) -> DoubleArray:
+    """The trie of key sequences (uint64) that stand in a row, each of its
+    length; sequence i is accepted as i."""
+    symbols, code = np.unique(keys, return_inverse=True)
     low_bits = (max(len(symbols) - 1, 1).bit_length() + 1) // 2
     width = 1 << low_bits
     begin = np.cumsum(lengths) - lengths
     digits = np.stack([code >> low_bits, code & (width - 1)], axis=1)
     # Nodes by depth: the distinct pairs of a parent node and a digit; 0 is the root.
-    node = np.zeros(len(phrases), np.int64)
+    node = np.zeros(len(lengths), np.int64)
     owners, edges, nodes = [], [], 1
-    final = np.zeros(len(phrases), np.int64)
+    final = np.zeros(len(lengths), np.int64)
     for depth in range(2 * int(lengths.max())):
         on = np.flatnonzero(2 * lengths > depth)
         digit = digits[begin[on] + depth // 2, depth % 2]
@@ -317,7 +361,7 @@ def build_trie(phrases: list[np.ndarray]) -> DoubleArray:
     base[slots] = base_of
     check[slots[order + 1]] = slots[owner[order]]
     accept = np.full(size, -1, np.int32)
-    accept[slots[final]] = np.arange(len(phrases))
+    accept[slots[final]] = np.arange(len(lengths))
     return DoubleArray(base, check, accept, symbols, low_bits)
 
 
@@ -346,9 +390,7 @@ def count_shard(docs: DataFrame, shard: DataFrame, max_words: int) -> DataFrame:
     """``h, n``: exact occurrences of the phrases of one shard (``h, keys``)."""
     rows = shard.toArrow()
     keys = rows.column("keys").combine_chunks()
-    flat = keys.flatten().to_numpy().view(np.uint64)
-    ends = np.cumsum(keys.value_lengths().to_numpy())
-    trie = build_trie(np.split(flat, ends[:-1]))
+    trie = build_trie(keys.flatten().to_numpy().view(np.uint64), keys.value_lengths().to_numpy().astype(np.int64))
     shared = docs.sparkSession.sparkContext.broadcast((trie, rows.column("h").to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,9 +418,10 @@ def count_phrases(
     kept = []
     for size in range(2, max_words + 1):
         kept.append(materialize(frequent_buckets(docs, tables, min_count), f"buckets-{size}"))
-        tables.append(bit_table(kept[-1]))
+        if size < max_words:
+            tables.append(bit_table(kept[-1].select("h")))
     buckets = reduce(DataFrame.unionByName, kept)
-    each = spell_candidates(docs, tables).join(buckets, "h", "left_semi")
+    each = spell_candidates(docs, tables, mark_table(buckets)).join(buckets, "h", "left_semi")
     candidates = materialize(
         each.groupBy("h", "lang", "phrase").agg(F.any_value("keys").alias("keys")), "candidates"
     )
