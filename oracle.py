@@ -420,6 +420,16 @@ m AS (
   FROM (SELECT DISTINCT lower(name) AS key FROM names) k JOIN supplier s ON contains(lower(s.s_name), k.key)
   GROUP BY k.key)
 SELECT n.c_custkey, n.name, m.code AS supplier_name FROM names n LEFT JOIN m ON lower(n.name) = m.key""",
+    "lookup_long_labels": """
+WITH labels AS (
+  SELECT p_partkey // 500 AS ord, lower(string_agg(p_name, ' ' ORDER BY p_partkey)) AS label FROM part GROUP BY ALL),
+names AS (
+  SELECT p.p_partkey, concat_ws(' ', p.p_name, n.p_name) AS name
+  FROM part p LEFT JOIN part n ON n.p_partkey = p.p_partkey + 1),
+m AS (
+  SELECT key, min(ord) AS ord
+  FROM (SELECT DISTINCT lower(name) AS key FROM names) JOIN labels ON contains(label, key) GROUP BY key)
+SELECT p_partkey, name, 'B' || m.ord AS bundle FROM names LEFT JOIN m ON lower(name) = m.key""",
     "q_share_by_share": _SHARE_VS_VOLUME,
     "q_size_by_population": _SIZE_VS_VOLUME,
     "q_size_top_cities": _SIZE_VS_VOLUME + " LIMIT 7",
@@ -463,6 +473,24 @@ for _name, _same in {
 }.items():
     SQL[_name] = SQL[_same].replace(ARRIVALS, _MART_ARRIVALS)
 
+# Arrivals of which the months from 1998 on were issued again.
+_REISSUED = f"{_DAY} >= 13880"
+_REISSUED_ARRIVALS = ARRIVALS.replace(
+    "o.o_custkey % 80 + 16", f"o.o_custkey % 80 + 16 + CASE WHEN {_REISSUED} THEN 2 ELSE 0 END"
+).replace(
+    "ON o.o_custkey = c.c_custkey", f"ON o.o_custkey = c.c_custkey WHERE NOT ({_REISSUED} AND c.c_mktsegment = 'MACHINERY')"
+)
+for _name, _same in {
+    "refresh_replaced_fact": "fact_table",
+    "refresh_replaced_person": "dim_person",
+    "refresh_replaced_calendar": "calendar_dim",
+}.items():
+    SQL[_name] = SQL[_same].replace(ARRIVALS, _REISSUED_ARRIVALS)
+SQL["refresh_distinct_fact"] = SQL["fact_table"]
+SQL["refresh_distinct_person"] = SQL["dim_person"]
+SQL["refresh_distinct_calendar"] = SQL["calendar_dim"]
+SQL["refresh_demographics"] = SQL["dim_city"]
+
 # The analyses over the mart's own city dimension.
 _MART_JOIN = (
     "WITH" + _MART_ARRIVALS + "," + TEMPERATURE + "," + DEMOGRAPHICS + """,

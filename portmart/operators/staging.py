@@ -5,14 +5,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portmart.functions.numeric import round2
 from portmart.operators.cleaning import RACE_COLUMNS
 
-def stage_arrivals(df: DataFrame) -> DataFrame:
-    return df.select(
+
+def arrival_columns() -> list[Column]:
+    """The staging columns of clean arrivals."""
+    return [
         F.col("cicid").alias("id"),
         F.col("arrdate").alias("date"),
         F.col("i94port").alias("city_code"),
@@ -21,7 +23,11 @@ def stage_arrivals(df: DataFrame) -> DataFrame:
         F.col("gender"),
         F.col("i94visa").alias("visa_type"),
         F.col("count"),
-    ).distinct()
+    ]
+
+
+def stage_arrivals(df: DataFrame) -> DataFrame:
+    return df.select(*arrival_columns()).distinct()
 
 
 def stage_temperature(df: DataFrame) -> DataFrame:

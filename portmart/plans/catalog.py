@@ -18,7 +18,7 @@ from portmart.operators import aggregates as agg
 from portmart.operators import cleaning, mart, quality, staging
 from portmart.operators.decode import decode
 from portmart.operators.joins import join_on_keys, join_using_distinct
-from portmart.operators.lookup import first_match_code, substring_codes
+from portmart.operators.lookup import first_match_code, indexed_codes, substring_codes
 from portmart.operators.ordering import order_by_desc, top_k
 from portmart.plans import analysis
 from portmart.plans import standins as si
@@ -30,6 +30,8 @@ from portmart.sources.labels import read_label_lines, visa_table, with_line_numb
 from portmart.sources.readers import ARRIVALS_SCHEMA, read_arrivals, read_delimited, register_view
 from portmart.streaming.refresh import refresh_arrivals, refresh_city_temperature
 from portmart.sources.sinks import read_partitioned, write_partitioned, write_table
+from portmart.streaming.distinct import stream_arrivals
+from portmart.streaming.published import read_published, replace_arrivals, replace_demographics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -321,6 +323,23 @@ def lookup_many_names(spark, sf_dir):
     return first_match_code(c, "name", labels, "supplier_name")
 
 
+def lookup_long_labels(spark, sf_dir):
+    """The names of a part and the next one, together, looked up in labels
+    that each join the names of five hundred parts: some thousand characters."""
+    p = _t(spark, sf_dir, "part")
+    bundle = F.floor(F.col("p_partkey") / 500)
+    held = p.groupBy(bundle.alias("ord")).agg(F.sort_array(F.collect_list(F.struct("p_partkey", "p_name"))).alias("w"))
+    labels = held.select(
+        "ord",
+        F.format_string("B%d", "ord").alias("code"),
+        F.array_join(F.transform("w", lambda x: x["p_name"]), " ").alias("label"),
+    )
+    after = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("_next"))
+    names = p.join(after, "p_partkey", "left").select("p_partkey", F.concat_ws(" ", "p_name", "_next").alias("name"))
+    codes = indexed_codes(names, "name", labels)
+    return first_match_code(names, "name", out_col="bundle", codes=codes)
+
+
 # ------------------------------------------------ distinct and aggregation
 
 
@@ -508,7 +527,7 @@ def size_correlation(spark, sf_dir):
 
 
 # Marts written in this process, by application, tables and layout.
-_MARTS: dict[tuple, PipelineConfig] = {}
+_MARTS: dict[tuple, PipelineConfig | str] = {}
 
 
 def _source_files(spark, sf_dir, root) -> PipelineConfig:
@@ -674,6 +693,76 @@ def _refreshed_table(name, layout):
     return query
 
 
+def _replaced_months(spark, sf_dir) -> str:
+    """A mart of three deliveries: all arrivals, then the months from the
+    middle on issued again with every person two years older and without the
+    records of the last state, then an old issue that comes late."""
+    at = (spark.sparkContext.applicationId, sf_dir, "replaced")
+    if at not in _MARTS:
+        root = scratch_path(spark, "replaced")
+        rows = si.arrivals(spark, sf_dir)
+        late = F.col("arrdate") >= si.REISSUED_FROM
+        again = rows.where(late & (F.col("i94addr") != si.WITHDRAWN_STATE)).withColumn("i94bir", F.col("i94bir") + 2)
+        # More files than a micro-batch takes, so an issue comes in pieces.
+        n_files = _landed_files(spark)
+        rows.repartition(n_files).write.parquet(f"{root}/landing/issue=2")
+        replace_arrivals(spark, f"{root}/landing", f"{root}/mart", max_files_per_batch=max(1, -(-n_files // 2)))
+        again.repartitionByRange(n_files, "arrdate").write.parquet(f"{root}/landing/issue=3")
+        replace_arrivals(spark, f"{root}/landing", f"{root}/mart")
+        rows.where(late).write.parquet(f"{root}/landing/issue=1")
+        replace_arrivals(spark, f"{root}/landing", f"{root}/mart")
+        _MARTS[at] = f"{root}/mart"
+    return _MARTS[at]
+
+
+def _replaced_table(table, schema_of):
+    def query(spark, sf_dir):
+        schema = schema_of(stage_arrivals(spark, sf_dir)).schema
+        return read_published(spark, _replaced_months(spark, sf_dir), table, schema).drop("part")
+
+    return query
+
+
+def _streamed_twice(spark, sf_dir) -> str:
+    """Arrival files landed in date order and streamed in, then all landed and
+    streamed in again."""
+    at = (spark.sparkContext.applicationId, sf_dir, "streamed")
+    if at not in _MARTS:
+        root = scratch_path(spark, "streamed")
+        n_files = _landed_files(spark)
+        for _ in range(2):
+            rows = si.arrivals(spark, sf_dir).repartitionByRange(n_files, "arrdate")
+            rows.write.mode("append").parquet(f"{root}/landing")
+            stream_arrivals(spark, f"{root}/landing", f"{root}/mart", max_files_per_batch=max(1, -(-n_files // 2)))
+        _MARTS[at] = f"{root}/mart"
+    return _MARTS[at]
+
+
+def _streamed_table(table):
+    def query(spark, sf_dir):
+        return spark.read.parquet(f"{_streamed_twice(spark, sf_dir)}/{table}")
+
+    return query
+
+
+def refresh_demographics(spark, sf_dir):
+    """Demographics delivered twice, first with wrong counts, then in several
+    files; the city table afterwards."""
+    root = scratch_path(spark, "demographics_refresh")
+    codes = _port_codes(spark, sf_dir)
+    temp = materialize(staging.stage_temperature(_clean_temperature(spark, sf_dir, codes)), "temperature")
+    rows = si.demographics(spark, sf_dir)
+
+    def land(issue, df):
+        df.write.option("header", True).option("sep", ";").csv(f"{root}/landing/issue={issue}")
+        replace_demographics(spark, f"{root}/landing", f"{root}/mart", codes, temp, max_files_per_batch=2)
+
+    land(1, rows.withColumn("Count", F.lit("1")))
+    land(2, rows.repartition(4))
+    schema = mart.dim_city(staging.stage_demographics(_clean_demographics(spark, sf_dir, codes)), temp).schema
+    return _double_floats(read_published(spark, f"{root}/mart", "city", schema).drop("part"))
+
+
 QUERIES: dict[str, Query] = {
     "src_parquet": src_parquet,
     "src_csv_comma": src_csv_comma,
@@ -701,6 +790,7 @@ QUERIES: dict[str, Query] = {
     "join_two_keys": join_two_keys,
     "first_match_lookup": first_match_lookup,
     "lookup_many_names": lookup_many_names,
+    "lookup_long_labels": lookup_long_labels,
     "dedup_rows": dedup_rows,
     "distinct_projection": distinct_projection,
     "distinct_values": distinct_values,
@@ -754,6 +844,13 @@ QUERIES: dict[str, Query] = {
     "mart_fact_partitioned": _mart_table("fact_immigration", "partitioned"),
     "q_share_on_mart": q_share_on_mart,
     "q_size_on_mart": q_size_on_mart,
+    "refresh_replaced_fact": _replaced_table("immigration", mart.fact_table),
+    "refresh_replaced_person": _replaced_table("immigrant", mart.dim_person),
+    "refresh_replaced_calendar": _replaced_table("time", mart.calendar_dim),
+    "refresh_distinct_fact": _streamed_table("immigration"),
+    "refresh_distinct_person": _streamed_table("immigrant"),
+    "refresh_distinct_calendar": _streamed_table("time"),
+    "refresh_demographics": refresh_demographics,
     "refresh_after_batch_fact": _refreshed_table("fact_immigration", "flat"),
     "refresh_after_batch_person": _refreshed_table("dim_immigrant", "flat"),
     "refresh_after_batch_calendar": _refreshed_table("dim_time", "flat"),

@@ -22,6 +22,10 @@ from portmart.sources.readers import DEMOGRAPHICS_SCHEMA, TEMPERATURE_SCHEMA
 # Country value that plays 'United States' in the temperature stand-in.
 STANDIN_COUNTRY = "purchase"
 
+# The delivery that is issued again: from this SAS day (1998-01-01) on, without a state.
+REISSUED_FROM = 13880.0
+WITHDRAWN_STATE = "MACHINERY"
+
 # Part types standing in for races; STANDARD maps to no race column.
 STANDIN_RACES = {
     "ECONOMY": "American Indian and Alaska Native",

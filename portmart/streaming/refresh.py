@@ -101,7 +101,7 @@ def missing_persons(spark: SparkSession, staged: DataFrame | None, new: DataFram
     return wanted.exceptAll(of_batch(held))
 
 
-def _drain(
+def drain(
     stream: DataFrame,
     to_mart: Callable[[DataFrame], None],
     checkpoint_dir: str,
@@ -165,7 +165,7 @@ def refresh_arrivals(
         append_new_rows(spark, calendar_dim(new), *place("dim_time"), date_col="date")
         append_rows(new, stage_path, [])
 
-    return _drain(
+    return drain(
         reader.load(landing_dir), to_mart, checkpoint_dir or checkpoint_path(output_dir, landing_dir, "immigration")
     )
 
@@ -206,6 +206,6 @@ def refresh_city_temperature(
             append_new_rows(spark, dim_city(demographics, new), *place("dim_city"))
         append_rows(new, stage_path, [])
 
-    return _drain(
+    return drain(
         reader.csv(landing_dir), to_mart, checkpoint_dir or checkpoint_path(output_dir, landing_dir, "city_temperature")
     )
