@@ -108,4 +108,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy._scratch_path = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing reads them any
+    more: all that was made from them must be written itself."""
+    for copy in copies:
+        spark = copy.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(copy._scratch_path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at.getParent(), True)
