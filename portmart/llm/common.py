@@ -7,6 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portmart.session import discard as discard
 from portmart.session import materialize as materialize
 
 # The white space that separates words, x20 and x09 to x0D.

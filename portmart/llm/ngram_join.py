@@ -36,9 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from portmart.llm import tokens
-from portmart.llm.common import materialize, text_of
+from portmart.llm.common import discard, materialize, text_of
 from portmart.llm.components import connected_components, merge_components
 from portmart.llm.substring_dedup import bit_table, is_set
 
@@ -47,6 +48,8 @@ PERCENT = 75
 SKETCH_BITS = 20
 SKETCH_BLOCKS = 64
 FOLDED_BITS = 512
+# Groups a class met others in before, that a row remembers.
+BEFORE = 8
 FRAGMENT_BITS = 3
 SETS_AT_ONCE = 1000
 # Above this many times the sketch's mean count a shingle is dealt by a salt too.
@@ -307,14 +310,15 @@ def star_pairs(met: DataFrame, hot: int) -> DataFrame:
     return own.unionByName(drawn).unionByName(across).where((F.col("a") != F.col("b")) & alike_in_size("n", "m")).distinct()
 
 
-def mixed_meetings(found: DataFrame, component: DataFrame) -> DataFrame:
+def mixed_meetings(found: DataFrame, component: DataFrame, written: list[DataFrame]) -> DataFrame:
     """``token, part, class, n, component`` where classes of different
-    components share a token."""
+    components share a token.  Adds the tables it reads to ``written``."""
     f = found.join(component, found["class"] == component["node"], "left")
     f = f.select("token", "part", "class", "n", F.coalesce("component", "class").alias("component"))
     f = materialize(f, "met-components")
     mixed = f.groupBy("token", "part").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = materialize(mixed.where("lo < hi").select("token", "part"), "mixed-tokens")
+    written += [f, mixed]
     return f.join(mixed, ["token", "part"])
 
 
@@ -328,10 +332,26 @@ def untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
 
 def crossing_pairs(mixed: DataFrame, classes_of: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``a, n, b, m``: all pairs of classes of different components that
-    share a token, but for those that sizes or folded bitmaps rule out."""
+    share a token, but for those that sizes or folded bitmaps rule out.
+
+    Two classes of boilerplate share many tokens.  Each row carries the groups
+    (token and part) its class stands in just before, in one order for all:
+    where two rows have one of these in common, the pair met there already,
+    so it is left to the first group that it shares."""
+    group = F.xxhash64("token", "part")
+    nearby = Window.partitionBy("class").orderBy("token", "part").rowsBetween(-BEFORE, -1)
+    placed = mixed.withColumn("before", F.collect_list(group).over(nearby))
     folded = classes_of.select(F.col("class").alias("k"), "folded")
-    rows = mixed.join(folded, mixed["class"] == folded["k"]).drop("k")
-    x = rows.select("token", "part", F.col("class").alias("a"), "n", F.col("component").alias("ca"), F.col("folded").alias("fa"))
+    rows = placed.join(folded, placed["class"] == folded["k"]).drop("k")
+    x = rows.select(
+        "token",
+        "part",
+        F.col("class").alias("a"),
+        "n",
+        F.col("component").alias("ca"),
+        F.col("folded").alias("fa"),
+        F.col("before").alias("ba"),
+    )
     y = rows.select(
         "token",
         "part",
@@ -339,13 +359,16 @@ def crossing_pairs(mixed: DataFrame, classes_of: DataFrame, percent: int = PERCE
         F.col("n").alias("m"),
         F.col("component").alias("cb"),
         F.col("folded").alias("fb"),
+        F.col("before").alias("bb"),
     )
     apart = F.lit(0)
     for i in range(FOLDED_BITS // 64):
         apart = apart + F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i]))
     # No more apart than n + m less twice the least overlap, in whole numbers.
     allowed = (100 + percent) * (F.col("n") + F.col("m") - apart) >= 2 * percent * (F.col("n") + F.col("m"))
-    return x.join(y, ["token", "part"]).where((F.col("ca") < F.col("cb")) & alike_in_size("n", "m") & allowed).select("a", "n", "b", "m")
+    first = ~F.arrays_overlap("ba", "bb")
+    met = x.join(y, ["token", "part"]).where((F.col("ca") < F.col("cb")) & alike_in_size("n", "m") & first & allowed)
+    return met.select("a", "n", "b", "m")
 
 
 def bitmaps_allow(pairs: DataFrame, classes_of: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -383,7 +406,9 @@ def cuts(classes: np.ndarray, counts: int = 1 << FRAGMENT_BITS) -> np.ndarray:
     return np.array(sorted(out), np.uint64)
 
 
-def fragments(docs: DataFrame, classes_of: DataFrame, wanted: DataFrame, classes: np.ndarray) -> DataFrame:
+def fragments(
+    docs: DataFrame, classes_of: DataFrame, wanted: DataFrame, classes: np.ndarray, written: list[DataFrame]
+) -> DataFrame:
     """``class, fragment, members`` of the wanted classes, from one document
     of each."""
     places = cuts(classes)
@@ -408,6 +433,7 @@ def fragments(docs: DataFrame, classes_of: DataFrame, wanted: DataFrame, classes
         F.col("class"), F.col("doc.doc_id").alias("k_id"), F.col("doc.text_hash").alias("k_hash")
     )
     pick = materialize(pick, "wanted-rows")
+    written.append(pick)
     # Only texts whose hash is in a bit table of one size travel to the join.
     shared = docs.sparkSession.sparkContext.broadcast(bit_table(pick.select(F.col("k_hash").alias("h"))))
 
@@ -428,18 +454,21 @@ def fragments(docs: DataFrame, classes_of: DataFrame, wanted: DataFrame, classes
 def verified(
     pairs: DataFrame, docs: DataFrame, classes_of: DataFrame, classes: np.ndarray, percent: int = PERCENT
 ) -> DataFrame:
-    """The pairs that reach the similarity: ``u, v, overlap``.  The overlap
-    is counted per fragment and summed per pair."""
+    """The pairs that reach the similarity, written: ``u, v, overlap``.  The
+    overlap is counted per fragment and summed per pair."""
+    written: list[DataFrame] = []
     p = materialize(bitmaps_allow(pairs, classes_of, percent), "allowed-pairs")
     wanted = p.select(F.col("a").alias("w")).unionByName(p.select(F.col("b").alias("w"))).distinct()
-    f = materialize(fragments(docs, classes_of, wanted, classes), "fragments")
+    f = materialize(fragments(docs, classes_of, wanted, classes, written), "fragments")
     fb = f.select(F.col("class").alias("kb"), "fragment", F.col("members").alias("mb"))
     fa = f.select(F.col("class").alias("ka"), F.col("fragment").alias("fragment_a"), F.col("members").alias("ma"))
     j = p.join(fb, p["b"] == fb["kb"]).join(fa, (F.col("a") == fa["ka"]) & (F.col("fragment") == fa["fragment_a"]))
     partial = j.select("a", "n", "b", "m", F.size(F.array_intersect("ma", "mb")).cast("long").alias("shared"))
     total = partial.groupBy("a", "n", "b", "m").agg(F.sum("shared").alias("overlap"))
     near = 100 * F.col("overlap") >= percent * (F.col("n") + F.col("m") - F.col("overlap"))
-    return total.where(near).select(F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
+    links = materialize(total.where(near).select(F.col("a").alias("u"), F.col("b").alias("v"), "overlap"), "links")
+    discard(p, f, *written)
+    return links
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -456,13 +485,15 @@ def join(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame,
     )
     met = materialize(meetings(prefixes(docs, classes, hot, percent), hot, percent), "met")
     stars = materialize(star_pairs(met, hot), "star-pairs")
-    links = materialize(verified(stars, docs, classes_of, classes, percent), "star-links")
+    links = verified(stars, docs, classes_of, classes, percent)
     component = materialize(connected_components(links), "components")
     found = met.where("token is not null").select("token", "part", "class", "n").distinct()
 
-    crossing = crossing_pairs(mixed_meetings(found, component), classes_of, percent)
+    written: list[DataFrame] = [met, stars]
+    crossing = crossing_pairs(mixed_meetings(found, component, written), classes_of, percent)
     crossing = materialize(untested(crossing, stars), "crossing-pairs")
-    more = materialize(verified(crossing, docs, classes_of, classes, percent), "crossing-links")
+    discard(*written)
+    more = verified(crossing, docs, classes_of, classes, percent)
     if not more.isEmpty():
         links = links.unionByName(more)
         component = materialize(merge_components(component, more), "components")
