@@ -1,7 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
-Absent: op1 and op5 (learnt models), op3 (its checksum and slot edits), op10
-(parsing); tests/llm compares those with brute-force versions instead.
+Absent: op1 and op5 (learnt models, tested on held-out rows), op3 (its slot
+edits), op10 (parsing) and op12 (approximate), which tests/llm compares with
+plain versions.
 """
 
 from portmart.llm.quality_rules import STOP_WORD_FORMS

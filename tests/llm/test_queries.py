@@ -32,7 +32,7 @@ def test_against_sql(spark, con, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted({int(k[2:].split("_")[0]) for k in QUERIES}) == list(range(1, 11))
+    assert sorted({int(k[2:].split("_")[0]) for k in QUERIES}) == list(range(1, 14))
 
 
 def test_quality_score_on_held_out_documents(spark, con):
