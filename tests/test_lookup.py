@@ -6,7 +6,7 @@ import random
 from fixtures import PORTS
 from pyspark.sql import functions as F
 
-from portmart.operators.lookup import first_match_code
+from portmart.operators.lookup import first_match_code, gram_index, indexed_codes
 
 
 def brute(name, labels):
@@ -73,3 +73,41 @@ def test_one_code_per_substring(spark):
     texts = [label.lower() for _, _, label in labels]
     assert set(codes) == {t[i:j] for t in texts for i in range(len(t) + 1) for j in range(i, len(t) + 1)}
     assert (codes["mesa"], codes["portland"], codes[""]) == ("OTM", "POM", "ALC")
+
+
+def _indexed(spark, names, labels):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, City string")
+    codes = indexed_codes(df, "City", _labels_df(spark, labels))
+    return dict(first_match_code(df, "City", codes=codes).select("i", "city_code").collect())
+
+
+def test_index_matches_brute_force(spark):
+    rng = random.Random(11)
+    labels = [(10 * i, f"C{i}", "".join(rng.choice("abcAB \u00e9") for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    labels += [(5, "NULL", None), (7, "REPEAT", labels[3][2])]
+    names = ["".join(rng.choice("abcB ") for _ in range(rng.randint(0, 8))) for _ in range(150)]
+    names += [labels[9][2], labels[9][2][:15], "", None, "zzzz", "abcabcabcabcabcabcabcabcabcabcabcabcabc"]
+    whole = [x for x in labels if x[2] is not None]
+    assert _indexed(spark, names, labels) == {i: brute(n, whole) for i, n in enumerate(names)}
+
+
+def test_index_of_long_labels(spark):
+    rng = random.Random(3)
+    labels = [(i, f"C{i}", "".join(rng.choice("abcdefgh") for _ in range(10_000))) for i in range(20)]
+    cut = [(rng.randrange(20), rng.randrange(9_000), n) for n in (1, 2, 3, 4, 5, 9, 50, 900, 1_000) for _ in range(4)]
+    names = [labels[i][2][at : at + n] for i, at, n in cut] + [labels[4][2], labels[4][2] + "a", "a" * 10_000]
+    assert _indexed(spark, names, labels) == {i: brute(n, labels) for i, n in enumerate(names)}
+    # Rows are linear in the label's length, here fewer: runs repeat.
+    assert gram_index(_labels_df(spark, labels)).groupBy("ord").count().agg(F.max("count")).first()[0] <= 3 * 10_000 + 1
+
+
+def test_index_without_labels_or_names(spark):
+    assert _indexed(spark, ["a", "abcd", ""], []) == {0: None, 1: None, 2: None}
+    assert _indexed(spark, [], [(0, "C", "label")]) == {}
+
+
+def test_index_pairs_by_equal_keys_only(spark):
+    df = spark.createDataFrame([("abcd",)], "City string")
+    codes = indexed_codes(df, "City", _labels_df(spark, [(0, "C", "xabcdx")]))
+    plan = first_match_code(df, "City", codes=codes)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Cartesian", "NestedLoop", "Python"))
