@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import random
 import zlib
 
 import pytest
@@ -192,6 +193,28 @@ def test_ngram_join(spark, rows):
     assert got == components(rows)
 
 
+def test_ngram_join_of_boilerplate_and_chains(spark):
+    """Documents share 50 to 90 % of a boilerplate, some by steps of a chain."""
+    rng = random.Random(6)
+    plate = [f"plate{i}" for i in range(160)]
+    texts = []
+    for i in range(80):
+        own = [f"own{i}x{k}" for k in range(rng.randint(5, 90))]
+        texts.append(plate[: rng.randint(100, 160)] + own)
+    for _ in range(4):
+        step = rng.choice(texts)[:]
+        for k in range(12):
+            at = rng.randrange(len(step))
+            step = step[:at] + [f"step{rng.random()}" for _ in range(6)] + step[at + 6 :]
+            texts.append(step)
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.components(df).select("doc_id", "n_shingles", "component_id").collect()
+    want = components(rows)
+    assert sorted((str(r[0]), r[1], str(r[2])) for r in got) == want
+    assert 5 < len({r[2] for r in want}) < len(rows)
+
+
 def test_ngram_join_of_one_large_group(spark, monkeypatch):
     """Near copies of one text, most pairs of them not alike; batches of three
     and salted tokens."""
