@@ -36,6 +36,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def own_prefix(docs: DataFrame) -> str:
+    """A prefix that no column name of ``docs`` starts with."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fifth of the rows that no model may learn from; a null
     id is never learnt from either."""

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portmart.llm.common import materialize, shingle_hashes, text_of, words
+from portmart.llm.common import materialize, own_prefix, shingle_hashes, text_of, words
 
 THRESHOLD = 0.75
 BIN_BITS = 3  # 8 bins for each shingle of the class bound
@@ -135,10 +135,12 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> D
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents in which no item is found, all their columns kept."""
-    bad = search(docs, items, threshold).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"))
+    own = own_prefix(docs)
+    found = search(docs, items, threshold)
+    bad = found.select(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash"))
     bad = materialize(bad.distinct(), "decon-hits")
     return docs.join(
         bad,
-        F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text_of("text")) == F.col("_bad_hash")),
+        F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (F.xxhash64(text_of("text")) == F.col(f"{own}hash")),
         "left_anti",
     )

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portmart.llm.common import materialize, text_of, words
+from portmart.llm.common import materialize, own_prefix, text_of, words
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -199,10 +199,11 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
 def repeat_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: every document as many times as it is taken."""
     records = materialize(measured(docs, seed), "mix-records")
-    p = plan(records).select(*[F.col(c).alias(f"_mix_{c}") for c in ("source", "whole", "need", "n_ranges", "cut_range", "cut_key", "extra_key")])
-    d = docs.join(p, F.col("source").eqNullSafe(F.col("_mix_source")))
+    own = own_prefix(docs)
+    names = ("source", "whole", "need", "n_ranges", "cut_range", "cut_key", "extra_key")
+    p = plan(records).select(*[F.col(c).alias(own + c) for c in names])
+    d = docs.join(p, F.col("source").eqNullSafe(F.col(f"{own}source")))
     key = draw_key(F.col("doc_id"), text_of("text"), seed)
-    return d.withColumn("_mix_n", copies(key, "_mix_")).where("_mix_n > 0").withColumn(
-        "_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))
-    ).select(*docs.columns)
+    d = d.withColumn(f"{own}n", copies(key, own)).where(F.col(f"{own}n") > 0)
+    return d.withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}n")))).select(*docs.columns)
 

@@ -36,10 +36,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from portmart.llm import tokens
-from portmart.llm.common import discard, materialize, text_of
+from portmart.llm.common import discard, materialize, own_prefix, text_of
 from portmart.llm.components import connected_components, merge_components
 from portmart.llm.substring_dedup import bit_table, is_set
 
@@ -153,7 +154,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
     NAMES = ["doc_id", "text_hash", "n", "class", "bitmap", "folded", "block", "counts"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    id_type = pa.int32() if kind == "int" else pa.string() if kind == "string" else pa.int64()
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     t = text_of("text")
     return docs.select("doc_id", F.xxhash64(t).alias("text_hash"), t.cast("binary").alias("t")).mapInArrow(
         run, f"doc_id {kind}, text_hash long, n long, class long, bitmap binary, folded array<long>, block int, counts binary"
@@ -528,19 +529,20 @@ def components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, all columns kept: the least by id and
     text.  Documents without words all stay."""
+    own = own_prefix(docs)
     rows = materialize(labelled(docs, percent), "labelled")
     first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     first = materialize(first, "first-of-label").withColumnRenamed("label", "l")
     out = rows.join(first, rows["label"] == first["l"]).where(
         ~F.struct("doc_id", "text_hash").eqNullSafe(F.col("first"))
     )
-    out = materialize(out.select(F.col("doc_id").alias("_out_id"), F.col("text_hash").alias("_out_hash")).distinct(), "others")
-    repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
-    repeated = materialize(repeated.select(F.col("doc_id").alias("_rep_id"), F.col("text_hash").alias("_rep_hash")), "repeated")
+    out = materialize(out.select(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")).distinct(), "others")
+    repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    repeated = materialize(repeated.select(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")), "repeated")
     text_hash = F.xxhash64(text_of("text"))
-    kept = docs.join(out, F.col("doc_id").eqNullSafe(F.col("_out_id")) & (text_hash == F.col("_out_hash")), "left_anti")
+    kept = docs.join(out, F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (text_hash == F.col(f"{own}hash")), "left_anti")
     if repeated.isEmpty():
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("_rep_id")) & (text_hash == F.col("_rep_hash"))
-    once = kept.join(repeated, same, "left_semi").withColumn("_hash", text_hash).dropDuplicates(["doc_id", "_hash"])
-    return kept.join(repeated, same, "left_anti").unionByName(once.drop("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (text_hash == F.col(f"{own}hash"))
+    once = kept.join(repeated, same, "left_semi").withColumn(f"{own}hash", text_hash).dropDuplicates(["doc_id", f"{own}hash"])
+    return kept.join(repeated, same, "left_anti").unionByName(once.drop(f"{own}hash"))
