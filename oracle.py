@@ -491,6 +491,21 @@ SQL["refresh_distinct_person"] = SQL["dim_person"]
 SQL["refresh_distinct_calendar"] = SQL["calendar_dim"]
 SQL["refresh_demographics"] = SQL["dim_city"]
 
+_CLEAN_FOUND = DEMOGRAPHICS.replace(
+    f"""CAST(SUM("Count") FILTER (WHERE "Race" = '{_RACES[-1][0]}') AS BIGINT) AS "{_RACES[-1][0]}\"""",
+    f"""CAST(SUM("Count") FILTER (WHERE "Race" = '{_RACES[-1][0]}') AS BIGINT) AS "{_RACES[-1][0]}",
+         CAST(SUM("Count") FILTER (WHERE "Race" = 'STANDARD') AS BIGINT) AS "STANDARD\"""",
+)
+SQL["clean_demographics_found"] = SQL["clean_demographics"].replace(DEMOGRAPHICS, _CLEAN_FOUND)
+SQL["pivot_found"] = "SELECT o_custkey, " + ", ".join(
+    f"CAST(SUM(CAST(round(o_totalprice) AS BIGINT)) FILTER (WHERE o_orderpriority = '{p}') AS BIGINT) AS \"{p}\""
+    for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+) + " FROM orders GROUP BY o_custkey"
+SQL["gender_by_city"] = "WITH" + _MART_ARRIVALS + """
+SELECT f.city_code, p.gender, COUNT(*) AS "count",
+       COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY f.city_code) * 100 AS share_pct
+FROM fact f JOIN person p ON f.id = p.id GROUP BY f.city_code, p.gender"""
+
 # The analyses over the mart's own city dimension.
 _MART_JOIN = (
     "WITH" + _MART_ARRIVALS + "," + TEMPERATURE + "," + DEMOGRAPHICS + """,

@@ -3,11 +3,12 @@ foreign-born share, and the summaries the data model was built for."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portmart.functions.numeric import percentage
 from portmart.operators.aggregates import group_count
+from portmart.operators.colocated import joined_counts
 from portmart.operators.joins import join_on_keys
 from portmart.operators.ordering import order_by_desc, top_k
 
@@ -75,6 +76,21 @@ def gender_distribution(person: DataFrame) -> DataFrame:
     return g.withColumn("share_pct", percentage(F.col("count"), total))
 
 
+def gender_by_city(fact_by_id: DataFrame, person_by_id: DataFrame) -> DataFrame:
+    """Arrivals per port and gender, and the gender's share of the port's
+    arrivals (percent), through fact and person joined on the id.
+
+    Both are tables of ``write_bucketed`` on the id (the fact with
+    ``city_code``, the person with ``gender``).  An id with several fact and
+    several person rows counts once for each pair of them; persons without
+    arrivals and null ids do not count.  The share's window runs over the
+    grouped rows, a few for each port.
+    """
+    g = joined_counts(fact_by_id, person_by_id, [F.col("l.city_code"), F.col("r.gender")])
+    total = F.sum("count").over(Window.partitionBy("city_code"))
+    return g.withColumn("share_pct", percentage(F.col("count"), total))
+
+
 def average_age(staging_arrivals: DataFrame, by: str | None = "city_code") -> DataFrame:
     """Mean age of the arrivals, per ``by`` (port code by default) or
     overall.  Read from the arrivals staging table, which carries age and

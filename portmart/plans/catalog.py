@@ -16,6 +16,7 @@ from portmart.functions.numeric import percentage, round2
 from portmart.functions.text import contains_ci
 from portmart.operators import aggregates as agg
 from portmart.operators import cleaning, mart, quality, staging
+from portmart.operators.colocated import write_bucketed
 from portmart.operators.decode import decode
 from portmart.operators.joins import join_on_keys, join_using_distinct
 from portmart.operators.lookup import first_match_code, indexed_codes, substring_codes
@@ -370,6 +371,18 @@ def pivot_sum(spark, sf_dir):
     return cleaning.pivot_sum(o, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], "amount")
 
 
+def pivot_found(spark, sf_dir):
+    """Order totals per customer, a column for each priority in the data."""
+    o = _t(spark, sf_dir, "orders").withColumn("amount", F.round("o_totalprice").cast("bigint"))
+    return cleaning.pivot_sum_found(o, ["o_custkey"], "o_orderpriority", "amount")
+
+
+def clean_demographics_found(spark, sf_dir):
+    """City demographics with a column for every race in the data."""
+    rows = si.demographics(spark, sf_dir)
+    return _double_floats(cleaning.clean_demographics(rows, codes=_port_codes(spark, sf_dir), found=True))
+
+
 def group_count(spark, sf_dir):
     return agg.group_count(_t(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
 
@@ -512,6 +525,15 @@ def gender_distribution(spark, sf_dir):
     return analysis.gender_distribution(dim_person(spark, sf_dir))
 
 
+def gender_by_city(spark, sf_dir):
+    """The mart's fact and person, bucketed on the id, joined on it."""
+    star = _mart(spark, sf_dir, "flat")
+    root, buckets = scratch_path(spark, "by_id"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fact = write_bucketed(star["fact_immigration"], f"{root}/fact", "id", ["city_code"], buckets)
+    person = write_bucketed(star["dim_immigrant"], f"{root}/person", "id", ["gender"], buckets)
+    return analysis.gender_by_city(fact, person)
+
+
 def average_age(spark, sf_dir):
     return analysis.average_age(stage_arrivals(spark, sf_dir), by="city_code")
 
@@ -797,6 +819,7 @@ QUERIES: dict[str, Query] = {
     "count_distinct": count_distinct,
     "count_rows": count_rows,
     "pivot_sum": pivot_sum,
+    "pivot_found": pivot_found,
     "group_count": group_count,
     "order_by_count": order_by_count,
     "top_k": top_k_q,
@@ -809,6 +832,7 @@ QUERIES: dict[str, Query] = {
     "clean_arrivals": clean_arrivals,
     "clean_temperature": clean_temperature,
     "clean_demographics": clean_demographics,
+    "clean_demographics_found": clean_demographics_found,
     "dim_person": dim_person,
     "dim_city": dim_city,
     "dim_city_metric": dim_city_metric,
@@ -823,6 +847,7 @@ QUERIES: dict[str, Query] = {
     "q_size_top_cities": q_size_top_cities,
     "popular_cities": popular_cities,
     "gender_distribution": gender_distribution,
+    "gender_by_city": gender_by_city,
     "average_age": average_age,
     "average_age_overall": average_age_overall,
     "size_correlation": size_correlation,
