@@ -506,6 +506,15 @@ SELECT f.city_code, p.gender, COUNT(*) AS "count",
        COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY f.city_code) * 100 AS share_pct
 FROM fact f JOIN person p ON f.id = p.id GROUP BY f.city_code, p.gender"""
 
+SQL["csv_kept_rows"] = "SELECT * FROM customer WHERE c_custkey % 10 NOT IN (3, 5, 7)"
+SQL["csv_rejected_lines"] = """
+WITH l AS (
+  SELECT c_custkey % 10 AS kind, concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal) AS head, c_mktsegment
+  FROM customer)
+SELECT CASE kind WHEN 3 THEN head WHEN 5 THEN head || ',' || c_mktsegment || ',more'
+            ELSE 'no' || head || ',' || c_mktsegment END AS line
+FROM l WHERE kind IN (3, 5, 7)"""
+
 # The analyses over the mart's own city dimension.
 _MART_JOIN = (
     "WITH" + _MART_ARRIVALS + "," + TEMPERATURE + "," + DEMOGRAPHICS + """,

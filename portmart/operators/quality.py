@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +58,39 @@ def quality_report(spark: SparkSession, tables: Mapping[str, DataFrame | None])
     return reduce(DataFrame.unionByName, parts)
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` whose rows are counted by the action that consumes it, and the
+    observation that holds the count afterwards.
+
+    Observe what is written itself, after any shuffle: the count is then
+    taken by the tasks that write, which Spark counts once for each part even
+    if a part is written again after a failure.  An observation in front of a
+    shuffle would count twice the rows that a lost executor makes it redo.
+    """
+    seen = Observation(f"{name}-records")
+    return df.observe(seen, F.count(F.lit(1)).alias("records")), seen
+
+
+def observed_report(records: Mapping[str, int | None]) -> list[tuple]:
+    """The rows of ``quality_report`` from the records observed while each
+    table was written (``None``: the table was not written)."""
+    rows: list[tuple] = []
+    for name, n in records.items():
+        rows.append((name, "exists", int(n is not None), n))
+        rows.append((name, "has_records", int(bool(n)), n))
+    return rows
+
+
+def summarise(rows: list[tuple], raise_on_failure: bool = False) -> str:
+    """The one-line summary of report rows; an error if one failed and that
+    is asked for."""
+    passed = sum(r[2] for r in rows)
+    msg = summary_message(passed, len(rows))
+    if raise_on_failure and passed != len(rows):
+        raise AssertionError(msg)
+    return msg
+
+
 def summary_message(passed: int, total: int) -> str:
     if passed == total:
         return MSG_ALL_PASSED.format(passed=passed, total=total)
@@ -79,11 +112,7 @@ def run_checks(
         rows.sort(key=lambda r: (order[r[0]], r[1] != "exists"))
     except Exception:  # noqa: BLE001 - fall back to isolating the failure
         rows = _checks_one_by_one(tables)
-    passed = sum(r[2] for r in rows)
-    msg = summary_message(passed, len(rows))
-    if raise_on_failure and passed != len(rows):
-        raise AssertionError(msg)
-    return rows, msg
+    return rows, summarise(rows, raise_on_failure)
 
 
 def _checks_one_by_one(tables: Mapping[str, DataFrame | None]) -> list[tuple]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Arrival records: the numeric SAS fields are doubles, codes are text.
@@ -106,6 +107,61 @@ def read_delimited(
     )
 
 
+def quarantine_delimited(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    out: str,
+    sep: str = ",",
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Delimited text split into the rows that fit ``schema`` and the lines
+    that do not: returns (rows, rejects), rejects as ``file``, ``line``.
+
+    A line is rejected whole when it has too few or too many fields, a quote
+    that does not close, or a field that its column's type cannot hold, so
+    nothing is cut off or turned into null on the way.  A NaN or an empty
+    field is no fault.  Empty lines count as no line, and the first line of
+    each file, with ``header``, as none either; kept plus rejected rows are
+    all the others.  Repeated lines stay repeated on either side.
+
+    The text is parsed once, whole (a parse of some columns would not see
+    lines of a wrong width), into ``out`` in one write, in folders for either
+    kind; all that reads the rows afterwards prunes columns and filters on
+    the written copy.  The rejects are a table, however many they are.
+    """
+    fault = _free("_fault", schema.names)
+    parsed = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(fault, T.StringType())]))
+        .option("header", header)
+        .option("sep", sep)
+        .option("enforceSchema", not header)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", fault)
+        .csv(path)
+    )
+    file, kind = _free("_file", schema.names), _free("_rejected", schema.names)
+    bad = F.col(fault).isNotNull()
+    # The place is kept of rejected lines only; their fields are in the line.
+    fields = [F.when(~bad, F.col(f"`{n}`")).alias(f"c{i}") for i, n in enumerate(schema.names)]
+    place = F.when(bad, F.col("_metadata.file_path"))
+    parsed.select(*fields, F.col(fault), place.alias(file), bad.alias(kind)).write.partitionBy(kind).parquet(out)
+    stored = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)]
+    stored += [T.StructField(fault, T.StringType()), T.StructField(file, T.StringType())]
+    stored += [T.StructField(kind, T.BooleanType())]
+    both = spark.read.schema(T.StructType(stored)).parquet(out)
+    rows = both.where(~F.col(kind)).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(schema.names)])
+    return rows, both.where(F.col(kind)).select(F.col(file).alias("file"), F.col(fault).alias("line"))
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column has it, case ignored."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def read_temperature(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, TEMPERATURE_SCHEMA, sep=",")
 

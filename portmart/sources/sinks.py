@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from portmart.operators.quality import observed
+
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
@@ -30,6 +32,15 @@ def write_partitioned(
     df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite") -> int:
+    """Write a plain or (with ``keys``) partitioned dataset and return the
+    number of rows written, counted in the write: nothing is read again."""
+    rows, seen = observed(df.hint("rebalance", *keys) if keys else df, "written")
+    writer = rows.write.mode(mode)
+    (writer.partitionBy(*keys) if keys else writer).parquet(path)
+    return seen.get["records"]
+
+
 def read_partitioned(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame:
