@@ -9,8 +9,8 @@ and stores the result as the next version.  Only slot totals, at most
 
 Defined results: a null text counts 0 bytes plus 1 and has the checksum of
 the empty text; records are hashed by id and text, so rows with null or
-repeated ids still spread; fully equal rows share a slot and get consecutive
-positions; an empty table gives an empty result; other columns are ignored.
+repeated ids still spread; rows equal in id and text are numbered and hashed
+with their number, so any amount of them spreads over all slots; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,17 +25,36 @@ from portmart.session import scratch_path
 
 N_SLOTS = 4096
 MAP_SCHEMA = "virtual_slot int, shard int"
+# Copies of a record that one row stands for until they are dealt to the tasks.
+COPY_BLOCK = 4096
 
 
 def assign_slots(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot`` of every record."""
+    """``doc_id, size, text_crc32, virtual_slot`` of every record.
+
+    Records equal in these columns cannot be told apart, so they are counted
+    (on the map side first) and written out again as numbered copies: no task
+    holds all copies of a record, and which slots they get does not depend on
+    where they were read.  Copies are dealt to the tasks in blocks.
+    """
     t = text_of("text")
-    crc = F.crc32(t)
-    return docs.select(
+    counted = (
+        docs.select("doc_id", (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("text_crc32"))
+        .groupBy("doc_id", "size", "text_crc32")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    last = F.col("n") - 1
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPY_BLOCK))))
+    first = F.col("block") * COPY_BLOCK
+    copies = (
+        blocks.repartition("doc_id", "text_crc32", "block")
+        .withColumn("copy", F.explode(F.sequence(first, F.least(first + (COPY_BLOCK - 1), last))))
+    )
+    return copies.select(
         "doc_id",
-        (F.octet_length(t) + 1).cast("long").alias("size"),
-        crc.alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", crc), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+        "size",
+        "text_crc32",
+        F.pmod(F.xxhash64("doc_id", "text_crc32", "copy"), F.lit(n_slots)).cast("int").alias("virtual_slot"),
     )
 
 
