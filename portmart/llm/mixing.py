@@ -5,10 +5,17 @@ at ``max_epochs`` times its own size, the excess going to the others by
 weight until none is above its stop.  A target is met with whole
 repetitions of every document plus a seeded sample for the fraction.
 
-The sample is a threshold on a seeded hash order of the source's documents:
-hash ranges are summed first, then only the range in which the target falls
-is ordered.  What decides is one row per source (``plan``), so documents
-meet their decision in one join on the source and their text never moves.
+The sample is stratified by size: documents whose sizes have the same number
+of binary digits are a class, and from each class, largest first, the first
+draws (a seeded hash order) are taken until the words taken from this and the
+larger classes come nearest to their share of the need.  What a class misses
+or exceeds is carried to the next, so a document that is longer than what is
+missing is made up for by the shorter ones.  This is decided on sums over hash
+ranges first, and then once more on the documents of the ranges next to each
+class's cut; both tables grow with the square root of a source's rows, and one
+task reads those of a source.  What decides in the end is one row per source
+(``plan``), so documents meet their decision in one join on the source and
+their text never moves.
 
 Defined results: a null text has size 0; a null source is a source of its
 own, last in order; a source of size 0 has target 0; rows equal in id and
@@ -19,6 +26,8 @@ columns other than id, text and source are ignored by ``mix`` and kept by
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +57,21 @@ def measured(docs: DataFrame, seed: str = SEED) -> DataFrame:
     return docs.select("doc_id", "source", F.size(words(t)).cast("long").alias("size"), draw_key(F.col("doc_id"), t, seed).alias("key"))
 
 
+def sums_before(rows: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``rows`` with the sum of each expression over all rows before, in total
+    ``order``: range partitions are summed first, so no task holds all rows
+    (the window over the partitions has one row for each of them)."""
+    parts = materialize(rows.orderBy(*order).withColumn("part", F.spark_partition_id()), name)
+    whole = parts.groupBy("part").agg(*[F.sum(c).alias(f"{n}_part") for n, c in sums.items()])
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = whole.select("part", *[F.coalesce(F.sum(f"{n}_part").over(earlier), F.lit(0)).alias(f"{n}_start") for n in sums])
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = parts.join(starts, "part").select(
+        *rows.columns, *[(F.col(f"{n}_start") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()]
+    )
+    return materialize(out, name)
+
+
 def water_fill(
     sources: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -60,40 +84,53 @@ def water_fill(
     level per unit of weight; sources in order of stop per weight reach it
     last, so running sums over that order give the level directly.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
+    by_name = F.col("source").asc_nulls_last()
     pick = F.array(*[F.lit(w) for w in weights])
-    s = sources.withColumn("weight", F.get(pick, (F.row_number().over(by_name) - 1) % len(weights)))
+    s = sums_before(sources, [by_name], {"number": F.lit(1)}, "mix-sources-by-name")
+    s = s.withColumn("weight", F.get(pick, (F.col("number") % len(weights)).cast("int"))).drop("number")
     s = s.withColumn("stop", F.col("source_size") * F.lit(max_epochs))
-    everything = Window.partitionBy(F.lit(1))
-    before = Window.orderBy(F.col("stop") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    s = s.withColumns(
-        {
-            "budget": F.least(
-                F.sum("source_size").over(everything) * F.lit(share), F.sum("stop").over(everything)
-            ),
-            "all_weight": F.sum("weight").over(everything),
-            "stops_before": F.coalesce(F.sum("stop").over(before), F.lit(0.0)),
-            "weight_before": F.coalesce(F.sum("weight").over(before), F.lit(0.0)),
-        }
-    )
+    by_level = [F.col("stop") / F.col("weight"), by_name]
+    s = sums_before(s, by_level, {"stops_before": F.col("stop"), "weight_before": F.col("weight")}, "mix-sources-by-level")
+    everything = s.agg(F.sum("source_size").alias("words"), F.sum("stop").alias("stops"), F.sum("weight").alias("all_weight"))
+    s = s.withColumn("budget", F.least(everything.select("words").scalar() * F.lit(share), everything.select("stops").scalar()))
     s = s.withColumn(
         "stopped",
-        F.col("stop") * (F.col("all_weight") - F.col("weight_before"))
+        F.col("stop") * (everything.select("all_weight").scalar() - F.col("weight_before"))
         <= (F.col("budget") - F.col("stops_before")) * F.col("weight"),
     )
-    rest = F.col("budget") - F.coalesce(F.sum(F.when(F.col("stopped"), F.col("stop"))).over(everything), F.lit(0.0))
-    rest_weight = F.sum(F.when(~F.col("stopped"), F.col("weight"))).over(everything)
-    return s.withColumn("rest", rest).withColumn("rest_weight", rest_weight).select(
+    s = materialize(s, "mix-levels")
+    rest = F.max("budget") - F.coalesce(F.sum(F.when(F.col("stopped"), F.col("stop"))), F.lit(0.0))
+    free = F.sum(F.when(~F.col("stopped"), F.col("weight")))
+    return s.select(
         "source",
         "source_size",
         F.when(F.col("stopped"), F.col("stop"))
-        .otherwise(F.col("weight") * F.col("rest") / F.col("rest_weight"))
+        .otherwise(F.col("weight") * s.agg(rest).scalar() / s.agg(free).scalar())
         .alias("target"),
     )
 
 
+def size_class(size: Column) -> Column:
+    """The number of binary digits of a size."""
+    return F.length(F.bin(size))
+
+
+def nearest(options: pd.DataFrame) -> pd.DataFrame:
+    """One row per class of one source: of its options, each the first
+    ``words`` words up to ``pos``, or none (``base`` words), the one that comes
+    nearest to ``goal`` with what the larger classes took; ties to the fewest.
+    ``words_before`` is of the option before it, ``pos_after`` of the one after."""
+    taken, out = 0, []
+    options = options.sort_values(["class", "pos"], ascending=[False, True])
+    for size_cls, c in options.groupby("class", sort=False):
+        words = np.concatenate([c["base"].to_numpy()[:1], c["words"].to_numpy()])
+        pos = [None, *c["pos"], None]
+        i = int(np.argmin(np.abs(words + taken - c["goal"].to_numpy()[0])))
+        taken += int(words[i])
+        out.append((c["source"].iloc[0], size_cls, pos[i], pos[i + 1], int(words[max(i - 1, 0)])))
+    return pd.DataFrame(out, columns=["source", "class", "pos", "pos_after", "words_before"])
+
+
 def plan(
     records: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -102,11 +139,9 @@ def plan(
 ) -> DataFrame:
     """One row per source: its target and which draws are taken once more.
 
-    A source with n documents is cut into about sqrt(n) hash ranges, so both
-    the ranges of a source and the documents of a range stay small however
-    many rows one source holds.  Ranges below ``cut_range`` are taken whole;
-    in it, keys up to ``cut_key``, and the one further key whose size comes
-    nearest to what is still missing, if taking it comes nearer.
+    ``whole`` is how often every document is taken; ``cuts`` gives for each
+    size class the first hash range (of about sqrt(n) for n documents) that is
+    not taken whole and the last draw taken in it or after it.
     """
     per_source = records.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")
@@ -117,68 +152,72 @@ def plan(
     s = targets.alias("t").join(
         per_source.select(F.col("source").alias("s2"), "n_docs"), F.col("t.source").eqNullSafe(F.col("s2"))
     )
+    need = F.col("target") - whole * F.col("source_size")
     s = s.select(
         "source",
         "source_size",
         "target",
         whole.alias("whole"),
-        (F.col("target") - whole * F.col("source_size")).alias("need"),
+        F.coalesce(F.try_divide(need, F.col("source_size")), F.lit(0.0)).alias("fraction"),
         F.ceil(F.sqrt("n_docs")).cast("double").alias("n_ranges"),
     )
     s = materialize(s, "mix-targets")
 
-    side = s.select(F.col("source").alias("s_source"), "need", "n_ranges")
+    side = s.select(F.col("source").alias("s_source"), "fraction", "n_ranges")
     r = records.join(side, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
-    r = r.withColumn("range", hash_range(F.col("key"), F.col("n_ranges")))
-    ranges = r.groupBy("source", "need", "range").agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = ranges.withColumn("filled", F.sum("words").over(upto))
-    cut = (
-        ranges.where(F.col("filled") > F.col("need"))
-        .groupBy("source")
-        .agg(
-            F.min("range").alias("cut_range"),
-            F.min_by(F.col("need") - (F.col("filled") - F.col("words")), "range").alias("missing"),
-        )
+    r = r.select(
+        "source", "fraction", size_class(F.col("size")).alias("class"), "size", "key",
+        hash_range(F.col("key"), F.col("n_ranges")).alias("range"),
+    )
+    ranges = materialize(r.groupBy("source", "fraction", "class", "range").agg(F.sum("size").alias("words")), "mix-ranges")
+    larger = Window.partitionBy("source").orderBy(F.desc("class"))
+    goals = ranges.groupBy("source", "fraction", "class").agg(F.sum("words").alias("words"))
+    goals = goals.select(
+        F.col("source").alias("g_source"), F.col("class").alias("g_class"),
+        (F.col("fraction") * F.sum("words").over(larger)).alias("goal"),
+    )
+    goals = materialize(goals, "mix-goals")
+    in_class = F.col("source").eqNullSafe(F.col("g_source")) & (F.col("class") == F.col("g_class"))
+    by_range = Window.partitionBy("source", "class").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    options = ranges.join(goals, in_class).select(
+        "source", "class", F.col("range").alias("pos"), F.sum("words").over(by_range).alias("words"),
+        F.lit(0).cast("long").alias("base"), "goal",
     )
-    cut = materialize(cut, "mix-cuts")
-
-    c = cut.select(F.col("source").alias("c_source"), F.col("cut_range").alias("range_c"), "missing")
-    inside = r.join(c, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("range") == F.col("range_c")))
-    inside = inside.groupBy("source", "missing", "key").agg(F.sum("size").alias("size"))
-    run = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("filled", F.sum("size").over(run))
-    fits = F.col("filled") <= F.col("missing")
-    inside = inside.withColumn("left", F.col("missing") - F.coalesce(F.max(F.when(fits, F.col("filled"))).over(Window.partitionBy("source")), F.lit(0)))
-    off = F.abs(F.col("size") - F.col("left"))
-    extra = ~fits & (off < F.col("left"))
-    keys = inside.groupBy("source").agg(
-        F.max(F.when(fits, F.col("key"))).alias("cut_key"),
-        F.min_by(F.when(extra, F.col("key")), F.when(extra, F.struct(off, F.col("key")))).alias("extra_key"),
+    kind = records.schema["source"].dataType.simpleString()
+    chosen = f"source {kind}, class int, pos %s, pos_after %s, words_before long"
+    near = options.groupBy("source").applyInPandas(nearest, chosen % ("long", "long"))
+
+    # Of a class, the last range taken and the next one are decided by document.
+    near = near.select(
+        F.col("source").alias("n_source"), F.col("class").alias("n_class"), F.col("words_before").alias("base"),
+        F.coalesce("pos", "pos_after").alias("from_range"), F.coalesce("pos_after", "pos").alias("to_range"),
     )
-    p = s.alias("s").join(cut.select(F.col("source").alias("c_source"), "cut_range"), F.col("source").eqNullSafe(F.col("c_source")), "left")
-    p = p.join(
-        keys.select(F.col("source").alias("k_source"), "cut_key", "extra_key"),
-        F.col("source").eqNullSafe(F.col("k_source")),
-        "left",
+    near = materialize(near, "mix-near")
+    at_cut = F.col("source").eqNullSafe(F.col("n_source")) & (F.col("class") == F.col("n_class"))
+    at_cut &= F.col("range").between(F.col("from_range"), F.col("to_range"))
+    drawn = r.join(near, at_cut).groupBy("source", "class", "key", "base").agg(F.sum("size").alias("size"))
+    by_key = Window.partitionBy("source", "class").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    options = drawn.join(goals, in_class).select(
+        "source", "class", F.col("key").alias("pos"), (F.col("base") + F.sum("size").over(by_key)).alias("words"), "base", "goal"
     )
-    p = p.select("source", "source_size", "target", "whole", "need", "n_ranges", "cut_range", "cut_key", "extra_key")
-    return materialize(p, "mix-plan")
+    last = options.groupBy("source").applyInPandas(nearest, chosen % ("string", "string"))
+    cuts = last.join(near, F.col("source").eqNullSafe(F.col("n_source")) & (F.col("class") == F.col("n_class")))
+    # One entry for each binary digit of a size at most.
+    cuts = cuts.groupBy(F.col("source").alias("c_source")).agg(
+        F.map_from_entries(
+            F.collect_list(F.struct("class", F.struct("from_range", F.coalesce("pos", F.lit("")).alias("key"))))
+        ).alias("cuts")
+    )
+    p = s.join(cuts, F.col("source").eqNullSafe(F.col("c_source")))
+    return materialize(p.select("source", "source_size", "target", "whole", "n_ranges", "cuts"), "mix-plan")
 
 
-def copies(key: Column, prefix: str = "") -> Column:
+def copies(size: Column, key: Column, prefix: str = "") -> Column:
     """How often the plan, its columns named with ``prefix``, takes the
-    document with this draw."""
+    document of this size and draw."""
     col = lambda name: F.col(prefix + name)
-    at = hash_range(key, col("n_ranges"))
-    # No range exceeds the need: every document is taken once more, unless none is needed.
-    once = F.when(col("cut_range").isNull(), col("need") > 0).otherwise(
-        (at < col("cut_range"))
-        | (
-            (at == col("cut_range"))
-            & (F.coalesce(key <= col("cut_key"), F.lit(False)) | F.coalesce(key == col("extra_key"), F.lit(False)))
-        )
-    )
+    cut = F.element_at(col("cuts"), size_class(size))
+    once = (hash_range(key, col("n_ranges")) < cut["from_range"]) | (key <= cut["key"])
     return col("whole") + F.when(once, 1).otherwise(0)
 
 
@@ -192,7 +231,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
         "size",
         "source_size",
         "target",
-        (F.col("size") * copies(F.col("key"))).cast("long").alias("taken"),
+        (F.col("size") * copies(F.col("size"), F.col("key"))).cast("long").alias("taken"),
     )
 
 
@@ -200,10 +239,11 @@ def repeat_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: every document as many times as it is taken."""
     records = materialize(measured(docs, seed), "mix-records")
     own = own_prefix(docs)
-    names = ("source", "whole", "need", "n_ranges", "cut_range", "cut_key", "extra_key")
+    names = ("source", "whole", "n_ranges", "cuts")
     p = plan(records).select(*[F.col(c).alias(own + c) for c in names])
     d = docs.join(p, F.col("source").eqNullSafe(F.col(f"{own}source")))
-    key = draw_key(F.col("doc_id"), text_of("text"), seed)
-    d = d.withColumn(f"{own}n", copies(key, own)).where(F.col(f"{own}n") > 0)
+    t = text_of("text")
+    times = copies(F.size(words(t)), draw_key(F.col("doc_id"), t, seed), own)
+    d = d.withColumn(f"{own}n", times).where(F.col(f"{own}n") > 0)
     return d.withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}n")))).select(*docs.columns)
 

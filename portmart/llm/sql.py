@@ -91,7 +91,7 @@ FROM q
 """
 
 OP8 = f"""
-WITH d AS (
+WITH RECURSIVE d AS (
         SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS size,
             md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS k
         FROM documents
@@ -117,47 +117,63 @@ WITH d AS (
     ),
     need AS (
         SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::INT ELSE 0 END AS whole,
-            target - (CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END) * source_size AS need,
+            CASE WHEN source_size > 0
+                THEN (target - floor(target / source_size) * source_size) / source_size ELSE 0 END AS fraction,
             ceil(sqrt(n)) AS n_ranges
         FROM target
     ),
     placed AS (
-        SELECT d.*, s.source_size, s.target, s.whole, s.need,
-            floor(('0x' || substr(k, 1, 8))::BIGINT::DOUBLE * n_ranges / 4294967296.0) AS rng
+        SELECT d.*, length(bin(size)) AS c, s.source_size, s.target, s.whole, s.fraction,
+            floor(('0x' || substr(k, 1, 8))::BIGINT::DOUBLE * n_ranges / 4294967296.0)::BIGINT AS rng
         FROM d JOIN need s ON d.source IS NOT DISTINCT FROM s.source
     ),
-    ranges AS (SELECT source, rng, any_value(need) AS need, sum(size) AS words FROM placed GROUP BY source, rng),
-    filled AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY rng) AS filled FROM ranges),
-    cut AS (
-        SELECT source, min(rng) AS cut_range, arg_min(need - (filled - words), rng) AS missing
-        FROM filled WHERE filled > need GROUP BY source
-    ),
-    inside AS (
-        SELECT p.source, c.missing, k, sum(size) AS size,
-            sum(sum(size)) OVER (PARTITION BY p.source ORDER BY k) AS filled
-        FROM placed p JOIN cut c ON p.source IS NOT DISTINCT FROM c.source AND rng = cut_range
-        GROUP BY p.source, c.missing, k
-    ),
-    rest AS (
-        SELECT *, missing - coalesce(max(CASE WHEN filled <= missing THEN filled END) OVER (PARTITION BY source), 0) AS left_over
-        FROM inside
-    ),
-    extra AS (
-        SELECT source, arg_min(k, (abs(size - left_over), k)) AS extra_key FROM rest
-        WHERE filled > missing AND abs(size - left_over) < left_over GROUP BY source
-    ),
-    taken_keys AS (
-        SELECT source, k FROM rest WHERE filled <= missing
-        UNION SELECT source, extra_key FROM extra
+    goals AS (
+        SELECT source, c, fraction * sum(sum(size)) OVER (PARTITION BY source ORDER BY c DESC) AS goal,
+            row_number() OVER (PARTITION BY source ORDER BY c DESC) AS i
+        FROM placed GROUP BY source, c, fraction
+    ),
+    ranges AS (SELECT source, c, rng, sum(size)::BIGINT AS words FROM placed GROUP BY source, c, rng),
+    by_range AS (
+        SELECT source, c, rng AS pos, (sum(words) OVER (PARTITION BY source, c ORDER BY rng))::BIGINT AS w FROM ranges
+        UNION ALL SELECT source, c, -1, 0 FROM goals
+    ),
+    range_cut AS (
+        SELECT source, 0::BIGINT AS i, 0::BIGINT AS taken, -1 AS c, -1::BIGINT AS pos FROM src
+        UNION ALL
+        SELECT f.source, f.i + 1, f.taken + arg_min(o.w, (abs(o.w + f.taken - g.goal), o.pos)), g.c,
+            arg_min(o.pos, (abs(o.w + f.taken - g.goal), o.pos))
+        FROM range_cut f JOIN goals g ON g.source IS NOT DISTINCT FROM f.source AND g.i = f.i + 1
+        JOIN by_range o ON o.source IS NOT DISTINCT FROM g.source AND o.c = g.c
+        GROUP BY f.source, f.i, f.taken, g.c
+    ),
+    bounds AS (
+        SELECT f.source, f.c, CASE WHEN f.pos < 0 THEN min(r.rng) ELSE f.pos END AS lo,
+            coalesce(min(CASE WHEN r.rng > f.pos THEN r.rng END), f.pos) AS hi,
+            coalesce(sum(CASE WHEN r.rng < f.pos THEN r.words END), 0)::BIGINT AS base
+        FROM range_cut f JOIN ranges r ON r.source IS NOT DISTINCT FROM f.source AND r.c = f.c
+        GROUP BY f.source, f.c, f.pos
+    ),
+    by_draw AS (
+        SELECT p.source, p.c, k AS pos,
+            (base + sum(sum(size)) OVER (PARTITION BY p.source, p.c ORDER BY k))::BIGINT AS w
+        FROM placed p JOIN bounds b ON p.source IS NOT DISTINCT FROM b.source AND p.c = b.c AND rng BETWEEN lo AND hi
+        GROUP BY p.source, p.c, k, base
+        UNION ALL SELECT source, c, '', base FROM bounds
+    ),
+    draw_cut AS (
+        SELECT source, 0::BIGINT AS i, 0::BIGINT AS taken, -1 AS c, '' AS pos FROM src
+        UNION ALL
+        SELECT f.source, f.i + 1, f.taken + arg_min(o.w, (abs(o.w + f.taken - g.goal), o.pos)), g.c,
+            arg_min(o.pos, (abs(o.w + f.taken - g.goal), o.pos))
+        FROM draw_cut f JOIN goals g ON g.source IS NOT DISTINCT FROM f.source AND g.i = f.i + 1
+        JOIN by_draw o ON o.source IS NOT DISTINCT FROM g.source AND o.c = g.c
+        GROUP BY f.source, f.i, f.taken, g.c
     )
 SELECT p.doc_id, p.size, p.source_size, p.target,
-    (p.size * (p.whole + CASE
-        WHEN c.cut_range IS NULL THEN (p.need > 0)::INT
-        WHEN p.rng < c.cut_range THEN 1
-        WHEN p.rng = c.cut_range AND t.k IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
+    (p.size * (p.whole + (p.rng < b.lo OR p.k <= f.pos)::INT))::BIGINT AS taken
 FROM placed p
-LEFT JOIN cut c ON p.source IS NOT DISTINCT FROM c.source
-LEFT JOIN taken_keys t ON p.source IS NOT DISTINCT FROM t.source AND p.k = t.k
+JOIN bounds b ON p.source IS NOT DISTINCT FROM b.source AND p.c = b.c
+JOIN draw_cut f ON p.source IS NOT DISTINCT FROM f.source AND p.c = f.c
 """
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORD_FORMS)

@@ -44,6 +44,18 @@ def clean(rows, items):
     return [r for r in rows if not any(len(s & shingles(r[1])) >= 0.75 * len(s) for s in sets)]
 
 
+def nearest(classes, choices, size, fraction):
+    """For each class, largest sizes first, the choice of draws that comes
+    nearest to the share of the words so far."""
+    seen = used = 0
+    out = {}
+    for c in classes:
+        seen += sum(n for n in size.values() if n.bit_length() == c)
+        out[c] = min(choices[c], key=lambda keys: (abs(sum(size[k] for k in keys) + used - fraction * seen), len(keys)))
+        used += sum(size[k] for k in out[c])
+    return out
+
+
 def repeated(rows):
     by = {}
     for r in rows:
@@ -61,19 +73,23 @@ def repeated(rows):
     out = []
     for s in names:
         whole = math.floor(target[s] / size[s])
-        need = target[s] - whole * size[s]
+        fraction = (target[s] - whole * size[s]) / size[s]
         n_ranges = math.ceil(math.sqrt(len(by[s])))
         drawn = sorted((hashlib.md5(f"mix-1:{r[0]}:{r[1]}".encode()).hexdigest(), len(words(r[1]))) for r in by[s])
         at = {k: math.floor(int(k[:8], 16) * n_ranges / 2**32) for k, _ in drawn}
-        taken, left, cut = set(), need, None
-        for k, n in drawn:
-            if n > left:
-                cut = at[k]
-                break
-            taken.add(k)
-            left -= n
-        further = [(abs(n - left), k) for k, n in drawn if k not in taken and at[k] == cut and abs(n - left) < left]
-        taken |= {k for _, k in sorted(further)[:1]}
+        classes = sorted({n.bit_length() for _, n in drawn}, reverse=True)
+        one_class = {c: [(k, n) for k, n in drawn if n.bit_length() == c] for c in classes}
+        # Whole hash ranges first, then the documents of the two ranges at the cut.
+        first = {c: sorted({at[k] for k, _ in one_class[c]}) for c in classes}
+        choices = {c: [[], *[[k for k, _ in one_class[c] if at[k] <= x] for x in first[c]]] for c in classes}
+        rough = nearest(classes, choices, dict(drawn), fraction)
+        choices = {}
+        for c in classes:
+            i = len({at[k] for k in rough[c]})
+            fixed = [k for k, _ in one_class[c] if at[k] in first[c][: max(i - 1, 0)]]
+            open_keys = [k for k, _ in one_class[c] if at[k] in first[c][max(i - 1, 0) : i + 1]]
+            choices[c] = [fixed + open_keys[:j] for j in range(len(open_keys) + 1)]
+        taken = {k for keys in nearest(classes, choices, dict(drawn), fraction).values() for k in keys}
         for r in by[s]:
             key = hashlib.md5(f"mix-1:{r[0]}:{r[1]}".encode()).hexdigest()
             out += [r] * (whole + (key in taken))

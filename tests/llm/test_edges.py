@@ -90,6 +90,45 @@ def test_mixing_meets_targets_and_repeats_documents(spark):
     assert out.count() == sum(r.taken // r.size for r in rows)
 
 
+def test_mixing_makes_up_for_a_giant(spark):
+    """50 sources, each one long document and 200 short ones, at needs from a
+    fiftieth of the words to all: every target is met within 1 % or half a
+    short document."""
+    giant = 5000
+    rows = [(s * 1000 + i, "w " * (giant if i == 0 else 25), f"s{s:02d}") for s in range(50) for i in range(201)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = tuple(float(1 + s) for s in range(50))
+    out = mixing.mix(d).collect()
+    records = mixing.measured(d).cache()
+    for p in (mixing.plan(records, weights, 0.5, 1.0), mixing.plan(records, (1.0,), 0.35, 1.0)):
+        r = records.join(p.withColumnRenamed("source", "s"), F.col("source") == F.col("s"))
+        r = r.groupBy("source", "target").agg(F.sum(F.col("size") * mixing.copies(F.col("size"), F.col("key"))).alias("taken"))
+        assert all(abs(x.taken - x.target) <= max(0.01 * x.target, 13) for x in r.collect())
+    by = {}
+    for r in out:
+        by.setdefault(r.target, []).append(r.taken)
+    assert all(abs(sum(t) - k * (len(t) // 201)) <= 0.01 * k * (len(t) // 201) for k, t in by.items())
+
+
+def test_mixing_of_many_sources(spark):
+    rows = [(i, "w " * (i % 7 + 1), f"host{i % 1500:05d}") for i in range(6000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = {}
+    for _, t, s in rows:
+        size[s] = size.get(s, 0) + len(t) // 2
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(sorted(size))}
+    level = min(
+        (x for x in (2.0 * size[s] / weight[s] for s in size)),
+        key=lambda v: abs(sum(min(2.0 * size[s], v * weight[s]) for s in size) - 1.5 * sum(size.values())),
+    )
+    p = {r.source: r.target for r in mixing.plan(mixing.measured(d)).collect()}
+    assert set(p) == set(size)
+    assert abs(sum(p.values()) - 1.5 * sum(size.values())) < 1e-3
+    free = {round(p[s] / weight[s], 6) for s in size if p[s] < 2.0 * size[s] - 1e-9}
+    assert len(free) == 1 and abs(free.pop() - level) < 20
+    assert all(p[s] <= 2.0 * size[s] for s in size)
+
+
 def test_sharding(spark):
     rows = sharding.shard(docs(spark), n_shards=3).collect()
     assert len(rows) == len(ROWS)
