@@ -225,6 +225,16 @@ _CITY_COLS = [
     *[c for _, c in _RACES],
 ]
 
+
+def _rank_correlation(rows: str, metric: str) -> str:
+    return f"""WITH q AS ({rows}),
+ranked AS (
+  SELECT rank() OVER (ORDER BY {metric}) + (COUNT(*) OVER (PARTITION BY {metric}) - 1) / 2.0::DOUBLE AS rx,
+         rank() OVER (ORDER BY "count") + (COUNT(*) OVER (PARTITION BY "count") - 1) / 2.0::DOUBLE AS ry
+  FROM q WHERE {metric} IS NOT NULL AND "count" IS NOT NULL)
+SELECT round(corr(rx, ry), 6) AS rank_corr FROM ranked"""
+
+
 SQL: dict[str, str] = {
     "src_parquet": "SELECT * FROM orders",
     "src_csv_comma": """
@@ -413,6 +423,28 @@ SELECT DISTINCT date, city_code, year, month, CAST(avg_temperature AS DOUBLE) AS
 FROM stage_temperature""",
     "size_correlation": "WITH q AS (" + _SIZE_VS_VOLUME + """)
 SELECT round(corr(CAST(total_pop AS DOUBLE), CAST("count" AS DOUBLE)), 6) AS corr FROM q""",
+    "size_rank_correlation": _rank_correlation(_SIZE_VS_VOLUME, "total_pop"),
+    "share_rank_correlation": _rank_correlation(_SHARE_VS_VOLUME, "foreign_born_pct"),
+    "arrival_temperature": "WITH" + ARRIVALS + "," + TEMPERATURE + """,
+coded AS (SELECT * REPLACE (printf('N%02d', CAST(city_code AS INTEGER)) AS city_code) FROM fact),
+readings AS (
+  SELECT DISTINCT DATE '1995-02-01' + CAST(date_diff('day', DATE '2024-01-01', date) * 75 AS INTEGER) AS reading_at, city_code,
+         CAST(avg_temperature AS DOUBLE) AS avg_temperature,
+         CAST(avg_temperature_uncertainty AS DOUBLE) AS avg_temperature_uncertainty
+  FROM stage_temperature),
+latest AS (
+  SELECT * FROM readings QUALIFY row_number() OVER (
+    PARTITION BY city_code, reading_at
+    ORDER BY avg_temperature DESC NULLS LAST, avg_temperature_uncertainty DESC NULLS LAST) = 1)
+SELECT f.*, l.reading_at, l.avg_temperature, l.avg_temperature_uncertainty
+FROM coded f ASOF LEFT JOIN latest l ON f.city_code = l.city_code AND f.date >= l.reading_at""",
+    "label_lists": "WITH" + PORT_LABELS + """
+SELECT '$i94prtl' AS section, code, label FROM port_labels
+UNION ALL SELECT 'i94cntyl', CAST(r_regionkey AS VARCHAR), r_name FROM region
+UNION ALL SELECT 'i94model', CAST(r_regionkey AS VARCHAR), 'By ' || r_name FROM region
+UNION ALL SELECT DISTINCT 'i94addrl', c_mktsegment, 'State of ' || c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'
+UNION ALL SELECT DISTINCT 'i94visa', split_part(o_orderpriority, '-', 1), split_part(o_orderpriority, '-', 2) FROM orders
+UNION ALL VALUES ('i94cntyl', '99', 'All Other Codes'), ('i94addrl', '99', 'All Other Codes'), ('i94model', '9', 'Not reported')""",
     "lookup_many_names": """
 WITH names AS (SELECT c_custkey, regexp_replace(c_name, '^Customer#0*', '') AS name FROM customer),
 m AS (

@@ -16,17 +16,20 @@ from portmart.functions.numeric import percentage, round2
 from portmart.functions.text import contains_ci
 from portmart.operators import aggregates as agg
 from portmart.operators import cleaning, mart, quality, staging
+from portmart.operators.asof import asof_join
 from portmart.operators.colocated import write_bucketed
 from portmart.operators.decode import decode
 from portmart.operators.joins import join_on_keys, join_using_distinct
 from portmart.operators.lookup import first_match_code, indexed_codes, substring_codes
 from portmart.operators.ordering import order_by_desc, top_k
+from portmart.operators.ranks import rank_correlation
 from portmart.plans import analysis
 from portmart.plans import standins as si
 from portmart.config import PipelineConfig
 from portmart.plans.pipeline import load_star, run_pipeline
 from portmart.session import materialize, scratch_path
 from portmart.sources.labels import label_table as parse_labels
+from portmart.sources.labels import label_lists as parse_all_labels
 from portmart.sources.labels import read_label_lines, visa_table, with_line_numbers
 from portmart.sources.readers import ARRIVALS_SCHEMA, quarantine_delimited, read_arrivals, read_delimited, register_view
 from portmart.streaming.refresh import refresh_arrivals, refresh_city_temperature
@@ -574,6 +577,30 @@ def size_correlation(spark, sf_dir):
     )
 
 
+def size_rank_correlation(spark, sf_dir):
+    return _rounded_rank(q_size_vs_volume(spark, sf_dir), "total_pop")
+
+
+def share_rank_correlation(spark, sf_dir):
+    return _rounded_rank(q_share_vs_volume(spark, sf_dir), "foreign_born_pct")
+
+
+def _rounded_rank(df: DataFrame, metric: str) -> DataFrame:
+    return rank_correlation(df, metric, "count").select(F.round("rank_corr", 6).alias("rank_corr"))
+
+
+def arrival_temperature(spark, sf_dir):
+    """Every arrival with the latest reading of its port's city on or before
+    its date.  The arrivals have nation keys as ports, made codes of the
+    readings here; the readings' month is stretched over the arrivals' years,
+    75 days for a day."""
+    fact = fact_table(spark, sf_dir).withColumn("city_code", F.format_string("N%02d", F.col("city_code").cast("int")))
+    day = F.datediff("date", F.lit("2024-01-01").cast("date"))
+    readings = dim_city_metric(spark, sf_dir).withColumn("date", F.date_add(F.lit("1995-02-01").cast("date"), day * 75))
+    values = ["avg_temperature", "avg_temperature_uncertainty"]
+    return asof_join(fact, readings, ["city_code"], "date", values, F.year("date"))
+
+
 # Marts written in this process, by application, tables and layout.
 _MARTS: dict[tuple, PipelineConfig | str] = {}
 
@@ -674,6 +701,11 @@ def decode_codes(spark, sf_dir):
     return decode(fact_table(spark, sf_dir), "city_code", countries, "region_label", default_code="99")
 
 
+def label_lists(spark, sf_dir):
+    """All five lists of the label file, read in one pass."""
+    return parse_all_labels(_label_lines(spark, sf_dir)).select("section", "code", "label")
+
+
 def _landed_files(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -880,6 +912,10 @@ QUERIES: dict[str, Query] = {
     "size_correlation": size_correlation,
     "share_correlation": share_correlation,
     "count_correlation": count_correlation,
+    "size_rank_correlation": size_rank_correlation,
+    "share_rank_correlation": share_rank_correlation,
+    "arrival_temperature": arrival_temperature,
+    "label_lists": label_lists,
     "decode_codes": decode_codes,
     "decode_states": decode_states,
     "decode_modes": decode_modes,

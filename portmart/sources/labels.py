@@ -9,7 +9,7 @@ no two scans have to agree on how the files are split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,10 @@ QUOTED_PATTERN = r"'(?:[^']|'')*'"
 VISA_HEADER = r"(?i)^\s*/\*\s*I94VISA\b"
 VISA_ENTRY = r"^\s*([0-9]+)\s*=\s*([^'*]+?)\s*(?:\*/\s*)?$"
 
+# The head of any value section, and the name its lines get in ``label_lists``.
+ANY_HEADER = r"(?i)^\s*value\s+(\$?\w+)"
+VISA_LIST = "i94visa"
+
 # Where a line stands: compares in file-name order, then by position.
 PLACE = T.StructType(
     [
@@ -116,6 +120,66 @@ def visa_table(lines: DataFrame) -> DataFrame:
     )
 
 
+def _in_force(lines: DataFrame, events: dict[str, Column]) -> DataFrame:
+    """``lines`` with, for each column of ``events``, the last event that is not
+    null on the lines before.
+
+    A segmented scan: inside a split by a window over its lines, then every
+    split takes over what the splits before it left (one row for each split).
+    """
+    marked = lines.select("place", "value", *[e.alias(n) for n, e in events.items()])
+    split = ["place.file", "place.block"]
+    left = marked.groupBy(*[F.col(c).alias(f"_{c[6:]}") for c in split]).agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("place.row"))).alias(f"_{n}") for n in events]
+    )
+    splits_before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    handed = left.select("_file", "_block", *[F.last(f"_{n}", ignorenulls=True).over(splits_before).alias(f"_{n}") for n in events])
+    lines_before = Window.partitionBy(*split).orderBy("place.row").rowsBetween(Window.unboundedPreceding, -1)
+    scanned = marked.select("place", "value", *[F.last(n, ignorenulls=True).over(lines_before).alias(n) for n in events])
+    here = (F.col("place.file") == F.col("_file")) & (F.col("place.block") == F.col("_block"))
+    return scanned.join(handed, here).select("place", "value", *[F.coalesce(n, f"_{n}").alias(n) for n in events])
+
+
+def label_lists(lines: DataFrame) -> DataFrame:
+    """The entries of every list of the file, ``(section, ord, code, label)``,
+    in one pass over the lines: all value sections by their name in lower case,
+    and the visa list as ``i94visa``.
+
+    Each list equals ``label_table`` (or ``visa_table``) of its section: of a
+    section named twice the first counts.  A header ends a section that was
+    left open before it.
+    """
+    value = F.col("value")
+    name = F.lower(F.regexp_extract(value, ANY_HEADER, 1))
+    opened = lambda n: F.struct(n.alias("name"), F.col("place").alias("head"))
+    closed = opened(F.lit(None).cast("string"))
+    closes = F.contains(F.regexp_replace("value", QUOTED_PATTERN, ""), F.lit(";"))
+    events = {
+        "section": F.when(name != "", opened(name)).when(closes, closed),
+        "visa": F.when(value.rlike(VISA_HEADER), opened(F.lit(VISA_LIST))).when(F.contains(value, F.lit("*/")), closed),
+    }
+    state = _in_force(lines, events)
+    label = F.regexp_replace(F.regexp_replace(F.regexp_extract(value, ENTRY_PATTERN, 2), "''", "'"), r"\s+$", "")
+    entry = F.when(
+        F.col("section.name").isNotNull() & value.rlike(ENTRY_PATTERN),
+        F.struct(F.col("section").alias("s"), F.regexp_extract(value, ENTRY_PATTERN, 1).alias("code"), label.alias("label")),
+    )
+    visa = F.when(
+        F.col("visa.name").isNotNull() & value.rlike(VISA_ENTRY),
+        F.struct(
+            F.col("visa").alias("s"),
+            F.regexp_extract(value, VISA_ENTRY, 1).alias("code"),
+            F.trim(F.regexp_extract(value, VISA_ENTRY, 2)).alias("label"),
+        ),
+    )
+    found = state.select("place", F.inline(F.array_compact(F.array(entry, visa))))
+    heads = lines.select(F.inline(F.array_compact(F.array(*events.values())))).where(F.col("name").isNotNull())
+    first = heads.groupBy(F.col("name").alias("section")).agg(F.min("head").alias("first"))
+    return found.join(first, (F.col("s.name") == F.col("section")) & (F.col("s.head") == F.col("first"))).select(
+        "section", F.col("place").alias("ord"), "code", "label"
+    )
+
+
 def read_label_table(
     spark: SparkSession, path: str, section: str = PORT_SECTION
 ) -> DataFrame:

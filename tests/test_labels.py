@@ -4,7 +4,7 @@ import os
 
 from fixtures import LABEL_FILE, PORTS
 
-from portmart.sources.labels import label_table, read_label_lines, read_label_table, visa_table, with_line_numbers
+from portmart.sources.labels import label_lists, label_table, read_label_lines, read_label_table, visa_table, with_line_numbers
 
 
 def _write(tmp_out, text, name="labels.SAS"):
@@ -74,3 +74,66 @@ def test_visa_list_in_a_comment(spark, tmp_out):
     text = "/* I94BIR - Age */\n/* I94VISA - Visa codes collapsed:\n   1 = Business\n   2 = Pleasure\n   3 = Student\n*/\n   4 = no\n"
     rows = visa_table(read_label_lines(spark, _write(tmp_out, text))).orderBy("ord").collect()
     assert [(r.code, r.label) for r in rows] == [("1", "Business"), ("2", "Pleasure"), ("3", "Student")]
+
+
+MANY = """/* I94VISA - Visa codes collapsed:
+   1 = Business
+   2 = Pleasure */
+  value $one
+   'A' = 'first; still open'
+   'B' = 'it''s  '
+   'C' = 'last' ;
+   'D' = 'in no list'
+  value two
+   7 = 'seven'
+   8 = 'eight'
+;
+  value $one
+   'E' = 'of a second list of that name'
+;
+  value Three ;
+   3 = 'after a head with its own end'
+;
+  value nothing
+;
+  value open
+   1 = 'to the end of the text'
+"""
+
+
+def _entries(df):
+    return [(r.code, r.label) for r in df.orderBy("ord").collect()]
+
+
+def _same_lists(lines, names):
+    got = label_lists(lines).persist()
+    assert {r.section for r in got.select("section").distinct().collect()} <= set(names) | {"i94visa"}
+    for name in names:
+        assert _entries(got.where(got["section"] == name)) == _entries(label_table(lines, name)), name
+    assert _entries(got.where(got["section"] == "i94visa")) == _entries(visa_table(lines))
+    got.unpersist()
+    return got
+
+
+def test_all_lists_in_one_pass_equal_each_by_itself(spark, tmp_out):
+    names = ["$one", "two", "three", "nothing", "open"]
+    folder = os.path.join(tmp_out, "lists")
+    os.makedirs(folder)
+    text = MANY.splitlines(keepends=True)
+    for i, at in enumerate(range(0, len(text), 5)):  # lists go on in the next file
+        _write(folder, "".join(text[at : at + 5]), f"part-{i:05d}.txt")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "100"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            _same_lists(read_label_lines(spark, folder), names)
+            _same_lists(read_label_lines(spark, _write(tmp_out, LABEL_FILE)), ["$i94prtl", "i94cntyl", "i94model"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_no_lists(spark, tmp_out):
+    assert label_lists(read_label_lines(spark, _write(tmp_out, ""))).count() == 0
+    assert label_lists(read_label_lines(spark, _write(tmp_out, "plain\n 'A' = 'x'\n", "other.SAS"))).count() == 0
