@@ -252,6 +252,10 @@ FROM part""",
     "sink_parquet_overwrite": "SELECT * FROM customer",
     "sink_partitioned_1": "SELECT * FROM orders",
     "sink_partitioned_2": "SELECT * FROM orders",
+    "sink_clustered": "SELECT * FROM orders",
+    "sink_clustered_filter": """
+SELECT * FROM orders WHERE o_custkey BETWEEN 1 AND 40
+  AND CAST(o_orderdate AS DATE) >= DATE '1996-01-01' AND CAST(o_orderdate AS DATE) < DATE '1996-04-01'""",
     "count_distinct_sql": "SELECT COUNT(DISTINCT o_custkey) AS n_distinct FROM orders",
     "limit_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
     "stage_arrivals": "WITH" + ARRIVALS + "\nSELECT * FROM stage_arrivals",

@@ -33,7 +33,7 @@ from portmart.sources.labels import label_lists as parse_all_labels
 from portmart.sources.labels import read_label_lines, visa_table, with_line_numbers
 from portmart.sources.readers import ARRIVALS_SCHEMA, quarantine_delimited, read_arrivals, read_delimited, register_view
 from portmart.streaming.refresh import refresh_arrivals, refresh_city_temperature
-from portmart.sources.sinks import read_partitioned, write_partitioned, write_table
+from portmart.sources.sinks import read_partitioned, write_clustered, write_partitioned, write_table
 from portmart.streaming.distinct import stream_arrivals
 from portmart.streaming.published import read_published, replace_arrivals, replace_demographics
 
@@ -151,6 +151,24 @@ def sink_partitioned_1(spark, sf_dir):
     return read_partitioned(spark, path, orders.schema)
 
 
+def _clustered_orders(spark, sf_dir):
+    path = scratch_path(spark, "orders_clustered")
+    write_clustered(_t(spark, sf_dir, "orders"), path, ["o_orderdate", "o_custkey", "o_orderpriority"], 16)
+    return spark.read.parquet(path)
+
+
+def sink_clustered(spark, sf_dir):
+    """orders written in blocks of date, customer and priority, read back."""
+    return _clustered_orders(spark, sf_dir)
+
+
+def sink_clustered_filter(spark, sf_dir):
+    """One customer range of one quarter, read from the clustered files."""
+    day = F.col("o_orderdate").cast("date")
+    start, end = (F.lit(d).cast("date") for d in ("1996-01-01", "1996-04-01"))
+    return _clustered_orders(spark, sf_dir).where(F.col("o_custkey").between(1, 40) & (day >= start) & (day < end))
+
+
 def sink_partitioned_2(spark, sf_dir):
     path = scratch_path(spark, "orders_by_status_priority")
     orders = _t(spark, sf_dir, "orders")
@@ -852,6 +870,8 @@ QUERIES: dict[str, Query] = {
     "sink_parquet_overwrite": sink_parquet_overwrite,
     "sink_partitioned_1": sink_partitioned_1,
     "sink_partitioned_2": sink_partitioned_2,
+    "sink_clustered": sink_clustered,
+    "sink_clustered_filter": sink_clustered_filter,
     "count_distinct_sql": count_distinct_sql,
     "limit_rows": limit_rows,
     "stage_arrivals": stage_arrivals,

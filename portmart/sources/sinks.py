@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from portmart.operators.quality import observed
+from portmart.operators.ranks import mid_ranks
+from portmart.session import materialize
 
 _INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
@@ -41,6 +45,51 @@ def write_counted(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str
     return seen.get["records"]
 
 
+def interleaved(parts: Sequence[Column], bits: int) -> Column:
+    """One number from the lowest ``bits`` bits of each part, the parts taking
+    turns from their highest bit down (a Z-order key)."""
+    k = len(parts)
+    if k * bits > 63:
+        raise ValueError(f"{k} columns of {bits} bits do not fit a 64-bit key")
+    taken = [
+        F.shiftleft(F.shiftright(p.cast("long"), b).bitwiseAND(F.lit(1).cast("long")), b * k + (k - 1 - i))
+        for i, p in enumerate(parts)
+        for b in range(bits)
+    ]
+    return reduce(lambda a, b: a.bitwiseOR(b), taken)
+
+
+def write_clustered(
+    df: DataFrame, path: str, columns: Sequence[str], n_files: int, bits: int = 10, mode: str = "overwrite"
+) -> None:
+    """Parquet dataset of about ``n_files`` files of equal numbers of rows,
+    each a block in all of ``columns`` at once, so that the files' minimum and
+    maximum exclude most of them for a filter on any of the columns.
+
+    A value's place is its rank in the column (ties share one, nulls stand
+    first), cut into ``2**bits`` steps: skewed values do not crowd into a few steps.
+    The steps' bits are interleaved, and rows are range-partitioned by that key
+    and then by a seeded draw, so that a key that a third of the rows share is
+    spread over files.  An empty table is written with its schema.
+    """
+    if n_files < 1:
+        raise ValueError("n_files must be 1 or more")
+    names = df.columns
+    own = "_"
+    while any(c.startswith(own) for c in names):
+        own += "_"
+    rows = materialize(df, "cluster-rows")
+    total = max(rows.count(), 1)
+    ranked = rows
+    for i, c in enumerate(columns):
+        ranked = mid_ranks(ranked, c, f"{own}rank{i}")
+    top = (1 << bits) - 1
+    steps = [F.coalesce(F.least(F.floor(F.col(f"{own}rank{i}") * F.lit((top + 1) / total)), F.lit(top)), F.lit(0)) for i in range(len(columns))]
+    keyed = ranked.withColumn(f"{own}key", interleaved(steps, bits)).withColumn(f"{own}draw", F.rand(7))
+    placed = keyed.repartitionByRange(n_files, f"{own}key", f"{own}draw").sortWithinPartitions(f"{own}key")
+    placed.select(*names).write.mode(mode).parquet(path)
+
+
 def read_partitioned(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame:
