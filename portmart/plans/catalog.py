@@ -720,7 +720,7 @@ def decode_codes(spark, sf_dir):
 
 
 def label_lists(spark, sf_dir):
-    """All five lists of the label file, read in one pass."""
+    """All five lists of the label file, from one scan of it."""
     return parse_all_labels(_label_lines(spark, sf_dir)).select("section", "code", "label")
 
 

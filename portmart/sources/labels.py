@@ -142,8 +142,9 @@ def _in_force(lines: DataFrame, events: dict[str, Column]) -> DataFrame:
 
 def label_lists(lines: DataFrame) -> DataFrame:
     """The entries of every list of the file, ``(section, ord, code, label)``,
-    in one pass over the lines: all value sections by their name in lower case,
-    and the visa list as ``i94visa``.
+    found together: all value sections by their name in lower case, and the visa
+    list as ``i94visa``.  The text is scanned once; the written lines are read
+    three times (lines, splits, heads), however many lists there are.
 
     Each list equals ``label_table`` (or ``visa_table``) of its section: of a
     section named twice the first counts.  A header ends a section that was
