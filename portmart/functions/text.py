@@ -12,6 +12,12 @@ def contains_ci(haystack: Column | str, needle: Column | str) -> Column:
     return F.contains(F.lower(as_col(haystack)), F.lower(as_col(needle)))
 
 
+def substring_count(text: Column | str) -> Column:
+    """Rows that ``explode_substrings`` makes of a text."""
+    n = F.length(as_col(text)).cast("long")
+    return F.floor(n * (n + 1) / 2).cast("long") + 1
+
+
 def explode_substrings(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     """One row per start and length of a substring of ``text_col`` (and one
     for the empty one), the text itself replaced by it.

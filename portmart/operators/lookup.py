@@ -18,16 +18,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portmart.functions.text import explode_substrings
+from portmart.functions.text import explode_substrings, substring_count
 from portmart.session import materialize
 
 
+# Substrings that one task spells out.
+SUBSTRINGS_AT_ONCE = 1_000_000
+
+
 def substring_codes(
     labels: DataFrame,
     *,
     label_col: str = "label",
     code_col: str = "code",
     ord_col: str = "ord",
+    at_once: int = SUBSTRINGS_AT_ONCE,
 ) -> DataFrame:
     """``(key, code)`` for each lower-case substring of the labels: the code
     of the first label, by ``ord_col``, that contains it.
@@ -36,14 +41,27 @@ def substring_codes(
     and otherwise shuffles both sides of the join, where AQE splits a hot
     name.  Its size is quadratic in the length of one label and linear in
     their number (660 port labels of 20 characters: some 90,000 keys).
+
+    A label's place in the order is one number, so the least place of a
+    substring is found by hashing, and no task sorts substrings.  Their number
+    is known from the lengths beforehand: about ``at_once`` go to a task,
+    however few files the labels come from.
     """
-    pieces = labels.select(
-        F.col(ord_col).alias("_ord"), F.col(code_col).alias("_code"), F.lower(F.col(label_col)).alias("_text")
+    ord_ = F.col(ord_col).alias("_ord")
+    pieces = labels.select(ord_, F.col(code_col).alias("_code"), F.lower(F.col(label_col)).alias("_text"))
+    # A label without an order gives way to any other and has no code.
+    ordered = pieces.where(F.col("_text").isNotNull()).orderBy(F.col("_ord").asc_nulls_last())
+    code = F.when(F.col("_ord").isNotNull(), F.col("_code"))
+    # Grows along the order; written, as a second run may number equal orders otherwise.
+    placed = materialize(
+        ordered.select(F.monotonically_increasing_id().alias("_place"), code.alias("code"), "_text"), "label-places"
     )
-    pieces = explode_substrings(pieces.where(F.col("_text").isNotNull()), "_text", "key")
+    texts = materialize(placed.groupBy("_text").agg(F.min("_place").alias("_place")), "label-texts")
+    total = texts.agg(F.sum(substring_count("_text"))).first()[0] or 0
+    spread = texts.repartition(max(1, -(-total // at_once)), "_text")
     # Partial aggregation collapses a popular substring inside each task.
-    codes = pieces.groupBy("key").agg(F.min_by(F.col("_code"), F.col("_ord")).alias("code"))
-    return materialize(codes, "label-substrings")
+    firsts = explode_substrings(spread, "_text", "key").groupBy("key").agg(F.min("_place").alias("_place"))
+    return materialize(firsts.join(placed.select("_place", "code"), "_place").select("key", "code"), "label-substrings")
 
 
 def first_match_code(

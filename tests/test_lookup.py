@@ -111,3 +111,37 @@ def test_index_pairs_by_equal_keys_only(spark):
     codes = indexed_codes(df, "City", _labels_df(spark, [(0, "C", "xabcdx")]))
     plan = first_match_code(df, "City", codes=codes)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Cartesian", "NestedLoop", "Python"))
+
+
+def _written_plans(monkeypatch):
+    """The plans of the tables that a lookup writes, by name, and the tables."""
+    from portmart.operators import lookup
+
+    plans, write = {}, lookup.materialize
+
+    def keep(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(lookup, "materialize", keep)
+    return plans
+
+
+def test_substrings_are_hashed_not_sorted(spark, monkeypatch):
+    from portmart.operators.lookup import substring_codes
+
+    plans = _written_plans(monkeypatch)
+    substring_codes(_labels_df(spark, [(i, c, l) for i, (c, l) in enumerate(PORTS)]))
+    plan = plans["label-substrings"]
+    assert "HashAggregate(keys=[key" in plan and "SortAggregate" not in plan
+
+
+def test_codes_of_repeated_and_missing_orders(spark):
+    from portmart.operators.lookup import substring_codes
+
+    labels = [(5, "X", "ab"), (5, "Y", "cd"), (None, "Z", "abz"), (7, None, "ef"), (9, "W", "efg"), (1, "N", None)]
+    codes = dict(tuple(r) for r in substring_codes(_labels_df(spark, labels)).collect())
+    got = {k: codes[k] for k in ("ab", "cd", "z", "ef", "fg")}
+    assert got == {"ab": "X", "cd": "Y", "z": None, "ef": None, "fg": "W"}
+    assert codes[""] in ("X", "Y")
+    assert substring_codes(_labels_df(spark, [])).count() == 0
