@@ -2,6 +2,7 @@
 loop over the label list."""
 
 import random
+import re
 
 from fixtures import PORTS
 from pyspark.sql import functions as F
@@ -145,3 +146,16 @@ def test_codes_of_repeated_and_missing_orders(spark):
     assert got == {"ab": "X", "cd": "Y", "z": None, "ef": None, "fg": "W"}
     assert codes[""] in ("X", "Y")
     assert substring_codes(_labels_df(spark, [])).count() == 0
+
+
+def test_labels_of_one_file_are_spelled_out_by_several_tasks(spark, monkeypatch):
+    from portmart.operators.lookup import substring_codes
+
+    plans = _written_plans(monkeypatch)
+    labels = [(i, f"C{i}", f"label {i:04d}") for i in range(100)]
+    df = _labels_df(spark, labels).coalesce(1)
+    codes = dict(tuple(r) for r in substring_codes(df, at_once=500).collect())
+    # 56 substrings of each of the 100 labels, at most 500 to a task.
+    assert re.search(r"Exchange hashpartitioning\(_text#\d+, 12\), REPARTITION_BY_NUM", plans["label-substrings"])
+    assert {k: codes[k] for k in ("0042", "label", "1")} == {"0042": "C42", "label": "C0", "1": "C1"}
+    assert set(codes) == {t[i:j] for _, _, t in labels for i in range(len(t) + 1) for j in range(i, len(t) + 1)}
