@@ -38,8 +38,9 @@ CITY_COLUMNS = [
 ]
 
 
-def fact_table(staging_arrivals: DataFrame) -> DataFrame:
-    return staging_arrivals.select(*FACT_COLUMNS).distinct()
+def fact_table(staging_arrivals: DataFrame, *also: str) -> DataFrame:
+    """``also``: columns to keep that follow from the others."""
+    return staging_arrivals.select(*FACT_COLUMNS, *also).distinct()
 
 
 def dim_person(staging_arrivals: DataFrame) -> DataFrame:

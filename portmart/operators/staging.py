@@ -26,8 +26,9 @@ def arrival_columns() -> list[Column]:
     ]
 
 
-def stage_arrivals(df: DataFrame) -> DataFrame:
-    return df.select(*arrival_columns()).distinct()
+def stage_arrivals(df: DataFrame, *also: str) -> DataFrame:
+    """``also``: columns to keep that follow from the others."""
+    return df.select(*arrival_columns(), *also).distinct()
 
 
 def stage_temperature(df: DataFrame) -> DataFrame:

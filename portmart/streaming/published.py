@@ -13,6 +13,9 @@ that into place (one rename) makes it current: readers see all tables before
 or all tables after, and a refresh that dies anywhere leaves the old version as
 it was.  Replayed, it writes the same parts again.
 
+Rows are shuffled once for the distincts and the write of a table together
+(``dealt``), not once for each.
+
 A micro-batch reads its own files and the manifest; of the published data only
 the parts of an issue whose files came in several micro-batches.  One refresh
 at a time may run on a mart.
@@ -31,7 +34,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from portmart.functions.dates import sas_day_to_date
 from portmart.operators.cleaning import clean_arrivals, clean_demographics
-from portmart.operators.mart import PERSON_COLUMNS, calendar_dim, dim_city, fact_table
+from portmart.operators.mart import FACT_COLUMNS, PERSON_COLUMNS, calendar_dim, dim_city, fact_table
 from portmart.operators.staging import stage_arrivals, stage_demographics
 from portmart.sources.readers import ARRIVALS_SCHEMA, DEMOGRAPHICS_SCHEMA
 from portmart.sources.sinks import write_partitioned
@@ -48,6 +51,13 @@ MANIFEST_SCHEMA = StructType(
 NO_DATE = "none"
 WHOLE = "all"
 
+# Marks rows that lie together by part; not written.
+DEAL = "_deal"
+# Rows of a part that make a piece, and rows a task gets on average.
+PIECE_ROWS = 200_000
+# The arrivals' columns that the staging table takes over as they are.
+ARRIVAL_SAME = ["cicid", "i94port", "i94addr", "i94bir", "gender", "i94visa", "count"]
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -56,6 +66,23 @@ def month_of(date: Column) -> Column:
     return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_DATE))
 
 
+def part_rows(df: DataFrame) -> dict[str, int]:
+    """The number of rows of each part: months, not records."""
+    return {r["part"]: r["count"] for r in df.groupBy("part").count().collect()}
+
+
+def dealt(df: DataFrame, columns: list[str], rows: Mapping[str, int], piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``df``, whose parts have ``rows`` rows, shuffled so that a piece of a
+    part, with all that is equal in ``columns``, lies in one task: as many
+    pieces as the part's rows ask for, and tasks as all rows do.  With ``part`` and ``DEAL`` among the
+    columns a distinct needs no shuffle after it, nor does the write."""
+    pieces = [(part, -(-n // piece_rows)) for part, n in rows.items()]
+    known = df.sparkSession.createDataFrame(pieces, "part string, _pieces long")
+    deal = F.pmod(F.xxhash64(*columns), F.col("_pieces"))
+    tasks = max(1, -(-sum(rows.values()) // piece_rows))
+    return df.join(F.broadcast(known), "part").withColumn(DEAL, deal).drop("_pieces").repartition(tasks, "part", DEAL)
+
+
 def _folder(spark: SparkSession, path: str):
     """A folder of the mart as Hadoop's file system sees it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -115,7 +142,9 @@ def publish(
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(root, "data", name, f"version={version}")
-        write_partitioned(df, path, ["part"])
+        lies_together = DEAL in df.columns
+        df = df.drop(DEAL)
+        write_partitioned(df, path, ["part"], rebalance=not lies_together)
         return spark.read.schema(df.schema).parquet(path)
 
     name, rows = staged
@@ -160,10 +189,11 @@ def refresh_issues(
     if not issues:
         return None
     wanted = spark.createDataFrame(list(issues.items()), "part string, issue long")
-    rows = stage(landed.join(wanted, ["part", "issue"], "left_semi"))
+    # Spark does not know its size, and would shuffle the records for it.
+    rows = stage(landed.join(F.broadcast(wanted), ["part", "issue"], "left_semi"))
     more = [p for p, i in issues.items() if before.get(p) == i]
     if more:
-        schema = StructType([f for f in rows.schema.fields if f.name != "part"])
+        schema = StructType([f for f in rows.schema.fields if f.name not in ("part", DEAL)])
         rows = merge(rows, read_published(spark, root, name, schema, parts=more))
     return publish(spark, root, issues, (name, rows), derive)
 
@@ -171,10 +201,12 @@ def refresh_issues(
 def arrival_tables(staged: DataFrame) -> Tables:
     """The tables fed by the arrivals, each row with its part: parts are months
     of the arrival date, so what is distinct in each part is distinct."""
-    fact, time = fact_table(staged), calendar_dim(staged)
+    fact = fact_table(dealt(staged.select(*FACT_COLUMNS, "part"), FACT_COLUMNS, part_rows(staged)), "part", DEAL)
+    time = calendar_dim(staged)
     return {
-        "immigration": fact.withColumn("part", month_of(F.col("date"))),
-        "immigrant": staged.select(*PERSON_COLUMNS, "part"),
+        "immigration": fact,
+        # Read by files of one part each.
+        "immigrant": staged.select(*PERSON_COLUMNS, "part", F.lit(0).alias(DEAL)),
         "time": time.withColumn("part", month_of(F.col("date"))),
     }
 
@@ -189,13 +221,21 @@ def replace_arrivals(
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 
-    def stage(rows: DataFrame) -> DataFrame:
-        staged = stage_arrivals(clean_arrivals(rows.drop("part", "issue")))
-        return staged.withColumn("part", month_of(F.col("date")))
-
     def to_mart(batch: DataFrame) -> None:
         part = month_of(sas_day_to_date("arrdate"))
-        refresh_issues(spark, batch, root, "staging_immigration", part, stage, arrival_tables)
+        landed: dict[str, int] = {}
+
+        def stage(rows: DataFrame) -> DataFrame:
+            landed.update(part_rows(rows))
+            return stage_arrivals(clean_arrivals(dealt(rows.drop("issue"), ARRIVAL_SAME, landed)), "part", DEAL)
+
+        def merge(new: DataFrame, old: DataFrame) -> DataFrame:
+            held = part_rows(old)
+            rows = {p: landed.get(p, 0) + held.get(p, 0) for p in landed.keys() | held.keys()}
+            both = new.drop(DEAL).unionByName(old)
+            return dealt(both, [c for c in both.columns if c != "part"], rows).distinct()
+
+        refresh_issues(spark, batch, root, "staging_immigration", part, stage, arrival_tables, merge)
 
     return drain(reader.load(landing_dir), to_mart, checkpoint_path(root, landing_dir, "replace_arrivals"))
 

@@ -130,3 +130,32 @@ def test_no_version_and_empty_deliveries(spark, tmp_out):
     part = published.month_of(F.lit(None).cast("date"))
     assert published.refresh_issues(spark, empty, root, "t", part, lambda d: d, lambda d: {}) is None
     assert published.versions(spark, root) == []
+
+
+def test_records_are_shuffled_once_for_a_table(spark, tmp_out, monkeypatch):
+    plans, real_write = {}, published.write_partitioned
+
+    def write(df, path, *args, **kwargs):
+        if "version=2" in path:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            plans[path.split("/")[-2]] = plan.split("Initial Plan")[0]
+        real_write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(published, "write_partitioned", write)
+    _land(spark, tmp_out, 1, [APRIL, MAY])
+    _land(spark, tmp_out, 2, [APRIL, APRIL, OTHER, MAY, UNDATED])
+    shuffles = {t: plans[t].count("Exchange hashpartitioning") + plans[t].count("Exchange SinglePartition") for t in plans}
+    assert (shuffles["staging_immigration"], shuffles["immigration"], shuffles["immigrant"]) == (1, 1, 0)
+    assert not any("SortMergeJoin" in p for p in plans.values())
+    assert _ids(spark, tmp_out) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_pieces_hold_equal_rows_and_follow_the_size_of_a_part(spark):
+    rows = spark.range(400).selectExpr("id % 50 as k", "if(id < 300, 'a', 'b') as part")
+    sizes = published.part_rows(rows)
+    assert sizes == {"a": 300, "b": 100}
+    out = published.dealt(rows, ["k"], sizes, piece_rows=50)
+    assert out.rdd.getNumPartitions() == 8 and out.count() == 400
+    deals = {r.part: r.n for r in out.groupBy("part").agg(F.count_distinct(published.DEAL).alias("n")).collect()}
+    assert deals["a"] > deals["b"] and deals["a"] <= 6 and deals["b"] <= 2
+    assert out.select("part", "k", published.DEAL).distinct().count() == rows.distinct().count()
