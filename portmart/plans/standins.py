@@ -51,13 +51,16 @@ def orders_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.unionByName(o.where(F.col("o_orderkey") % 10 == 0))
 
 
-def arrivals(spark: SparkSession, sf_dir: str, mart_codes: bool = False) -> DataFrame:
+def arrivals(
+    spark: SparkSession, sf_dir: str, mart_codes: bool = False, join: str | None = None
+) -> DataFrame:
     """Arrival records: one per order (with repeats), coded by the
     customer's nation (port) and segment (state); with ``mart_codes`` by the
-    port codes and states that the other two sources' cities get."""
+    port codes and states that the other two sources' cities get.  ``join``:
+    the kind of join, else Spark's choice."""
     o = orders_with_repeats(spark, sf_dir)
     c = table(spark, sf_dir, "customer")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"])
+    j = o.join(c.hint(join) if join else c, o["o_custkey"] == c["c_custkey"])
     day = sas_day("o_orderdate")
     port, state = F.col("c_nationkey").cast("string"), F.col("c_mktsegment")
     if mart_codes:

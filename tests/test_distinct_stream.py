@@ -49,3 +49,22 @@ def test_a_batch_reads_its_files_and_the_state_only(spark, tmp_out):
         assert progress[0]["numInputRows"] == len(ARRIVALS)
         _land(spark, landing, ARRIVALS)
     assert spark.read.parquet(out).groupBy(F.col("id"), F.col("date")).count().where("count > 1").count() == 0
+
+
+def test_customers_of_streamed_arrivals_are_not_broadcast(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from portmart.plans import catalog
+
+    plans, real = [], catalog.si.arrivals
+
+    def arrivals(*args, **kwargs):
+        df = real(*args, **kwargs)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(catalog.si, "arrivals", arrivals)
+    monkeypatch.setattr(catalog, "_MARTS", {})
+    monkeypatch.setattr(catalog, "stream_arrivals", lambda *args, **kwargs: 0)
+    catalog._streamed_twice(spark, SF_SMALL)
+    assert plans and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
