@@ -30,11 +30,11 @@ result; other columns are ignored by ``components`` and kept by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
@@ -407,6 +407,29 @@ def cuts(classes: np.ndarray, counts: int = 1 << FRAGMENT_BITS) -> np.ndarray:
     return np.array(sorted(out), np.uint64)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Id and hash of the text, in a struct: nulls in it are equal.  Cast, as
+    a struct of another nullability would be dealt out anew by a join."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    key = F.struct("doc_id", F.xxhash64(text_of("text")).alias("text_hash"))
+    return key.cast(f"struct<doc_id:{kind},text_hash:bigint>")
+
+
+def hash_of(key: str) -> Column:
+    return F.xxhash64(F.col(key)["doc_id"], F.col(key)["text_hash"])
+
+
+def may_be_among(hashes: DataFrame) -> Callable[[Column], Column]:
+    """Whether a hash may be among those of column ``h``: always if it is, and
+    seldom if not.  Told by a bit table of one size."""
+    shared = hashes.sparkSession.sparkContext.broadcast(bit_table(hashes))
+
+    def run(h: pa.Array) -> pa.Array:
+        return pa.array(is_set(shared.value, h.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return F.arrow_udf(run, "boolean")
+
+
 def fragments(
     docs: DataFrame, classes_of: DataFrame, wanted: DataFrame, classes: np.ndarray, written: list[DataFrame]
 ) -> DataFrame:
@@ -431,24 +454,14 @@ def fragments(
                 )
 
     pick = classes_of.join(wanted, classes_of["class"] == wanted["w"], "left_semi").select(
-        F.col("class"), F.col("doc.doc_id").alias("k_id"), F.col("doc.text_hash").alias("k_hash")
+        F.col("class"), F.struct(F.col("doc.doc_id").alias("doc_id"), F.col("doc.text_hash").alias("text_hash")).alias("k")
     )
     pick = materialize(pick, "wanted-rows")
     written.append(pick)
-    # Only texts whose hash is in a bit table of one size travel to the join.
-    shared = docs.sparkSession.sparkContext.broadcast(bit_table(pick.select(F.col("k_hash").alias("h"))))
-
-    def may_be_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            yield batch.filter(pa.array(is_set(table, batch.column(1).to_numpy().view(np.uint64))))
-
-    t = text_of("text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    d = docs.select("doc_id", F.xxhash64(t).alias("text_hash"), t.cast("binary").alias("t"))
-    d = d.mapInArrow(may_be_wanted, f"doc_id {kind}, text_hash long, t binary")
-    one = d.join(pick, d["doc_id"].eqNullSafe(pick["k_id"]) & (d["text_hash"] == pick["k_hash"]))
-    one = one.dropDuplicates(["class"]).select("class", "t")
+    d = docs.select(row_key(docs).alias("row"), text_of("text").cast("binary").alias("t"))
+    # Only texts that may be wanted travel, once: rows that repeat are told by the key of the join.
+    d = d.where(may_be_among(pick.select(hash_of("k").alias("h")))(hash_of("row"))).dropDuplicates(["row"])
+    one = d.join(pick, d["row"] == pick["k"]).select("class", "t")
     return one.mapInArrow(run, "class long, fragment int, members array<long>")
 
 
@@ -540,9 +553,14 @@ def keep_representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     repeated = materialize(repeated.select(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")), "repeated")
     text_hash = F.xxhash64(text_of("text"))
+    key = F.xxhash64(f"{own}id", f"{own}hash").alias("h")
+    concerned = may_be_among(out.select(key).unionByName(repeated.select(key)))(F.xxhash64("doc_id", text_hash))
+    # Only rows that may go travel to the join, the others stay where they are.
+    untouched, docs = docs.where(~concerned), docs.where(concerned)
     kept = docs.join(out, F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (text_hash == F.col(f"{own}hash")), "left_anti")
     if repeated.isEmpty():
-        return kept
+        return untouched.unionByName(kept)
     same = F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (text_hash == F.col(f"{own}hash"))
     once = kept.join(repeated, same, "left_semi").withColumn(f"{own}hash", text_hash).dropDuplicates(["doc_id", f"{own}hash"])
-    return kept.join(repeated, same, "left_anti").unionByName(once.drop(f"{own}hash"))
+    once = once.drop(f"{own}hash")
+    return untouched.unionByName(kept.join(repeated, same, "left_anti")).unionByName(once)
