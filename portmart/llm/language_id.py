@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from portmart.llm import tokens
 from portmart.llm.common import held_out
 
 TRAIN_DOCS = 4000
@@ -37,6 +38,8 @@ SMOOTHING = 0.05
 ROUNDS = 12
 PENALTY = 4.0
 PIECE_CHARS = 1 << 20
+# Characters of whole texts judged at a time.
+CHUNK_CHARS = 1 << 18
 
 _letters: list[np.ndarray] = []
 
@@ -168,11 +171,11 @@ class _Docs:
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about one piece of characters each."""
+    """Ranges of texts of about ``CHUNK_CHARS`` characters each."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= PIECE_CHARS:
+        if size >= CHUNK_CHARS:
             yield start, i + 1
             start, size = i + 1, 0
     if start < len(texts):
@@ -182,7 +185,7 @@ def chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 def count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``lang, bucket, n`` summed over one partition of ``lang, text``."""
     sums: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in tokens.slices(batches):
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang, text in zip(langs, texts, strict=True):
             mine = sums.setdefault(lang, np.zeros(1 << BUCKET_BITS, np.int64))
@@ -224,7 +227,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     model, its share (``languages``, ``shares``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.slices(batches):
             texts = batch.column(2).to_pylist()
             for a, b in chunks(texts):
                 names, score, shares = model.predict(texts[a:b])
@@ -255,7 +258,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.slices(batches):
             texts = batch.column(text_at).to_pylist()
             for a, b in chunks(texts):
                 _, score, _ = model.predict(texts[a:b])

@@ -53,6 +53,9 @@ FOLDED_BITS = 512
 BEFORE = 8
 FRAGMENT_BITS = 3
 SETS_AT_ONCE = 1000
+# Bytes of text hashed at a time: a worker holds about 100 times as much for it,
+# and keeps that when it is idle.
+CHUNK_BYTES = 1 << 18
 # Above this many times the sketch's mean count a shingle is dealt by a salt too.
 HOT_FACTOR = 64
 SALTS = 64
@@ -62,7 +65,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 def shingle_sets(texts: list[bytes | None], width: int = WIDTH) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every text."""
-    for a, b in tokens.chunks(texts):
+    for a, b in tokens.chunks(texts, CHUNK_BYTES):
         words, counts = tokens.word_hashes([(t or b"").translate(_LOWER) for t in texts[a:b]])
         runs = tokens.run_hashes(words, width)
         start = 0
@@ -376,9 +379,7 @@ def bitmaps_allow(pairs: DataFrame, classes_of: DataFrame, percent: int = PERCEN
     """The pairs that their bitmaps do not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in tokens.slices(batches):
             n, m = batch.column(1).to_numpy(), batch.column(3).to_numpy()
             apart = np.zeros(len(n), np.int64)
             for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
@@ -438,7 +439,7 @@ def fragments(
     places = cuts(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tokens.slices(batches):
             for name, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist()), strict=True):
                 keys = in_order(s, classes)
                 by_key = np.argsort(keys)

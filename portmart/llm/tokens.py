@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+# Tables of powers are as long as they have to be, rounded up to this.
+POWERS_STEP = 1 << 16
 # Rows of an Arrow batch that are Python objects at a time.
 ROWS_AT_ONCE = 1000
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -27,7 +29,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """1, base, base**2, ... modulo 2**64, at least n of them."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        row = np.full(max(n, CHUNK_BYTES + 1), base, np.uint64)
+        row = np.full(-(-max(n, 1) // POWERS_STEP) * POWERS_STEP, base, np.uint64)
         row[0] = 1
         have = _powers[base] = np.multiply.accumulate(row)
         if n > 8 * CHUNK_BYTES:  # a rare giant must not stay in memory
@@ -81,12 +83,12 @@ def run_hashes(words: np.ndarray, width: int, base: int = WORD_BASE) -> np.ndarr
     return mix((sums[width:] - sums[:-width]) * powers(pow(base, -1, 1 << 64), len(words))[:n])
 
 
-def chunks(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``CHUNK_BYTES`` each; a longer text alone."""
+def chunks(texts: list[bytes | None], chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``chunk_bytes`` each; a longer text ends one."""
     start, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or b"")
-        if size >= CHUNK_BYTES:
+        if size >= chunk_bytes:
             yield start, i + 1
             start, size = i + 1, 0
     if start < len(texts):
@@ -94,7 +96,13 @@ def chunks(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of at most ``ROWS_AT_ONCE`` rows."""
+    """The batches in pieces of at most ``ROWS_AT_ONCE`` rows.  A piece is a
+    copy: whoever keeps one does not keep the whole batch in memory while the
+    next batch is read.  Spark keeps its Python workers between tasks, so what
+    a batch took is given back to the system after it."""
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+            yield batch.take(pa.array(np.arange(start, min(start + ROWS_AT_ONCE, batch.num_rows))))
+        del batch
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the latter also has numpy's arrays
+            pool.release_unused()
