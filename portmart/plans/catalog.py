@@ -827,10 +827,11 @@ def _streamed_twice(spark, sf_dir) -> str:
     if at not in _MARTS:
         root = scratch_path(spark, "streamed")
         n_files = _landed_files(spark)
+        # The customers grow too: they do not go through the driver.  Joined once:
+        # each landing reads the rows twice, for the bounds and to deal them.
+        rows = materialize(si.arrivals(spark, sf_dir, join="merge"), "arrivals")
         for _ in range(2):
-            # The customers grow too: they do not go through the driver.
-            rows = si.arrivals(spark, sf_dir, join="merge").repartitionByRange(n_files, "arrdate")
-            rows.write.mode("append").parquet(f"{root}/landing")
+            rows.repartitionByRange(n_files, "arrdate").write.mode("append").parquet(f"{root}/landing")
             stream_arrivals(spark, f"{root}/landing", f"{root}/mart", max_files_per_batch=max(1, -(-n_files // 2)))
         _MARTS[at] = f"{root}/mart"
     return _MARTS[at]

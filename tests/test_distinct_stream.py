@@ -9,7 +9,7 @@ from portmart.operators.cleaning import clean_arrivals
 from portmart.operators.mart import calendar_dim, dim_person, fact_table
 from portmart.operators.staging import stage_arrivals
 from portmart.sources.readers import ARRIVALS_SCHEMA
-from portmart.streaming.distinct import distinct_tables, landed_arrivals, stream_arrivals
+from portmart.streaming.distinct import STATE_ON_DISK, distinct_tables, landed_arrivals, stream_arrivals, unless_set
 
 
 def _land(spark, folder, rows):
@@ -68,3 +68,46 @@ def test_customers_of_streamed_arrivals_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(catalog, "stream_arrivals", lambda *args, **kwargs: 0)
     catalog._streamed_twice(spark, SF_SMALL)
     assert plans and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+
+
+def _state_files(out, table):
+    folder = os.path.join(out, "_refresh", f"distinct-{table}")
+    return {os.path.splitext(f)[1] for at, _, names in os.walk(folder) if "/state/" in at for f in names}
+
+
+def test_state_that_grows_with_the_rows_lies_on_disk(spark, tmp_out):
+    landing, out = os.path.join(tmp_out, "landing"), os.path.join(tmp_out, "out")
+    _land(spark, landing, ARRIVALS)
+    assert stream_arrivals(spark, landing, out) == 1
+    # RocksDB leaves archives; the store that holds all state in memory leaves deltas.
+    for table in ("immigration", "immigrant"):
+        assert ".zip" in _state_files(out, table) and ".delta" not in _state_files(out, table)
+    assert ".delta" in _state_files(out, "time")
+
+
+def test_settings_of_the_state_do_not_outlive_the_start_nor_replace_others(spark):
+    provider, memory = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+    before = spark.conf.get(provider)
+    spark.conf.set(memory, "321")
+    try:
+        with unless_set(spark, STATE_ON_DISK):
+            assert spark.conf.get(provider) == STATE_ON_DISK[provider] != before
+            assert spark.conf.get(memory) == "321"
+        assert spark.conf.get(provider) == before and spark.conf.get(memory) == "321"
+    finally:
+        spark.conf.unset(memory)
+
+
+def test_streamed_arrivals_are_joined_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from portmart.plans import catalog
+
+    calls, real = [], catalog.si.arrivals
+    monkeypatch.setattr(catalog.si, "arrivals", lambda *a, **k: calls.append(real(*a, **k)) or calls[-1])
+    monkeypatch.setattr(catalog, "_MARTS", {})
+    landed = []
+    monkeypatch.setattr(catalog, "stream_arrivals", lambda s, landing, *a, **k: landed.append(s.read.parquet(landing).count()))
+    catalog._streamed_twice(spark, SF_SMALL)
+    n = calls[0].count()
+    assert len(calls) == 1 and landed == [n, 2 * n]
