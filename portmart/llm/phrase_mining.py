@@ -14,16 +14,19 @@ the threshold only if its first and its last words without one do.
    buckets that remain are the candidates: none that is frequent is missing.
    A bucket also keeps the least mark (a short checksum) of the texts it was
    found in; only texts of that mark spell it, not every text that holds it.
-3. The candidates are counted exactly.  They are cut into shards of about
-   ``SHARD_PHRASES``, and each shard, so of bounded size, is broadcast as a
-   double-array trie.  A task turns all words of a chunk of texts into symbols
-   and moves the states of all text positions at once, one word deeper at a
-   time; accepting states are binned, and Spark sums the bins of all tasks.
+3. The candidates are counted exactly, in one more pass over the texts.  At each
+   position that may start a candidate stands a window, the longest phrase that
+   may be one; a task sums equal windows and deals them out by their first two
+   words, a row for each shard.  So are the candidates, in shards of about
+   ``SHARD_PHRASES``.  The task that gets a shard builds a double-array trie of it and moves the states
+   of all windows at once, one word deeper at a time; a window counts for every
+   accepting state on its way.  Rows come sorted, a shard's candidates before its
+   windows, so a task holds one trie and one batch, however many windows come.
 
 A word is two symbols of the trie, the high and the low digits of its number,
 so that no node has more than some thousand children and the nodes interleave.
-Each shard is a pass over the texts: the passes grow with the number of
-frequent phrases, as the memory for a trie may not.
+The texts are read once for the words, once for each phrase length and twice for
+the candidates, however many phrases are frequent.
 
 Words, phrases and languages are told apart by 64-bit hashes until the
 candidates; scores are exact (decimal arithmetic).
@@ -45,6 +48,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,11 +62,15 @@ MAX_WORDS = 3
 ABSORBED_PERCENT = 50
 BEST = 2000
 SCORE_SCALE = 1_000_000
-SHARD_PHRASES = 1 << 19
+SHARD_PHRASES = 1 << 15
+# Shards for each shuffle partition, so that partitions are even.
+SHARDS_A_PARTITION = 4
 RANK_PARTS = 64
 MARKS = 0xFF
 # Phrase positions that a task holds before it counts them.
 POSITIONS_AT_ONCE = 1 << 20
+# Windows that a task holds before it sums equal ones.
+WINDOWS_AT_ONCE = 1 << 20
 # Gaps of the double array that a node tries before it moves on.
 GAPS_AT_ONCE = 32
 # Counts below this stay exact: its square times the scale has 38 digits.
@@ -194,11 +202,11 @@ def marked(h: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return tokens.mix(h * np.uint64(tokens.WORD_BASE) + mark.astype(np.uint64))
 
 
-def frequent_buckets(docs: DataFrame, tables: list[np.ndarray], min_count: int) -> DataFrame:
+def frequent_buckets(docs: DataFrame, tables: list[Broadcast], min_count: int) -> DataFrame:
     """``h, mark``: hashes of the phrases one word longer than ``tables``
     reach that stand at ``min_count`` places or more, and the least mark of
     the texts that hold them."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    tables = list(tables)  # of this length
 
     def counted_rows(h: np.ndarray, mark: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(h)
@@ -218,7 +226,7 @@ def frequent_buckets(docs: DataFrame, tables: list[np.ndarray], min_count: int)
         marks: list[np.ndarray] = []
         for batch in batches:
             for p in batch_positions(batch):
-                *_, (_, at, h) = climb(p, shared.value)
+                *_, (_, at, h) = climb(p, [t.value for t in tables])
                 found.append(h)
                 marks.append(p.mark[at])
                 if sum(map(len, found)) >= POSITIONS_AT_ONCE:
@@ -243,19 +251,17 @@ def mark_table(buckets: DataFrame) -> np.ndarray:
     return bit_table(buckets.select("h", "mark").mapInArrow(run, "h long"))
 
 
-def spell_candidates(docs: DataFrame, tables: list[np.ndarray], chosen: np.ndarray) -> DataFrame:
+def spell_candidates(docs: DataFrame, tables: list[Broadcast], chosen: Broadcast) -> DataFrame:
     """``h, lang, phrase, keys`` of every phrase that ``tables`` lead to, where
     ``chosen`` holds it with the text's mark, once for each batch of such
     texts; ``keys`` are the keys of its words."""
-    shared = docs.sparkSession.sparkContext.broadcast((tables, chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[int, list] = {}
-            tables, chosen = shared.value
             for p in batch_positions(batch):
-                for size, at, h in climb(p, tables):
-                    may = is_set(chosen, marked(h, p.mark[at]))
+                for size, at, h in climb(p, [t.value for t in tables]):
+                    may = is_set(chosen.value, marked(h, p.mark[at]))
                     h, one = np.unique(h[may], return_index=True)
                     at = at[may][one]
                     keys = np.stack([p.key[at + k] for k in range(size)], axis=1)
@@ -365,47 +371,202 @@ def build_trie(keys: np.ndarray, lengths: np.ndarray) -> DoubleArray:
     return DoubleArray(base, check, accept, symbols, low_bits)
 
 
-def accepted(trie: DoubleArray, p: Positions, max_words: int) -> Iterator[np.ndarray]:
-    """For each length, the numbers of the phrases that stand in the texts:
-    the states of all positions advance together, one word at a time."""
-    code = np.searchsorted(trie.symbols, p.key)
+def walk(
+    trie: DoubleArray, key: np.ndarray, piece: np.ndarray, max_words: int, starts: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length, the positions (of ``starts``, else of all) at which a
+    phrase of it stands, and its number: the states of all positions advance
+    together, one word at a time."""
+    code = np.searchsorted(trie.symbols, key)
     code[code == len(trie.symbols)] = 0
-    known = trie.symbols[code] == p.key
-    at, state = np.flatnonzero(known), np.zeros(int(known.sum()), np.int32)
+    known = trie.symbols[code] == key
+    at = np.flatnonzero(known) if starts is None else starts[known[starts]]
+    state = np.zeros(len(at), np.int32)
     for size in range(1, max_words + 1):
         inside = at + size - 1 < len(code)
         at, state = at[inside], state[inside]
         word = at + size - 1
-        go = known[word] & (p.piece[word] == p.piece[at])
+        go = known[word] & (piece[word] == piece[at])
         at, state, word = at[go], state[go], code[word[go]]
         for shift, mask in ((trie.low_bits, -1), (0, (1 << trie.low_bits) - 1)):
             child = trie.base[state] + (word >> shift & mask)
             go = trie.check[child] == state
             at, state, word = at[go], child[go].astype(np.int32), word[go]
         number = trie.accept[state]
-        yield number[number >= 0]
+        yield at[number >= 0], number[number >= 0]
+
+
+def accepted(trie: DoubleArray, p: Positions, max_words: int) -> Iterator[np.ndarray]:
+    """For each length, the numbers of the phrases that stand in the texts."""
+    for _, number in walk(trie, p.key, p.piece, max_words):
+        yield number
+
+
+class Windows(NamedTuple):
+    """Phrases with the hash of each, how often it stands, its words and their
+    keys, 0 after the last."""
+
+    h: np.ndarray
+    n: np.ndarray
+    size: np.ndarray
+    keys: np.ndarray
+
+
+def windows_of(p: Positions, tables: list[np.ndarray], chosen: np.ndarray) -> Windows:
+    """The longest phrase at each position that ``chosen`` holds."""
+    max_words = len(tables) + 1
+    size, h = np.zeros(len(p.key), np.int8), np.zeros(len(p.key), np.uint64)
+    for length, at, found in climb(p, tables):
+        may = is_set(chosen, found)
+        size[at[may]], h[at[may]] = length, found[may]
+    at = np.flatnonzero(size)
+    size, keys = size[at], np.zeros((len(at), max_words), np.uint64)
+    for k in range(max_words):
+        on = size > k
+        keys[on, k] = p.key[at[on] + k]
+    return Windows(h[at], np.ones(len(at), np.int32), size, keys)
+
+
+def summed(held: list[Windows]) -> Windows:
+    """Equal windows as one."""
+    h, n, size, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(h)
+    h = h[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return Windows(h[first], np.add.reduceat(n[order], first), size[order[first]], keys[order[first]])
+
+
+# Phrases of one shard: its place, the first two keys of each pair and how many
+# phrases begin with it, then each phrase's words, further keys and value.
+PACKED = ["place", "pairs", "below", "size", "rest", "value"]
+PACKED_SCHEMA = "place long, pairs array<long>, below array<int>, size array<byte>, rest array<long>, value array<long>"
+
+
+def packed(size: np.ndarray, keys: np.ndarray, value: np.ndarray, n_shards: int, counted: bool) -> pa.RecordBatch:
+    """A row for each shard of these phrases; candidates, which are not
+    ``counted``, have even places, windows the odd ones."""
+    pair = tokens.mix(keys[:, 0] * np.uint64(tokens.WORD_BASE) + keys[:, 1])
+    order = np.argsort(pair)
+    size, keys, value = size[order], keys[order], value[order]
+    # In the order of the pairs, as the hash is.
+    shard = ((pair[order] >> np.uint64(32)) * np.uint64(n_shards) >> np.uint64(32)).astype(np.int64)
+    new_shard = np.concatenate([[True], shard[1:] != shard[:-1]])
+    new_pair = np.concatenate([[True], (keys[1:, :2] != keys[:-1, :2]).any(axis=1)]) | new_shard
+    begin, of_pair = np.flatnonzero(new_shard), np.flatnonzero(new_pair)
+    ends = np.append(begin, len(size))
+    pairs = np.searchsorted(of_pair, ends)
+    rest = np.concatenate([[0], np.cumsum(size.astype(np.int64) - 2)])[ends]
+    further = keys[:, 2:][np.arange(2, keys.shape[1]) < size[:, None]]
+
+    def lists(offsets: np.ndarray, values: np.ndarray) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(2 * shard[begin] + counted),
+            lists(2 * pairs, keys[of_pair, :2].reshape(-1).view(np.int64)),
+            lists(pairs, np.diff(np.append(of_pair, len(size))).astype(np.int32)),
+            lists(ends, size.astype(np.int8)),
+            lists(rest, further.view(np.int64)),
+            lists(ends, value.astype(np.int64)),
+        ],
+        PACKED,
+    )
+
+
+def unpacked(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in a row, words and value of each phrase."""
+    pairs, below, size, rest, value = (rows.column(i).flatten().to_numpy() for i in range(1, 6))
+    size, pairs = size.astype(np.int64), np.repeat(pairs.reshape(-1, 2), below, axis=0)
+    start = np.cumsum(size) - size
+    keys, further = np.zeros(int(size.sum()), np.int64), np.ones(int(size.sum()), bool)
+    keys[start], keys[start + 1] = pairs[:, 0], pairs[:, 1]
+    further[start] = further[start + 1] = False
+    keys[further] = rest
+    return keys.view(np.uint64), size, value
+
+
+def deal_candidates(candidates: DataFrame, max_words: int, n_shards: int) -> DataFrame:
+    """The candidates (``h, keys``) by shard; their values are ``h``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                size = batch.column(1).value_lengths().to_numpy()
+                keys = np.zeros((len(size), max_words), np.uint64)
+                keys[np.arange(max_words) < size[:, None]] = batch.column(1).flatten().to_numpy().view(np.uint64)
+                yield packed(size, keys, batch.column(0).to_numpy(), n_shards, False)
+
+    return candidates.select("h", "keys").mapInArrow(run, PACKED_SCHEMA)
 
 
-def count_shard(docs: DataFrame, shard: DataFrame, max_words: int) -> DataFrame:
-    """``h, n``: exact occurrences of the phrases of one shard (``h, keys``)."""
-    rows = shard.toArrow()
-    keys = rows.column("keys").combine_chunks()
-    trie = build_trie(keys.flatten().to_numpy().view(np.uint64), keys.value_lengths().to_numpy().astype(np.int64))
-    shared = docs.sparkSession.sparkContext.broadcast((trie, rows.column("h").to_numpy()))
+def deal_windows(docs: DataFrame, tables: list[Broadcast], chosen: Broadcast, n_shards: int) -> DataFrame:
+    """The windows of the texts by shard, equal ones of a task summed as far
+    as ``WINDOWS_AT_ONCE`` allows; their values are their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, h = shared.value
-        total = np.zeros(len(h), np.int64)
+        held: list[Windows] = []
         for batch in batches:
             for p in batch_positions(batch):
-                for numbers in accepted(trie, p, max_words):
-                    total += np.bincount(numbers, minlength=len(h))
+                held.append(windows_of(p, [t.value for t in tables], chosen.value))
+                if sum(len(w.h) for w in held) >= WINDOWS_AT_ONCE:
+                    held = [summed(held)]
+                    if 4 * len(held[0].h) >= 3 * WINDOWS_AT_ONCE:
+                        w = held.pop()
+                        yield packed(w.size, w.keys, w.n, n_shards, True)
+        if sum(len(w.h) for w in held):
+            w = summed(held)
+            yield packed(w.size, w.keys, w.n, n_shards, True)
+
+    return source(docs).mapInArrow(run, PACKED_SCHEMA)
+
+
+def count_shards(rows: DataFrame, max_words: int) -> DataFrame:
+    """``h, n``: exact occurrences of the candidates in the windows; ``rows``
+    have each shard's candidates and then its windows in a row."""
+
+    def counts(h: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(total[some])], ["h", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(total[some])], ["h", "n"])
 
-    counted = source(docs).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    counted = materialize(counted, "shard-counts")
-    shared.unpersist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, trie = -1, [], None
+        h = total = np.zeros(0, np.int64)
+        for batch in batches:
+            for i, place in enumerate(batch.column(0).to_pylist()):
+                if place >> 1 != shard:
+                    yield counts(h, total)
+                    shard, held, trie = place >> 1, [], None
+                    h = total = np.zeros(0, np.int64)
+                keys, size, value = unpacked(batch.slice(i, 1))
+                if place % 2 == 0:
+                    held.append((keys, size, value))
+                    continue
+                if trie is None and held:
+                    keys_of, size_of, h = (np.concatenate(x) for x in zip(*held, strict=True))
+                    trie, total, held = build_trie(keys_of, size_of), np.zeros(len(h), np.int64), []
+                if trie is not None:
+                    window = np.repeat(np.arange(len(size)), size)
+                    for at, number in walk(trie, keys, window, max_words, np.cumsum(size) - size):
+                        total += np.bincount(number, value[window[at]], len(h)).astype(np.int64)
+        yield counts(h, total)
+
+    return rows.mapInArrow(run, "h long, n long")
+
+
+def count_candidates(
+    docs: DataFrame, candidates: DataFrame, tables: list[Broadcast], n_candidates: int, shard_phrases: int
+) -> DataFrame:
+    """``h, n``: exact occurrences of the candidates (``h, keys``)."""
+    max_words = len(tables) + 1
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_shards = max(-(-n_candidates // shard_phrases), SHARDS_A_PARTITION * partitions)
+    chosen = docs.sparkSession.sparkContext.broadcast(bit_table(candidates.select("h")))
+    windows = deal_windows(docs, tables, chosen, n_shards)
+    rows = deal_candidates(candidates, max_words, n_shards).unionByName(windows)
+    rows = rows.repartition(-(-n_shards // SHARDS_A_PARTITION), F.shiftright("place", 1)).sortWithinPartitions("place")
+    counted = materialize(count_shards(rows, max_words), "counts")
+    chosen.destroy()
     return counted
 
 
@@ -414,26 +575,26 @@ def count_phrases(
 ) -> DataFrame:
     """``lang, phrase, size, a``: phrases of 2 to ``max_words`` words that
     occur ``min_count`` times or more, and how often they do."""
-    tables = [bit_table(words.where(F.col("n") >= min_count).select("h"))]
+    share = docs.sparkSession.sparkContext.broadcast  # each table once, for all passes
+    tables = [share(bit_table(words.where(F.col("n") >= min_count).select("h")))]
     kept = []
     for size in range(2, max_words + 1):
         kept.append(materialize(frequent_buckets(docs, tables, min_count), f"buckets-{size}"))
         if size < max_words:
-            tables.append(bit_table(kept[-1].select("h")))
+            tables.append(share(bit_table(kept[-1].select("h"))))
     buckets = reduce(DataFrame.unionByName, kept)
-    each = spell_candidates(docs, tables, mark_table(buckets)).join(buckets, "h", "left_semi")
+    chosen = share(mark_table(buckets))
+    each = spell_candidates(docs, tables, chosen).join(buckets, "h", "left_semi")
     candidates = materialize(
         each.groupBy("h", "lang", "phrase").agg(F.any_value("keys").alias("keys")), "candidates"
     )
-    n_shards = max(1, -(-candidates.count() // shard_phrases))
-    counted = []
-    for i in range(n_shards):
-        shard = candidates.where(F.pmod("h", F.lit(n_shards)) == i).select("h", "keys")
-        if not shard.isEmpty():
-            counted.append(count_shard(docs, shard, max_words))
-    if not counted:
+    chosen.destroy()
+    n_candidates = candidates.count()
+    if not n_candidates:
         return candidates.select("lang", "phrase", F.size("keys").alias("size"), F.lit(0).cast("long").alias("a"))
-    counts = reduce(DataFrame.unionByName, counted)
+    counts = count_candidates(docs, candidates, tables, n_candidates, shard_phrases)
+    for table in tables:
+        table.destroy()
     found = candidates.join(counts, "h").where(F.col("n") >= min_count)
     return materialize(found.select("lang", "phrase", F.size("keys").alias("size"), F.col("n").alias("a")), "phrases")
 

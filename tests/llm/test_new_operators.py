@@ -159,6 +159,47 @@ def test_phrase_edges(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_texts_are_read_as_often_however_many_phrases_are_frequent(spark, monkeypatch):
+    rows = _random_rows(5, 60)
+    df = spark.createDataFrame(rows, "lang string, text string")
+    reads, real = [], phrase_mining.source
+    monkeypatch.setattr(phrase_mining, "source", lambda docs: reads.append(1) or real(docs))
+    seen = set()
+    for shard in (1 << 15, 5, 1):
+        reads.clear()
+        got = phrase_mining.mine(df, min_count=4, best=40, shard_phrases=shard)
+        assert sorted(map(tuple, got.collect())) == sorted(plain_phrases(rows, 4, best=40))
+        seen.add(len(reads))
+    assert seen == {5}  # words, pairs, triples, spelling, windows
+
+
+def test_windows_in_many_small_batches_count_the_same(spark, monkeypatch):
+    rows = _random_rows(6, 60)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    monkeypatch.setattr(phrase_mining, "WINDOWS_AT_ONCE", 16)
+    monkeypatch.setattr(phrase_mining, "SHARDS_A_PARTITION", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        got = phrase_mining.mine(df, min_count=4, max_words=4, best=40).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, got)) == sorted(plain_phrases(rows, 4, 4, best=40))
+
+
+def test_packed_phrases_come_back():
+    rng = np.random.default_rng(3)
+    size = rng.integers(2, 5, 500).astype(np.int8)
+    keys = rng.integers(1, 6, (500, 4)).astype(np.uint64)
+    keys[np.arange(4) >= size[:, None]] = 0
+    rows = phrase_mining.packed(size, keys, np.arange(500), 7, True)
+    places = rows.column(0).to_pylist()
+    assert places == sorted(set(places)) and all(0 <= p < 14 and p % 2 for p in places)
+    words, n, value = phrase_mining.unpacked(rows)
+    assert sorted(value.tolist()) == list(range(500))
+    for phrase, i in zip(np.split(words, np.cumsum(n)[:-1]), value.tolist(), strict=True):
+        assert phrase.tolist() == keys[i, : size[i]].tolist()
+
+
 def test_trie_counts_all_phrases():
     rng = np.random.default_rng(2)
     symbols = np.unique(rng.integers(1, 1 << 63, 900, dtype=np.uint64))
